@@ -20,7 +20,8 @@ def date_part(ts: Column) -> Column:
 
 
 def time_text(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss")
+    """``HH:mm:ss`` as written, whatever the session time zone."""
+    return F.substring(ts.cast("string"), 12, 8)
 
 
 def clock_seconds(time: Column) -> Column:

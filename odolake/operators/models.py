@@ -8,6 +8,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odolake.functions.numbers import exact_mean, fixed_point, half_up
+from odolake.operators.joining import join_checked
+from odolake.session import checkpoint
 
 
 def standardize(df: DataFrame, cols: list[str], suffix: str = "_std") -> DataFrame:
@@ -21,7 +23,10 @@ def standardize(df: DataFrame, cols: list[str], suffix: str = "_std") -> DataFra
 
 
 def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, seed: int = 0) -> PipelineModel:
-    """K-means on standardised features; MLlib brings only the centroids to the driver."""
+    """K-means on standardised features; MLlib brings only the centroids to the driver.
+
+    The fit reads ``df`` once per iteration, so hand in a stored table.
+    """
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip"),
@@ -32,7 +37,9 @@ def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, seed: int = 0) ->
 
 
 def kmeans_clusters(df: DataFrame, features: list[str], k: int = 3, seed: int = 0) -> DataFrame:
-    return fit_kmeans(df, features, k, seed).transform(df).drop("_raw", "_scaled")
+    """Cluster number per row; rows with a missing feature are left out."""
+    stored = checkpoint(df)
+    return fit_kmeans(stored, features, k, seed).transform(stored).drop("_raw", "_scaled")
 
 
 def assign_cluster(df: DataFrame, features: list[str], centroids: list[list[float]], name: str = "cluster") -> DataFrame:
@@ -90,31 +97,35 @@ def factor_regression(df: DataFrame, y: str, x: str, factor: str) -> DataFrame:
     first category's level.
     """
     rows = df.where(F.col(y).isNotNull() & F.col(x).isNotNull() & F.col(factor).isNotNull())
-    per_category = rows.groupBy(factor).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.avg(x).alias("_mx"),
-        F.avg(y).alias("_my"),
-        F.covar_pop(x, y).alias("_cxy"),
-        F.var_pop(x).alias("_vx"),
+    cells = checkpoint(
+        rows.groupBy(factor).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.avg(x).alias("_mx"),
+            F.avg(y).alias("_my"),
+            F.covar_pop(x, y).alias("_cxy"),
+            F.var_pop(x).alias("_vx"),
+        )
     )
-    slope = per_category.agg(
-        F.try_divide(F.sum(F.col("_cxy") * F.col("_n")), F.sum(F.col("_vx") * F.col("_n")))
+    slope = F.try_divide(F.sum(F.col("_cxy") * F.col("_n")), F.sum(F.col("_vx") * F.col("_n")))
+    model = cells.agg(
+        F.struct(
+            slope.alias("slope"),
+            F.min(factor).alias("first"),
+            F.min_by("_mx", factor).alias("first_mx"),
+            F.min_by("_my", factor).alias("first_my"),
+        )
     ).scalar()
-    levels = per_category.select(factor, (F.col("_my") - slope * F.col("_mx")).alias("_level"))
-    base = levels.agg(F.min_by("_level", factor)).scalar()
-    first = levels.agg(F.min(factor)).scalar()
-    dummies = levels.where(F.col(factor) != first).select(
-        F.concat(F.lit(f"{factor}_"), F.col(factor)).alias("variable"), (F.col("_level") - base).alias("coefficient")
-    )
-    head = per_category.agg(
-        F.try_divide(F.sum(F.col("_cxy") * F.col("_n")), F.sum(F.col("_vx") * F.col("_n"))).alias("coefficient")
-    ).select(F.lit(x).alias("variable"), "coefficient")
-    constant = levels.agg(F.min_by("_level", factor).alias("coefficient")).select(
-        F.lit("(intercept)").alias("variable"), "coefficient"
-    )
-    return (
-        head.unionByName(constant).unionByName(dummies).withColumn("coefficient_abs", F.abs("coefficient"))
-    )
+    level = F.col("_my") - model["slope"] * F.col("_mx")
+    base = model["first_my"] - model["slope"] * model["first_mx"]
+
+    def line(variable: Column, coefficient: Column) -> Column:
+        return F.struct(variable.alias("variable"), coefficient.alias("coefficient"))
+
+    lines = F.when(
+        F.col(factor) == model["first"],
+        F.array(line(F.lit(x), model["slope"]), line(F.lit("(intercept)"), base)),
+    ).otherwise(F.array(line(F.concat(F.lit(f"{factor}_"), F.col(factor)), level - base)))
+    return cells.select(F.inline(lines)).withColumn("coefficient_abs", F.abs("coefficient"))
 
 
 def rank_coefficients(coefficients: DataFrame, digits: int = 6) -> DataFrame:
@@ -131,7 +142,7 @@ def factor_predictions(df: DataFrame, coefficients: DataFrame, x: str, factor: s
     levels = coefficients.where(F.col("variable").startswith(f"{factor}_")).select(
         F.substr("variable", F.lit(len(factor) + 2)).alias(factor), F.col("coefficient").alias("_shift")
     )
-    joined = df.join(levels, factor, "left")
+    joined = join_checked(df, levels, factor, "left")
     predicted = value("(intercept)") + value(x) * F.col(x) + F.coalesce("_shift", F.lit(0.0))
     return joined.withColumn(name, predicted).drop("_shift")
 

@@ -47,12 +47,14 @@ def _far(box: Column) -> Column:
 
 def _keep_best(points: DataFrame) -> DataFrame:
     """Replace each cell by those of its child cells that can hold the nearest place."""
-    bounded = points.withColumn("_bound", F.array_min(F.transform("_children", _far)))
-    hopeful = bounded.withColumn("_box", F.explode(F.filter("_children", lambda box: _near(box) <= F.col("_bound"))))
+    score = lambda box: F.struct(_near(box).alias("near"), _far(box).alias("far"), box["cx"], box["cy"])
+    scored = points.select("_lat", "_lon", F.transform("_children", score).alias("_boxes"))
+    bounded = scored.withColumn("_bound", F.array_min("_boxes.far"))
+    hopeful = bounded.withColumn("_box", F.explode(F.filter("_boxes", lambda box: box["near"] <= F.col("_bound"))))
     per_point = Window.partitionBy("_lat", "_lon")
     return (
-        hopeful.withColumn("_bound", F.min("_bound").over(per_point))
-        .where(_near(F.col("_box")) <= F.col("_bound"))
+        hopeful.select("_lat", "_lon", "_box", F.min("_bound").over(per_point).alias("_bound"))
+        .where(F.col("_box.near") <= F.col("_bound"))
         .select("_lat", "_lon", F.col("_box.cx").alias("px"), F.col("_box.cy").alias("py"))
     )
 

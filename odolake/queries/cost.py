@@ -20,8 +20,8 @@ from odolake.queries.standins import (
     sql_clock,
     sql_mean,
     sql_round,
-    table,
 )
+from odolake.session import checkpoint
 
 # Centroids in units of 10,000 distance units and km/l.
 CENTROIDS = [[4.0, 12.0], [9.0, 17.0], [25.0, 18.0]]
@@ -52,38 +52,45 @@ def distinct_trips(spark, sf_dir):
 
 
 def clustered(spark, sf_dir):
+    """Labelled trips, stored once: the rankings and the simulation read them several times."""
     trips = costs.cluster_input(standins.trip_cost(spark, sf_dir)).withColumn("_far", F.col("dist_km") / F.lit(10000.0))
-    return models.assign_cluster(trips, ["_far", "media_consumo_km_l"], CENTROIDS, "cluster_consumo").drop("_far")
+    labelled = models.assign_cluster(trips, ["_far", "media_consumo_km_l"], CENTROIDS, "cluster_consumo").drop("_far")
+    return models.rank_clusters(checkpoint(labelled), "cluster_consumo", "media_consumo_km_l")
 
 
 def kmeans_assign(spark, sf_dir):
-    labelled = models.rank_clusters(clustered(spark, sf_dir), "cluster_consumo", "media_consumo_km_l")
-    return labelled.select("nome_usuario", "dist_km", "media_consumo_km_l", "cluster_consumo", "is_best")
+    return clustered(spark, sf_dir).select("nome_usuario", "dist_km", "media_consumo_km_l", "cluster_consumo", "is_best")
 
 
 def _price(spark, sf_dir, pattern):
     return fuel.mean_price_like(prices(spark, sf_dir), pattern, STATE)
 
 
-def _totals(spark, sf_dir, best: bool):
-    """Best vehicles come from the most economical cluster, worst ones from the others."""
-    labelled = models.rank_clusters(clustered(spark, sf_dir), "cluster_consumo", "media_consumo_km_l")
-    return costs.vehicle_totals(labelled.where(F.col("is_best") == F.lit(best)), _price(spark, sf_dir, "%GAS%"))
+def _worst_and_best(spark, sf_dir):
+    """Totals per vehicle: best vehicles come from the most economical cluster, worst ones from the others."""
+    labelled, price = clustered(spark, sf_dir), _price(spark, sf_dir, "%GAS%")
+    return (
+        costs.vehicle_totals(labelled.where(~F.col("is_best")), price),
+        costs.vehicle_totals(labelled.where(F.col("is_best")), price),
+    )
 
 
 def worst_k(spark, sf_dir):
-    return costs.worst_vehicles(_totals(spark, sf_dir, best=False)).orderBy("custo_viagem", "nome_usuario")
+    worst, _ = _worst_and_best(spark, sf_dir)
+    return costs.worst_vehicles(worst).orderBy("custo_viagem", "nome_usuario")
 
 
 def best_k(spark, sf_dir):
-    return costs.best_vehicles(_totals(spark, sf_dir, best=True)).orderBy("custo_viagem", "nome_usuario")
+    _, best = _worst_and_best(spark, sf_dir)
+    return costs.best_vehicles(best).orderBy("custo_viagem", "nome_usuario")
 
 
 def swap_simulation(spark, sf_dir):
     """Three best vehicles on the routes of the five worst: two ranks stay without a partner."""
-    worst = costs.worst_vehicles(_totals(spark, sf_dir, best=False))
-    best = costs.best_vehicles(_totals(spark, sf_dir, best=True), k=3)
-    return costs.swap_simulation(worst, best, _price(spark, sf_dir, "%GASOLINA%"))
+    worst, best = _worst_and_best(spark, sf_dir)
+    return costs.swap_simulation(
+        costs.worst_vehicles(worst), costs.best_vehicles(best, k=3), _price(spark, sf_dir, "%GASOLINA%")
+    )
 
 
 QUERIES = {
