@@ -39,7 +39,7 @@ def fold_consecutive(
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(seq)
     rows = (
         df.select(*keys, seq, *[c for c in dict.fromkeys([*cols, *second, *[a[1] for a in aggs.values()]]) if c != seq])
-        .withColumn("_chunk", F.floor(F.col(seq) / F.lit(chunk)))
+        .withColumn("_chunk", F.col(seq) - F.pmod(F.col(seq), F.lit(chunk)))
         .withColumns({f"_prev_{c}": F.lag(c).over(in_chunk) for c in [seq, *cols]})
     )
     current = {c: F.col(c) for c in cols}
