@@ -35,8 +35,8 @@ def mpg_to_km_per_litre(mpg: Column) -> Column:
 
 
 def null_if_nan_text(value: Column, to_type: str) -> Column:
-    """Text column where a missing value was stored as ``'nan'``, cast to its type."""
-    return F.nullif(value, F.lit("nan")).try_cast(to_type)
+    """Text column where a missing value was stored as ``'nan'``, cast to its type; typed columns pass through."""
+    return F.nullif(value.cast("string"), F.lit("nan")).try_cast(to_type)
 
 
 def fixed_point(value: Column, digits: int = 6) -> Column:

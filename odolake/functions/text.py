@@ -90,5 +90,6 @@ def first_word(text: Column) -> Column:
 
 def assign_label(key: Column, labels: list[str] = VEHICLE_LABELS, seed: int = 7919) -> Column:
     """A label picked by a whole-number key: the same key always gets the same label."""
-    position = F.pmod(key * F.lit(seed), F.lit(len(labels))) + F.lit(1)
+    count = F.lit(len(labels))
+    position = F.pmod(F.pmod(key, count) * F.lit(seed), count) + F.lit(1)
     return F.element_at(F.array(*[F.lit(label) for label in labels]), position.cast("int"))

@@ -79,8 +79,10 @@ def one_hot(df: DataFrame, column: str, drop_first: bool = True) -> DataFrame:
 
 def holdout(key: Column, second: Column | None = None, train_tenths: int = 7) -> Column:
     """True for training rows; depends on the key only, so it survives any repartitioning."""
-    mixed = key * F.lit(7919) + (second if second is not None else F.lit(0))
-    return F.pmod(mixed, F.lit(10)) < train_tenths
+    ten = F.lit(10)
+    # Only last digits matter; reducing first keeps large keys from overflowing.
+    mixed = F.pmod(key, ten) * F.lit(7919) + (F.pmod(second, ten) if second is not None else F.lit(0))
+    return F.pmod(mixed, ten) < train_tenths
 
 
 def simple_regression(df: DataFrame, y: str, x: str) -> DataFrame:

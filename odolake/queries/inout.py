@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from odolake.queries.standins import POINTS, TRIP, points, table
+from odolake.operators import trips
+from odolake.queries.standins import DISTANCES, POINTS, TRIP, points, table
 from odolake.session import shared_dir
 from odolake.sinks import writers
 from odolake.sources import delimited, gpx, tables
@@ -187,7 +188,7 @@ def incremental_ingest(spark, sf_dir):
 
     def run() -> None:
         stream = ingest.new_files(spark, landing, "parquet", events.schema, archive)
-        ingest.refresh(stream, lambda batch: batch.where(F.col("event_id").isNotNull()), target, progress)
+        ingest.refresh(stream, {target: lambda batch: batch.where(F.col("event_id").isNotNull())}, progress)
 
     writers.append(events.where(F.col("event_type") != "click"), landing)
     run()
@@ -197,6 +198,22 @@ def incremental_ingest(spark, sf_dir):
     return spark.read.parquet(target).drop("batch_id")
 
 
+def incremental_trips(spark, sf_dir):
+    """Trip facts batch by batch: a drop holds whole trips, so no state is kept between runs."""
+    landing, target, progress = shared_dir(spark, "points"), shared_dir(spark, "trips"), shared_dir(spark, "progress")
+    all_points = points(spark, sf_dir)
+    schema = all_points.schema
+
+    def facts(batch):
+        return trips.measured_trips(trips.trip_distances(batch, TRIP))
+
+    first_half = F.dayofmonth("trip_date") <= 15
+    for drop in (first_half, ~first_half):
+        writers.append(all_points.where(drop), landing)
+        ingest.refresh(ingest.new_files(spark, landing, "parquet", schema), {target: facts}, progress)
+    return spark.read.parquet(target).select(*TRIP, "n_points", "n_segments", "dist_euclidiana", "dist_manhattan")
+
+
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_charset": csv_charset,
@@ -210,6 +227,7 @@ QUERIES = {
     "gpx_points": gpx_points,
     "gpx_quarantine": gpx_quarantine,
     "incremental_ingest": incremental_ingest,
+    "incremental_trips": incremental_trips,
 }
 
 _DOCS = f"""{POINTS}, docs AS (
@@ -237,4 +255,7 @@ ORACLES = {
     "gpx_quarantine": f"""WITH {_DOCS} SELECT DISTINCT trk_name AS name, true AS is_corrupt FROM docs
         WHERE user_id % 10 = 0""",
     "incremental_ingest": "SELECT event_id, user_id, event_type, value FROM events",
+    "incremental_trips": f"""WITH {DISTANCES}
+        SELECT user_id, trip_date, n_points, n_segments, dist_euclidiana, dist_manhattan
+        FROM distances WHERE n_segments > 0""",
 }

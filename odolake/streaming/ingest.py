@@ -17,16 +17,21 @@ def new_files(spark: SparkSession, path: str, fmt: str, schema, archive: str | N
 
 
 def refresh(
-    stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str
+    stream: DataFrame, outputs: dict[str, Callable[[DataFrame], DataFrame]], checkpoint: str
 ) -> StreamingQuery:
-    """Process all new files with a batch function and add the result to ``target``.
+    """Process all new files with batch functions; ``outputs`` maps a target path to its function.
 
-    A file holds whole trips, so the function needs no state between batches. Each batch writes
+    A file holds whole trips, so the functions need no state between batches. Each batch writes
     its own folder in overwrite mode: a batch that is run again after a failure replaces itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+        if len(outputs) > 1:
+            batch = batch.persist()
+        for target, transform in outputs.items():
+            transform(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+        if len(outputs) > 1:
+            batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)

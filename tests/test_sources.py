@@ -126,7 +126,7 @@ def test_incremental_runs_take_each_file_once(spark, tmp_path):
 
     def run():
         stream = ingest.new_files(spark, landing, "csv", "id BIGINT, v DOUBLE", archive, sep=";", header="true")
-        ingest.refresh(stream, lambda batch: batch.groupBy("id").agg(F.sum("v").alias("v")), target, progress)
+        ingest.refresh(stream, {target: lambda batch: batch.groupBy("id").agg(F.sum("v").alias("v"))}, progress)
         return spark.read.parquet(target).count()
 
     os.makedirs(landing)

@@ -43,7 +43,7 @@ def test_missing_coordinates_break_both_neighbour_segments(spark):
     assert (profile.uphill, profile.downhill) == (3.0, 4.0)
 
 
-@pytest.mark.parametrize("chunk", [1, 2, 7, 65536])
+@pytest.mark.parametrize("chunk", [1, 2, 7, 1 << 20])
 def test_chunks_do_not_change_any_result(spark, chunk):
     """One trip holds most rows and spans many chunks; gaps in the numbering leave chunks empty."""
     rng = random.Random(3)
