@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+BROADCAST_CELLS = 20_000
+
+
 def _cell(col: str, size: float) -> Column:
     return F.floor(F.col(col) / F.lit(size))
 
@@ -35,27 +38,24 @@ def _boxes(places: DataFrame, parent: list[Column], child: list[Column]) -> Data
     return per_child.groupBy(*up).agg(F.collect_list(box).alias("_children"))
 
 
-def _near(box: Column) -> Column:
-    dx, dy = _gap(F.col("_lat"), box["s"], box["n"]), _gap(F.col("_lon"), box["w"], box["e"])
-    return dx * dx + dy * dy
-
-
-def _far(box: Column) -> Column:
-    dx, dy = _reach(F.col("_lat"), box["s"], box["n"]), _reach(F.col("_lon"), box["w"], box["e"])
-    return dx * dx + dy * dy
-
-
 def _keep_best(points: DataFrame) -> DataFrame:
     """Replace each cell by those of its child cells that can hold the nearest place."""
-    score = lambda box: F.struct(_near(box).alias("near"), _far(box).alias("far"), box["cx"], box["cy"])
-    scored = points.select("_lat", "_lon", F.transform("_children", score).alias("_boxes"))
-    bounded = scored.withColumn("_bound", F.array_min("_boxes.far"))
-    hopeful = bounded.withColumn("_box", F.explode(F.filter("_boxes", lambda box: box["near"] <= F.col("_bound"))))
-    per_point = Window.partitionBy("_lat", "_lon")
+    boxes = points.select("_lat", "_lon", F.explode("_children").alias("_box")).select("_lat", "_lon", "_box.*")
+    lat, lon = F.col("_lat"), F.col("_lon")
+    s, n, w, e = (F.col(side) for side in "snwe")
+    scored = boxes.select(
+        "_lat",
+        "_lon",
+        F.col("cx").alias("px"),
+        F.col("cy").alias("py"),
+        (_gap(lat, s, n) * _gap(lat, s, n) + _gap(lon, w, e) * _gap(lon, w, e)).alias("_near"),
+        (_reach(lat, s, n) * _reach(lat, s, n) + _reach(lon, w, e) * _reach(lon, w, e)).alias("_far"),
+    )
+    per_point = Window.partitionBy("_lat", "_lon")  # the children of a few cells
     return (
-        hopeful.select("_lat", "_lon", "_box", F.min("_bound").over(per_point).alias("_bound"))
-        .where(F.col("_box.near") <= F.col("_bound"))
-        .select("_lat", "_lon", F.col("_box.cx").alias("px"), F.col("_box.cy").alias("py"))
+        scored.withColumn("_bound", F.min("_far").over(per_point))
+        .where(F.col("_near") <= F.col("_bound"))
+        .select("_lat", "_lon", "px", "py")
     )
 
 
@@ -96,7 +96,11 @@ def nearest_place(
     roots = _boxes(spots, nowhere, child(sizes[0])).select("_children")
     found = _keep_best(wanted.withColumn("_children", roots.scalar()))
     for wide, narrow in zip(sizes, sizes[1:]):
-        found = _keep_best(found.join(_boxes(spots, parent(wide), child(narrow)), ["px", "py"]))
+        cells = _boxes(spots, parent(wide), child(narrow))
+        # Wide cells are few whatever the number of places; narrow ones are left to adaptive execution.
+        if (180 / wide) * (360 / wide) <= BROADCAST_CELLS:
+            cells = F.broadcast(cells)
+        found = _keep_best(found.join(cells, ["px", "py"]))
 
     leaves = spots.select(*parent(leaf), "_plat", "_plon", "_key")
     dlat, dlon = F.col("_lat") - F.col("_plat"), F.col("_lon") - F.col("_plon")
