@@ -3,17 +3,16 @@
 Places are grouped into cells of ``leaf`` degrees, those into cells ``2 ** bits`` times as wide,
 and so on. Every cell keeps the bounding box of its places. A point starts with the widest cells
 and at each level keeps only cells that can still hold its nearest place: the smallest possible
-distance to their box is not above the largest possible distance to the best box. So a point
-never meets all places of a dense cell, and there is no cross join. All joins are on the cell key,
-where the cell side has one row per cell.
+distance to their box is not above the largest possible distance to the best box. The boxes of the
+point's own cells give a good first bound. So a point never meets all places of a dense cell, and
+there is no cross join. All joins are on the cell key, and the cell side has one row per cell.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-
-BROADCAST_CELLS = 20_000
+BROADCAST_CELLS = 50_000
 
 
 def _cell(col: str, size: float) -> Column:
@@ -28,34 +27,64 @@ def _reach(point: Column, low: Column, high: Column) -> Column:
     return F.greatest(point - low, high - point)
 
 
-def _boxes(places: DataFrame, parent: list[Column], child: list[Column]) -> DataFrame:
-    """Per parent cell the array of its child cells with their boxes (at most ``4 ** bits``)."""
-    per_child = places.groupBy(*parent, *child).agg(
+def _squares(lat: Column, lon: Column, measure) -> Column:
+    dx, dy = measure(lat, F.col("s"), F.col("n")), measure(lon, F.col("w"), F.col("e"))
+    return dx * dx + dy * dy
+
+
+def _nearest_in_box() -> Column:
+    return _squares(F.col("_lat"), F.col("_lon"), _gap)
+
+
+def _farthest_in_box() -> Column:
+    return _squares(F.col("_lat"), F.col("_lon"), _reach)
+
+
+def _boxes(places: DataFrame, cell: list[Column]) -> DataFrame:
+    """Bounding box of the places of each cell."""
+    return places.groupBy(*cell).agg(
         F.min("_plat").alias("s"), F.max("_plat").alias("n"), F.min("_plon").alias("w"), F.max("_plon").alias("e")
     )
-    up = [F.col("px"), F.col("py")]
+
+
+def _families(places: DataFrame, parent: list[Column], child: list[Column]) -> DataFrame:
+    """Per parent cell the array of its child cells with their boxes (at most ``4 ** bits``)."""
     box = F.struct("cx", "cy", "s", "n", "w", "e")
-    return per_child.groupBy(*up).agg(F.collect_list(box).alias("_children"))
+    return _boxes(places, [*parent, *child]).groupBy("px", "py").agg(F.collect_list(box).alias("_children"))
+
+
+def _few(size: float) -> bool:
+    """Whether a map of cells of this size is small whatever the number of places."""
+    return (180 / size) * (360 / size) <= BROADCAST_CELLS
+
+
+def _own_cell_bound(points: DataFrame, places: DataFrame, size: float) -> DataFrame:
+    """Tighten the bound of the points whose own cell holds a place."""
+    boxes = F.broadcast(_boxes(places, [_cell("_plat", size).alias("px"), _cell("_plon", size).alias("py")]))
+    here = (_cell("_lat", size) == F.col("px")) & (_cell("_lon", size) == F.col("py"))
+    return points.join(boxes, here, "left").select(
+        "_lat", "_lon", F.least("_bound", _farthest_in_box()).alias("_bound")
+    )
 
 
 def _keep_best(points: DataFrame) -> DataFrame:
     """Replace each cell by those of its child cells that can hold the nearest place."""
-    boxes = points.select("_lat", "_lon", F.explode("_children").alias("_box")).select("_lat", "_lon", "_box.*")
-    lat, lon = F.col("_lat"), F.col("_lon")
-    s, n, w, e = (F.col(side) for side in "snwe")
+    boxes = points.select("_lat", "_lon", "_bound", F.explode("_children").alias("_box"))
+    boxes = boxes.select("_lat", "_lon", "_bound", "_box.*")
     scored = boxes.select(
         "_lat",
         "_lon",
         F.col("cx").alias("px"),
         F.col("cy").alias("py"),
-        (_gap(lat, s, n) * _gap(lat, s, n) + _gap(lon, w, e) * _gap(lon, w, e)).alias("_near"),
-        (_reach(lat, s, n) * _reach(lat, s, n) + _reach(lon, w, e) * _reach(lon, w, e)).alias("_far"),
-    )
+        _nearest_in_box().alias("_near"),
+        F.least("_bound", _farthest_in_box()).alias("_bound"),
+        F.col("_bound").alias("_known"),
+    ).where(F.col("_near") <= F.col("_known"))
     per_point = Window.partitionBy("_lat", "_lon")  # the children of a few cells
     return (
-        scored.withColumn("_bound", F.min("_far").over(per_point))
+        scored.select("_lat", "_lon", "px", "py", "_near", F.min("_bound").over(per_point).alias("_bound"))
         .where(F.col("_near") <= F.col("_bound"))
-        .select("_lat", "_lon", "px", "py")
+        .drop("_near")
     )
 
 
@@ -91,16 +120,17 @@ def nearest_place(
     def parent(size: float) -> list[Column]:
         return [_cell("_plat", size).alias("px"), _cell("_plon", size).alias("py")]
 
+    wanted = wanted.withColumn("_bound", F.lit(float("inf")))
+    for size in filter(_few, sizes):
+        wanted = _own_cell_bound(wanted, spots, size)
     # The widest cells are few (the map divided by the widest size), so all go to every point.
-    nowhere = [F.lit(0).cast("bigint").alias("px"), F.lit(0).cast("bigint").alias("py")]
-    roots = _boxes(spots, nowhere, child(sizes[0])).select("_children")
+    nowhere = [F.lit(0).alias("px"), F.lit(0).alias("py")]
+    roots = _families(spots, nowhere, child(sizes[0])).select("_children")
     found = _keep_best(wanted.withColumn("_children", roots.scalar()))
     for wide, narrow in zip(sizes, sizes[1:]):
-        cells = _boxes(spots, parent(wide), child(narrow))
+        cells = _families(spots, parent(wide), child(narrow))
         # Wide cells are few whatever the number of places; narrow ones are left to adaptive execution.
-        if (180 / wide) * (360 / wide) <= BROADCAST_CELLS:
-            cells = F.broadcast(cells)
-        found = _keep_best(found.join(cells, ["px", "py"]))
+        found = _keep_best(found.join(F.broadcast(cells) if _few(wide) else cells, ["px", "py"]))
 
     leaves = spots.select(*parent(leaf), "_plat", "_plon", "_key")
     dlat, dlon = F.col("_lat") - F.col("_plat"), F.col("_lon") - F.col("_plon")
