@@ -21,8 +21,9 @@ def refresh(
 ) -> StreamingQuery:
     """Process all new files with batch functions; ``outputs`` maps a target path to its function.
 
-    A file holds whole trips, so the functions need no state between batches. Each batch writes
-    its own folder in overwrite mode: a batch that is run again after a failure replaces itself.
+    A drop of files holds whole trips, so the functions need no state between batches; do not cut a
+    drop with ``maxFilesPerTrigger`` where a trip may span files. Each batch writes its own folder in
+    overwrite mode: a batch that is run again after a failure replaces itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -12,7 +12,7 @@ def values(spark, rows, schema, *cols):
 
 def test_file_name_fields(spark):
     names = [
-        ("10109852__Routes_from_sunnypilot_0_9_4_1-release__VOLKSWAGEN_PASSAT_8TH_GEN__.csv",),
+        ("10109852__Routes_of_a_tour_0_9_4_1-release__VOLKSWAGEN_PASSAT_8TH_GEN__.csv",),
         ("10109849__Muara_Bulian.csv",),
         ("1__routes__A__B.csv",),
         ("notes.csv",),
