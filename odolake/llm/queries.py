@@ -38,6 +38,33 @@ def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.toxicity import fit
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    train = docs.select("doc_id", "text").join(labels.where(~held_out).select("doc_id", "toxic"), "doc_id")
+    scored = fit(train).score(docs)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.language import predict, prototypes
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    found = predict(docs, prototypes(docs.where(~held_out).select("text", "lang")))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.order_minhash import with_edited
+
+    return with_edited(table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odolake.llm.near_dedup import near_duplicates
 
@@ -48,6 +75,9 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_decontaminate": op3_decontaminate,
     "op5_dedup_lines": op5_dedup_lines,
+    "op6_toxicity": op6_toxicity,
+    "op7_language": op7_language,
+    "op8_order_minhash": op8_order_minhash,
     "op9_near_duplicates": op9_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
