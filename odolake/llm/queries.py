@@ -71,6 +71,13 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.repeats import repeated_bytes
+
+    found = repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_decontaminate": op3_decontaminate,
@@ -79,5 +86,6 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_order_minhash": op8_order_minhash,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_repeated_bytes": op10_repeated_bytes,
 }
 ORACLES: dict[str, str] = {}
