@@ -103,12 +103,12 @@ def _item_words(batches):
 def _result(part: pa.RecordBatch, n_words: np.ndarray, hit: list[int], found: list[list[str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            part.column("doc_id"),
+            part.column("row"),
             pa.array(n_words.astype(np.int64)),
             pa.array(hit, pa.int64()),
             pa.array(found, pa.list_(pa.string())),
         ],
-        ["doc_id", "n_words", "n_hit", "items"],
+        ["row", "n_words", "n_hit", "items"],
     )
 
 
@@ -139,8 +139,8 @@ def _fingerprints(lengths: list[int]):
                 texts.append(owner[: len(keep)][keep])
             pair = np.unique(np.stack([np.concatenate(texts).astype(np.uint64), np.concatenate(values)]), axis=1)
             yield pa.RecordBatch.from_arrays(
-                [part.column("row").take(pa.array(pair[0].astype(np.int64))), pa.array(pair[1].view(np.int64))],
-                ["row", "finger"],
+                [part.column("name").take(pa.array(pair[0].astype(np.int64))), pa.array(pair[1].view(np.int64))],
+                ["name", "finger"],
             )
 
     return scan
@@ -172,15 +172,15 @@ def _with_own(batches):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit, items.
+    """One row per row of ``docs`` (doc_id, text): row, n_words, n_hit, items.
 
-    ``items`` are the ids (as text, sorted, distinct) of the benchmark items with a window in the document, ``n_hit``
+    ``row`` is a struct of all columns of ``docs``, whatever their names. ``items`` are the ids (as text, sorted, distinct) of the benchmark items with a window in the document, ``n_hit``
     the words inside any window. Null and empty texts have no words; so have such items, which match nothing. A
     window of an item without id hits words but adds no id. Rows that repeat are treated each on its own. Other
-    columns of either table are ignored whatever their names. An empty benchmark hits nothing.
+    columns of the benchmark are ignored. An empty benchmark hits nothing.
     """
-    spark = docs.sparkSession
-    out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_hit long, items array<string>"
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    out = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_hit long, items array<string>"
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     items = stored(
         benchmark.select("item_id", "text")
@@ -190,21 +190,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WO
     )
     total = items.agg(F.sum(F.size("words"))).first()[0] or 0
     if total <= max_words:
-        rows = items.collect()  # at most ``max_words`` numbers
-        windows = Windows([r.id for r in rows], [np.array(r.words, np.int64).view(np.uint64) for r in rows])
-        return docs.select("doc_id", "text").mapInArrow(_with_all(windows), out)
+        known = items.collect()  # at most ``max_words`` numbers
+        windows = Windows([r.id for r in known], [np.array(r.words, np.int64).view(np.uint64) for r in known])
+        return rows.mapInArrow(_with_all(windows), out)
 
     numbered = stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
     lengths = [
         r.n for r in numbered.select(F.size("words").alias("n")).where(f"n between 1 and {WINDOW - 1}").distinct().collect()
     ]
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
-    fingers = keyed.select("row", "text").mapInArrow(_fingerprints(lengths), "row long, finger long")
+    keyed = rows.withColumn("name", F.xxhash64("text"))
+    fingers = keyed.select("name", "text").mapInArrow(_fingerprints(lengths), "name long, finger long")
     item_fingers = numbered.select("item", "words").mapInArrow(_item_fingerprints, "item long, finger long")
-    pairs = fingers.join(item_fingers, "finger").select("row", "item").distinct()
+    pairs = fingers.join(item_fingers, "finger").select("name", "item").distinct()
     own = (
         pairs.join(numbered, "item")
-        .groupBy("row")
+        .groupBy("name")
         .agg(F.collect_list(F.struct("id", "words")).alias("own"))  # items one document shares a fingerprint with
     )
-    return keyed.join(own, "row", "left").select("doc_id", "text", "own").mapInArrow(_with_own, out)
+    return keyed.join(own, "name", "left").select("row", "text", "own").mapInArrow(_with_own, out)

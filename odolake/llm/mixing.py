@@ -91,7 +91,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
 
 
 def mix(docs: DataFrame, seed: str = "mix", shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken.
+    """One row per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, text_hash.
 
     A null or empty text has size 0 and nothing is taken of it. Documents without source are a source of their own,
     last in order. Rows without id and rows that repeat an id lie side by side in the keyed order, equal rows in
@@ -100,7 +100,8 @@ def mix(docs: DataFrame, seed: str = "mix", shard_docs: int = SHARD_DOCS) -> Dat
     """
     hashed = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = stored(docs.select("doc_id", "source", size.alias("size"), hashed.alias("spot")), "sizes")
+    sized = docs.select("doc_id", "source", size.alias("size"), hashed.alias("spot"), F.xxhash64("text").alias("text_hash"))
+    sized = stored(sized, "sizes")
 
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
     wanted = targets(per_source.select("source", "source_size"))
@@ -119,7 +120,7 @@ def mix(docs: DataFrame, seed: str = "mix", shard_docs: int = SHARD_DOCS) -> Dat
     named = plan.select(F.col("source").alias("_s"), "source_size", "target", "shards")
     shard = (F.conv(F.substring("spot", 1, 8), 16, 10).cast("long") % F.col("shards")).cast("int")
     placed = sized.join(named, F.col("source").eqNullSafe(F.col("_s"))).select(
-        "doc_id", "source", "size", "spot", "source_size", "target", shard.alias("shard")
+        "doc_id", "source", "size", "spot", "source_size", "target", "text_hash", shard.alias("shard")
     )
     placed = stored(placed, "placed")
 
@@ -132,11 +133,11 @@ def mix(docs: DataFrame, seed: str = "mix", shard_docs: int = SHARD_DOCS) -> Dat
     )
     shards = shards.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "words", words.alias("take"))
 
-    lying = Window.partitionBy("source", "shard").orderBy("spot", "doc_id", "size")
+    lying = Window.partitionBy("source", "shard").orderBy("spot", "doc_id", "size", "text_hash")
     start = F.sum("size").over(lying.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
     laid = placed.withColumn("start", start)
     joined = laid.join(shards, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h")))
-    return joined.select("doc_id", "size", "source_size", "target", _taken().alias("taken"))
+    return joined.select("doc_id", "size", "source_size", "target", _taken().alias("taken"), "text_hash")
 
 
 def _taken() -> Column:

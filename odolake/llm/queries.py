@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from odolake.llm.common import crc_mod, table
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.pii import replace_pii
+
+    return replace_pii(table(spark, sf_dir, "documents")).select("doc_id", "pii.*", "text")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odolake.llm.mixing import mix
 
@@ -18,7 +24,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
-        "doc_id",
+        "row.doc_id",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
@@ -27,6 +33,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from odolake.llm.line_dedup import dedup_lines
 
@@ -44,7 +56,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
     train = docs.select("doc_id", "text").join(labels.where(~held_out).select("doc_id", "toxic"), "doc_id")
-    scored = fit(train).score(docs)
+    scored = fit(train).score(docs).select("row.doc_id", "score")
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
@@ -79,8 +91,10 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_mix_sources": op2_mix_sources,
     "op3_decontaminate": op3_decontaminate,
+    "op4_license_scan": op4_license_scan,
     "op5_dedup_lines": op5_dedup_lines,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,

@@ -225,12 +225,16 @@ class Model:
         self.lexicon, self.trees, self.curve, self.rate = lexicon, trees, curve, rate
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, score) of every row of ``docs``; null and empty texts have zero features and get a score too."""
+        """(row, score) of every row of ``docs``; ``row`` is a struct of all its columns, whatever their names.
+
+        Only the text is scored. Null and empty texts have zero features and get a score too; repeated rows get equal scores.
+        """
+        rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
         if self.trees is None:
-            return docs.select("doc_id", F.lit(self.rate).alias("score"))
-        scored = _margin(self.trees, with_features(docs, self.lexicon, ["doc_id"]))
+            return rows.select("row", F.lit(self.rate).alias("score"))
+        scored = _margin(self.trees, with_features(rows, self.lexicon, ["row"]))
         fitted = self.curve.transform(scored)
-        return fitted.select("doc_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "prediction")).alias("score"))
+        return fitted.select("row", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "prediction")).alias("score"))
 
 
 def _margin(trees, df: DataFrame) -> DataFrame:
