@@ -1,6 +1,6 @@
 """Line dedup by a deletion-neighbourhood join on words.
 
-Lines are compared after lower-casing and joining their words with one space. Equal lines are repeats. Lines of
+Lines are compared by their words in lower case, so blanks do not matter. Equal lines are repeats. Lines of
 ``MIN_WORDS`` words or more are also repeats if one word was replaced, added or left out (word edit distance 1). The
 earliest line, by document id and line number, stays; a line goes if any earlier line lies within the bound, judged
 on the input.
@@ -26,8 +26,9 @@ BLOCK = 256
 SAME, SHORT, LONG = 0, 1, 2  # roles of a line under a key
 
 
-def _normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Z}]+", " "))
+def _words(line: Column) -> Column:
+    """Words of a line in lower case; two lines are equal if their words are."""
+    return F.array_remove(F.split(F.lower(line), r"\s+"), "")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -73,6 +74,7 @@ def _variants(texts: DataFrame) -> DataFrame:
     here = F.transform("words", lambda w, i: F.xxhash64(w, i + 1))
     shifted = F.transform("words", lambda w, i: F.xxhash64(w, i))
     summed = texts.select("h1", "h2", "at", "n", _running_xor(here).alias("left"), _running_xor(shifted).alias("right"))
+    summed = stored(summed, "running")  # else every variant would compute the running values anew
 
     def without(i: Column) -> Column:
         before = F.when(i > 0, F.get("left", i - 1)).otherwise(F.lit(0).cast("bigint"))
@@ -129,14 +131,13 @@ def _near_lines(texts: DataFrame) -> DataFrame:
 
 def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, line_no, exact) of every line that goes; ``th`` is the hash of the document's text."""
-    normal = _lines(docs).withColumn("line", _normal(F.col("line"))).where("line <> ''")
-    words = F.split("line", " ")
-    lines = normal.withColumn("words", words).select(
+    words = _lines(docs).withColumn("words", _words(F.col("line"))).where(F.size("words") > 0)
+    lines = words.select(
         "doc_id",
         "th",
         "line_no",
-        F.xxhash64(F.lit(1), "line").alias("h1"),
-        F.xxhash64(F.lit(2), "line").alias("h2"),
+        F.xxhash64(F.lit(1), "words").alias("h1"),
+        F.xxhash64(F.lit(2), "words").alias("h2"),
         F.size("words").alias("n"),
         F.when(F.size("words") >= min_words, _half_keys(F.col("words"), F.size("words"))).alias("keys"),
     )
@@ -159,10 +160,12 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts = cut.select(
         F.inline(F.transform("some", lambda x: F.struct(
             x["h1"].alias("h1"), x["h2"].alias("h2"), x["at"].alias("at"), x["n"].alias("n"),
-            F.split(_normal(F.get("lines", x["at"]["line_no"])), " ").alias("words"),
+            _words(F.get("lines", x["at"]["line_no"])).alias("words"),
         )))
     )
-    near = _near_lines(stored(texts, "texts")).withColumn("near", F.lit(True))
+    # Variants are many times as large as the few lines they come from, so spread these out first.
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = _near_lines(stored(texts.repartition(spread, "h1"), "texts")).withColumn("near", F.lit(True))
 
     marked = lines.join(first.select("h1", "h2", "at"), ["h1", "h2"]).join(near, ["h1", "h2"], "left")
     exact = spot > F.col("at")
