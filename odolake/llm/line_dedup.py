@@ -20,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from odolake.llm.common import stored
+from odolake.operators.ordering import with_position
 
 MIN_WORDS = 8
 BLOCK = 256
+PLACES = 1 << 23  # more than the words of a line
 SAME, SHORT, LONG = 0, 1, 2  # roles of a line under a key
 
 
@@ -85,7 +87,7 @@ def _variants(texts: DataFrame) -> DataFrame:
     """Keys of every line: without each word for lines as long, and in both roles for lines one word longer."""
     here = F.transform("words", lambda w, i: F.xxhash64(w, i + 1))
     shifted = F.transform("words", lambda w, i: F.xxhash64(w, i))
-    summed = texts.select("h1", "h2", "at", "n", _running_xor(here).alias("left"), _running_xor(shifted).alias("right"))
+    summed = texts.select("spot", "n", _running_xor(here).alias("left"), _running_xor(shifted).alias("right"))
     summed = stored(summed, "running")  # else every variant would compute the running values anew
 
     def without(i: Column) -> Column:
@@ -93,14 +95,15 @@ def _variants(texts: DataFrame) -> DataFrame:
         return before.bitwiseXOR(F.element_at("right", -1)).bitwiseXOR(F.get("right", i))
 
     def entry(key: Column, role: int, place: Column) -> Column:
-        return F.struct(key.alias("key"), F.lit(role).alias("role"), place.alias("place"))
+        packed = F.col("spot") * PLACES + place + 1  # smaller for an earlier line
+        return F.struct(key.alias("key"), F.lit(role).alias("role"), packed.alias("at"))
 
     places = F.sequence(F.lit(0), F.col("n") - 1)
     as_long = F.transform(places, lambda i: entry(F.xxhash64(F.lit(SAME), F.col("n"), i, without(i)), SAME, i))
     longer = F.transform(places, lambda i: entry(F.xxhash64(F.lit(SHORT), F.col("n") - 1, without(i)), LONG, i))
     itself = entry(F.xxhash64(F.lit(SHORT), F.col("n"), F.element_at("left", -1)), SHORT, F.lit(-1))
     keys = F.concat(as_long, longer, F.array(itself))
-    return summed.select("h1", "h2", "at", F.inline(keys))
+    return summed.select(F.inline(keys))
 
 
 def _without(words: str, place: str) -> Column:
@@ -111,7 +114,7 @@ def _without(words: str, place: str) -> Column:
 def _near_lines(texts: DataFrame) -> DataFrame:
     """(h1, h2) of the lines with an earlier line at word distance 1; a word-by-word check confirms each."""
     variants = stored(_variants(texts), "variants")
-    spot = F.struct("at", "h1", "h2", "place")
+    spot = F.col("at")
     earliest = variants.groupBy("key").agg(
         F.count(F.lit(1)).alias("k"),
         F.min(F.when(F.col("role") == SAME, spot)).alias("same"),
@@ -120,19 +123,18 @@ def _near_lines(texts: DataFrame) -> DataFrame:
     )
     met = variants.join(earliest.where("k > 1").drop("k"), "key")
     other = F.when(F.col("role") == SAME, F.col("same")).when(F.col("role") == SHORT, F.col("long")).otherwise(F.col("short"))
-    met = met.withColumn("other", other).where(F.col("other.at") < F.col("at"))
-    pairs = met.groupBy("h1", "h2").agg(F.min(F.struct("other", "role", "place")).alias("m"))
+    line, place = F.expr(f"at div {PLACES}"), F.col("at") % PLACES - 1
+    met = met.withColumn("other", other).withColumn("spot", line).where(F.expr(f"other div {PLACES}") < F.col("spot"))
+    pairs = met.groupBy("spot").agg(F.min(F.struct("other", "role", place.alias("place"))).alias("m"))
     pairs = pairs.select(
-        "h1",
-        "h2",
-        F.col("m.other.h1").alias("o1"),
-        F.col("m.other.h2").alias("o2"),
+        "spot",
+        F.expr(f"m.other div {PLACES}").alias("other_spot"),
         "m.role",
-        "m.place",
-        F.col("m.other.place").alias("other_place"),
+        F.col("m.place").cast("int").alias("place"),
+        (F.col("m.other") % PLACES - 1).cast("int").alias("other_place"),
     )
-    theirs = texts.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("other_words"))
-    both = pairs.join(texts.select("h1", "h2", "words"), ["h1", "h2"]).join(theirs, ["o1", "o2"])
+    theirs = texts.select(F.col("spot").alias("other_spot"), F.col("words").alias("other_words"))
+    both = pairs.join(texts.select("spot", "h1", "h2", "words"), "spot").join(theirs, "other_spot")
     alike = (
         F.when(F.col("role") == SAME, _without("words", "place") == _without("other_words", "other_place"))
         .when(F.col("role") == SHORT, F.col("words") == _without("other_words", "other_place"))
@@ -177,7 +179,8 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     # Variants are many times as large as the few lines they come from, so spread these out first.
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = _near_lines(stored(texts.repartition(spread, "h1"), "texts")).withColumn("near", F.lit(True))
+    texts = with_position(texts.repartition(spread, "h1"), ["at"], "spot")
+    near = _near_lines(stored(texts.select("spot", "h1", "h2", "n", "words"), "texts")).withColumn("near", F.lit(True))
 
     marked = lines.join(first.select("h1", "h2", "at"), ["h1", "h2"]).join(near, ["h1", "h2"], "left")
     exact = spot > F.col("at")
