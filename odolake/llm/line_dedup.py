@@ -113,7 +113,7 @@ def _without(words: str, place: str) -> Column:
 
 def _near_lines(texts: DataFrame) -> DataFrame:
     """(h1, h2) of the lines with an earlier line at word distance 1; a word-by-word check confirms each."""
-    variants = stored(_variants(texts), "variants")
+    variants = _variants(texts)
     spot = F.col("at")
     earliest = variants.groupBy("key").agg(
         F.count(F.lit(1)).alias("k"),
@@ -168,7 +168,7 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     maybe = halves.join(several, "half", "left_semi").select("h1", "h2").distinct()
     wanted = first.join(maybe, ["h1", "h2"]).groupBy(F.col("at.doc_id").alias("w_id"), F.col("at.th").alias("w_th"))
     wanted = wanted.agg(F.collect_list(F.struct("h1", "h2", "at", "n")).alias("some"))  # lines of one document
-    sources = docs.select("doc_id", "text", F.xxhash64("text").alias("th")).dropDuplicates(["doc_id", "th"])
+    sources = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
     sources = sources.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("th") == F.col("w_th")))
     cut = sources.select("some", F.split("text", "\n", -1).alias("lines"))
     texts = cut.select(
@@ -178,6 +178,7 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         )))
     )
     # Variants are many times as large as the few lines they come from, so spread these out first.
+    texts = texts.dropDuplicates(["h1", "h2"])  # rows that repeat
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = with_position(texts.repartition(spread, "h1"), ["at"], "spot")
     near = _near_lines(stored(texts.select("spot", "h1", "h2", "n", "words"), "texts")).withColumn("near", F.lit(True))
