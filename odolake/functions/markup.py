@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# Named entities of text, the ampersand last.
+ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+
+
 def elements(html: Column, tag: str) -> Column:
     """Inner HTML of every ``<tag>`` element, in page order."""
     return F.regexp_extract_all(html, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"), 1)
@@ -15,11 +19,20 @@ def first_link(fragment: Column) -> Column:
 
 
 def inner_text(fragment: Column) -> Column:
-    return F.trim(F.regexp_replace(fragment, r"(?s)<[^>]*>", ""))
+    text = F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
+    for entity, sign in ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    return F.trim(text)
+
+
+def _class_with(name: str) -> str:
+    """Pattern of a class attribute, in either kind of quotes, with ``name`` as one of its words."""
+    inside = [rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in ('"', "'")]
+    return rf"class\s*=\s*(?:{'|'.join(inside)})"
 
 
 def has_class(fragment: Column, tag: str, name: str) -> Column:
-    return fragment.rlike(rf'<{tag}\s[^>]*?class="{name}"')
+    return fragment.rlike(rf"<{tag}\s[^>]*?{_class_with(name)}")
 
 
 def title(html: Column) -> Column:
@@ -39,7 +52,7 @@ def nth_element_text(html: Column, tag: str, n: Column | int, default: str | Non
 
 def element_text_by_class(html: Column, tag: str, name: str, default: str = "") -> Column:
     """Text of the first ``<tag class=name>`` element, or the default if there is none."""
-    found = F.regexp_extract(html, rf'(?s)<{tag}\s[^>]*?class="{name}"[^>]*>(.*?)</{tag}>', 1)
+    found = F.regexp_extract(html, rf"(?s)<{tag}\s[^>]*?{_class_with(name)}[^>]*>(.*?)</{tag}>", 1)
     return F.coalesce(F.nullif(inner_text(found), F.lit("")), F.lit(default))
 
 

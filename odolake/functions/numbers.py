@@ -8,16 +8,23 @@ from pyspark.sql import Column, functions as F
 KM_PER_MILE = 1.609344
 LITRES_PER_GALLON = 3.785411784
 
+_WHOLE = 2.0**53  # from here on doubles are whole numbers
+
 
 def half_up(value: Column, digits: int = 6) -> Column:
     """Round a double half up with plain IEEE steps, so other engines can repeat it bit by bit."""
     unit = float(10**digits)
-    return F.floor(value * F.lit(unit) + F.lit(0.5)) / F.lit(unit)
+    scaled = value * F.lit(unit)
+    # Beyond this a double has no digits left to round, and the scaled number does not fit a bigint.
+    rounded = F.floor(scaled + F.lit(0.5)) / F.lit(unit)
+    return F.when(F.abs(scaled) >= F.lit(_WHOLE), value).otherwise(rounded)
 
 
 def micro(value: Column) -> Column:
     """A double as whole millionths; sums of these do not depend on row order."""
-    return F.floor(value * F.lit(1e6) + F.lit(0.5))
+    scaled = value * F.lit(1e6) + F.lit(0.5)
+    too_large = F.raise_error(F.lit("a value of 9e12 or more cannot be summed as whole millionths")).cast("bigint")
+    return F.when(F.abs(scaled) >= F.lit(9e18), too_large).otherwise(F.floor(scaled))
 
 
 def from_micro(value: Column) -> Column:

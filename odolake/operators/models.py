@@ -22,16 +22,18 @@ def standardize(df: DataFrame, cols: list[str], suffix: str = "_std") -> DataFra
     return df.withColumns(out)
 
 
-def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, seed: int = 0) -> PipelineModel:
+def fit_kmeans(
+    df: DataFrame, features: list[str], k: int = 3, seed: int = 0, max_iter: int = 300, tol: float = 1e-4
+) -> PipelineModel:
     """K-means on standardised features; MLlib brings only the centroids to the driver.
 
-    The fit reads ``df`` once per iteration, so hand in a stored table.
+    ``stages[-1].summary.numIter`` tells the iterations used; as many as ``max_iter`` mean it had not converged. The fit reads ``df`` once per iteration, so hand in a stored table.
     """
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip"),
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-            KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="cluster"),
+            KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_scaled", predictionCol="cluster"),
         ]
     ).fit(df)
 
@@ -62,14 +64,21 @@ def rank_clusters(df: DataFrame, cluster: str, by: str) -> DataFrame:
     return df.withColumn("is_best", F.col(cluster) == best)
 
 
-def categories(df: DataFrame, column: str, limit: int = 4096) -> list[str]:
-    """Sorted distinct values for a wide encoding; refuses a column with more than ``limit``."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values; use factor_regression, which has no such limit")
+def categories(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values, as columns of a wide encoding; for many values use ``one_hot_rows``."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(row[0] for row in found)
 
 
+def one_hot_rows(df: DataFrame, key: list[str], column: str, drop_first: bool = True) -> DataFrame:
+    """The encoding as rows (key, category, 1) without zeros: any number of categories, nothing on the driver."""
+    rows = df.where(F.col(column).isNotNull()).select(*key, F.col(column).alias("category"), F.lit(1).alias("value"))
+    if not drop_first:
+        return rows
+    first = df.agg(F.min(column)).scalar()
+    return rows.where(F.col("category") != first)
+
+
 def one_hot(df: DataFrame, column: str, drop_first: bool = True) -> DataFrame:
     """One 0/1 column per category, without the alphabetically first one."""
     kept = categories(df, column)[1 if drop_first else 0 :]

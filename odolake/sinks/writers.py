@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-SINGLE_FILE_ROWS = 1_000_000
-
-
 def write_delimited(
     df: DataFrame, path: str, sep: str = ";", encoding: str = "UTF-8", by: list[str] = (), single_file: bool = False
 ) -> None:
     """``;`` files with a header, in one folder per ``by`` value if given.
 
-    ``single_file`` is for reports; it refuses more than ``SINGLE_FILE_ROWS`` rows, since one task writes them.
+    ``single_file`` is for reports on request: one task then writes all rows, one after another.
     """
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for one file")
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite").option("sep", sep).option("header", True).option("encoding", encoding)
     (writer.partitionBy(*by) if by else writer).csv(path)

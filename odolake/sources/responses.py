@@ -42,6 +42,22 @@ def vehicle_rows(keys: DataFrame, stored: DataFrame, on: list[str]) -> DataFrame
     return found.select(*on, F.inline(F.from_json("body", responses.VEHICLES_SCHEMA)))
 
 
+def vehicle_rejects(keys: DataFrame, stored: DataFrame, on: list[str]) -> DataFrame:
+    """The wanted keys without vehicles, with the reason: no response, its status, or unreadable text."""
+    answers = stored.withColumn("_answered", F.lit(True))
+    rows = F.from_json("body", responses.VEHICLES_SCHEMA)
+    # A text that is no array of objects parses to null or to rows without a single field.
+    readable = rows.isNotNull() & F.exists(rows, lambda r: ~r.eqNullSafe(F.lit(None)) & (F.to_json(r) != "{}"))
+    empty = F.trim(F.col("body")).rlike(r"^\[\s*\]$")
+    reason = (
+        F.when(F.col("_answered").isNull(), "missing")
+        .when(~F.col("status").eqNullSafe(F.lit(OK)), F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("none"))))
+        .when(F.coalesce(~(readable | empty), F.lit(True)), "unreadable")
+    )
+    found = keys.join(answers, on, "left").withColumn("reason", reason)
+    return found.where(F.col("reason").isNotNull()).select(*on, "reason")
+
+
 def feature_names(stored: DataFrame, keep: list[str]) -> DataFrame:
     """Name of every map feature with tags, ``Unnamed`` where the tags have none, with its position."""
     features = F.from_json("body", responses.FEATURES_SCHEMA)["elements"]

@@ -12,16 +12,16 @@ def values(spark, rows, schema, *cols):
 
 def test_file_name_fields(spark):
     names = [
-        ("10109852__Routes_of_a_tour_0_9_4_1-release__VOLKSWAGEN_PASSAT_8TH_GEN__.csv",),
-        ("10109849__Muara_Bulian.csv",),
+        ("4711__morning_loop_2_3-final__OPEL_CORSA_F__.csv",),
+        ("4712__Harbour_Road.csv",),
         ("1__routes__A__B.csv",),
         ("notes.csv",),
     ]
     n = F.col("n")
     found = values(spark, names, "n string", text.trip_id(n), text.trip_user(n), text.trip_user_or_name(n))
     assert found == [
-        ("10109852", "VOLKSWAGEN_PASSAT_8TH_GEN", "VOLKSWAGEN_PASSAT_8TH_GEN"),
-        ("10109849", None, "Muara_Bulian"),
+        ("4711", "OPEL_CORSA_F", "OPEL_CORSA_F"),
+        ("4712", None, "Harbour_Road"),
         ("1", "AB", "A"),
         (None, None, None),
     ]
@@ -167,3 +167,15 @@ def test_page_fields(spark):
         markup.price_text(F.lit("R$"), F.lit("10"), F.lit(None).cast("string")),
     )
     assert found == ("T\nx", "pt", "two", None, "-", "s", "", "R$ 10,00")
+
+
+def test_rounding_keeps_numbers_beyond_the_range(spark):
+    rows = [(1e13,), (1.2345675,), (-9e20,), (None,)]
+    assert values(spark, rows, "x double", numbers.half_up(F.col("x"))) == [(1e13,), (1.234568,), (-9e20,), (None,)]
+
+
+def test_class_words_quotes_and_entities(spark):
+    html = [("<span class='small text-danger'>a&nbsp;&amp;&lt;b</span>",), ('<span class="text-dangerous">x</span>',)]
+    h = F.col("h")
+    found = values(spark, html, "h string", markup.has_class(h, "span", "text-danger"), markup.inner_text(h))
+    assert found == [(True, "a &<b"), (False, "x")]

@@ -52,8 +52,7 @@ def test_one_hot_drops_the_first_category(spark):
     found = models.one_hot(df, "user").orderBy("id")
     assert found.columns == ["id", "user_b", "user_c"]
     assert [tuple(r) for r in found.collect()] == [(1, 1, 0), (2, 0, 0), (3, 0, 1)]
-    with pytest.raises(ValueError):
-        models.categories(df, "user", limit=2)
+    assert models.categories(df, "user") == ["a", "b", "c"]
 
 
 def regression_rows(spark):
@@ -119,3 +118,10 @@ def test_impute_and_above_mean(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", 5.0)], "g string, v double")
     assert sorted(r.v for r in summary.impute_group_mean(df, "g", "v").collect()) == [1.0, 2.0, 3.0, 5.0]
     assert [r.v for r in summary.above_group_mean(df, "g", "v").collect()] == [3.0]
+
+
+def test_one_hot_rows_has_no_limit(spark):
+    df = spark.range(5000).selectExpr("id", "concat('c', lpad(id, 5, '0')) AS c")
+    found = models.one_hot_rows(df, ["id"], "c")
+    assert found.count() == 4999
+    assert found.where("category = 'c00000'").isEmpty()

@@ -137,3 +137,13 @@ def test_incremental_runs_take_each_file_once(spark, tmp_path):
     assert run() == 2
     assert run() == 2
     assert sorted(r.v for r in spark.read.parquet(target).collect()) == [2.0, 5.0]
+
+
+def test_wanted_keys_without_vehicles_are_told(spark):
+    stored = spark.createDataFrame(
+        [(1, 200, '[{"make": "opel", "model": "corsa"}]'), (2, 500, ""), (3, 200, "{garbled"), (4, 200, "[]")],
+        "k int, status int, body string",
+    )
+    keys = spark.createDataFrame([(1,), (2,), (3,), (4,), (5,)], "k int")
+    found = {r.k: r.reason for r in responses.vehicle_rejects(keys, stored, ["k"]).collect()}
+    assert found == {2: "status 500", 3: "unreadable", 5: "missing"}
