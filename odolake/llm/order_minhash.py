@@ -104,22 +104,20 @@ def _scan(batches):
             held = now
 
 
-def _compare(one, following) -> pa.RecordBatch:
+def _compare(one, following) -> dict:
     _, doc_id, _, text, own = one
     half = len(text) // 2
     edited = text[: len(text) - half] + following[3][:half]
     theirs = fingerprint(edited)
-    return pa.RecordBatch.from_pydict(
-        {
-            "doc_id": [doc_id],
-            "n_chars": [len(text)],
-            "edited_sha256": [hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()],
-            "fingerprint": [as_text(own)],
-            "edited_fingerprint": [as_text(theirs)],
-            "near_edited": [likeness(own, theirs)],
-            "near_next": [likeness(own, following[4])],
-        }
-    )
+    return {
+        "doc_id": doc_id,
+        "n_chars": len(text),
+        "edited_sha256": hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
+        "fingerprint": as_text(own),
+        "edited_fingerprint": as_text(theirs),
+        "near_edited": likeness(own, theirs),
+        "near_next": likeness(own, following[4]),
+    }
 
 
 def _batched(schema: pa.Schema, rows: int = 2000):
@@ -130,10 +128,10 @@ def _batched(schema: pa.Schema, rows: int = 2000):
         for one in _scan(batches):
             held.append(one)
             if len(held) == rows:
-                yield pa.Table.from_batches(held).cast(schema).combine_chunks().to_batches()[0]
+                yield pa.RecordBatch.from_pylist(held, schema)
                 held = []
         if held:
-            yield pa.Table.from_batches(held).cast(schema).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_pylist(held, schema)
 
     return scan
 
