@@ -164,7 +164,15 @@ QUERIES = {
 }
 
 _LI = "regexp_extract_all(html, '(?s)<li(?:\\s[^>]*)?>(.*?)</li>', 1)"
-_PLAIN = lambda x: f"trim(regexp_replace({x}, '<[^>]*>', '', 'g'), ' ')"
+
+
+def _PLAIN(fragment: str) -> str:
+    """Text of an element: without tags, with its entities decoded (the ampersand last)."""
+    text = f"regexp_replace({fragment}, '<[^>]*>', '', 'g')"
+    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{sign}')"
+    return f"trim({text}, ' ')"
+
 
 _NAMES = """names AS (
     SELECT conv_id, turn, pos, CASE WHEN pos = 1 THEN 'Unnamed' ELSE role || ' ' || CAST(conv_id % 20 AS VARCHAR) END AS name
