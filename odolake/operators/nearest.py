@@ -1,143 +1,148 @@
-"""Exact nearest place for each point, by descending a hierarchy of grid cells.
-
-Places are grouped into cells of ``leaf`` degrees, those into cells ``2 ** bits`` times as wide,
-and so on. Every cell keeps the bounding box of its places. A point starts with the widest cells
-and at each level keeps only cells that can still hold its nearest place: the smallest possible
-distance to their box is not above the largest possible distance to the best box. The boxes of the
-point's own cells give a good first bound. So a point never meets all places of a dense cell, and
-there is no cross join. All joins are on the cell key, and the cell side has one row per cell.
+"""Exact nearest place on the sphere for each point, by descending a tree of cubes.
+
+Coordinates become unit vectors, so the straight-line distance orders places as the great-circle distance does, with
+no seam at 180 degrees and none at the poles. Places are grouped into cubes, and a cube with more than ``LEAF_SPOTS``
+distinct spots is cut into cubes an eighth as wide, until few are left in each. Every cube keeps the bounding box of
+its places. A point starts with the widest cubes and keeps at each level only those that can still hold its nearest
+place: the least possible distance to their box is not above the greatest possible distance to the best box. So a
+point meets only the few spots of the leaf cubes that are left. All joins are on the cube key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BROADCAST_CELLS = 50_000
+from odolake.functions.distance import haversine_km
+from odolake.session import checkpoint
 
+WIDEST = 0.5  # of the unit sphere: at most 5 * 5 * 5 cubes, whatever the number of places
+BITS = 3  # each level is 2 ** BITS times as narrow as the one before
+DEEPEST = 9  # cubes of about two centimetres on Earth, below which nothing is cut
+LEAF_SPOTS = 32
+AXES = ("x", "y", "z")
+CUBE = ["lvl", "cx", "cy", "cz"]
+BOX = [f"{end}{axis}" for axis in AXES for end in ("low_", "high_")]
 
-def _cell(col: str, size: float) -> Column:
-    return F.floor(F.col(col) / F.lit(size))
 
+def _vector(lat: Column, lon: Column) -> dict[str, Column]:
+    up, around = F.radians(lat), F.radians(lon)
+    return {"x": F.cos(up) * F.cos(around), "y": F.cos(up) * F.sin(around), "z": F.sin(up)}
 
-def _gap(point: Column, low: Column, high: Column) -> Column:
-    return F.greatest(low - point, point - high, F.lit(0.0))
 
+def _with_vector(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Rows with finite coordinates, and their unit vectors."""
+    placed = df.withColumns(_vector(F.col(lat), F.col(lon)))
+    return placed.where(~F.isnan(F.col("x") + F.col("y") + F.col("z")))
 
-def _reach(point: Column, low: Column, high: Column) -> Column:
-    return F.greatest(point - low, high - point)
 
+def _cubes(spots: DataFrame, deepest: int) -> DataFrame:
+    """Every spot once per level, with the cube that holds it there."""
 
-def _squares(lat: Column, lon: Column, measure) -> Column:
-    dx, dy = measure(lat, F.col("s"), F.col("n")), measure(lon, F.col("w"), F.col("e"))
-    return dx * dx + dy * dy
+    def cube(level: int) -> Column:
+        size = WIDEST / 2 ** (BITS * level)  # powers of two, so cubes nest exactly
+        at = [F.floor(F.col(axis) / F.lit(size)).alias(f"c{axis}") for axis in AXES]
+        return F.struct(F.lit(level).alias("lvl"), *at)
 
+    return spots.select("*", F.inline(F.array(*[cube(level) for level in range(deepest + 1)])))
 
-def _nearest_in_box() -> Column:
-    return _squares(F.col("_lat"), F.col("_lon"), _gap)
 
+def _tree(spots: DataFrame, leaf_spots: int) -> tuple[DataFrame, int]:
+    """Every spot at the levels down to its leaf (``home``), and the deepest level in use."""
+    laid = _cubes(spots, DEEPEST)
+    crowded = laid.groupBy(*CUBE).count().where(F.col("count") > leaf_spots)
+    last = crowded.agg(F.max("lvl")).first()[0]
+    depth = 0 if last is None else min(last + 1, DEEPEST)
+    laid = _cubes(spots, depth)
+    small = laid.groupBy(*CUBE).count().where((F.col("count") <= leaf_spots) | (F.col("lvl") == depth))
+    homes = laid.join(small.drop("count"), CUBE).groupBy("_plat", "_plon").agg(F.min("lvl").alias("home"))
+    return checkpoint(laid.join(homes, ["_plat", "_plon"]).where(F.col("lvl") <= F.col("home"))), depth
 
-def _farthest_in_box() -> Column:
-    return _squares(F.col("_lat"), F.col("_lon"), _reach)
 
-
-def _boxes(places: DataFrame, cell: list[Column]) -> DataFrame:
-    """Bounding box of the places of each cell."""
-    return places.groupBy(*cell).agg(
-        F.min("_plat").alias("s"), F.max("_plat").alias("n"), F.min("_plon").alias("w"), F.max("_plon").alias("e")
-    )
+def _boxes(tree: DataFrame, level: int, *by: Column) -> DataFrame:
+    """Bounding box of the places of each cube of a level."""
+    ends = [f(axis).alias(f"{end}{axis}") for axis in AXES for end, f in (("low_", F.min), ("high_", F.max))]
+    return tree.where(F.col("lvl") == level).groupBy(*by, *CUBE).agg(*ends)
 
 
-def _families(places: DataFrame, parent: list[Column], child: list[Column]) -> DataFrame:
-    """Per parent cell the array of its child cells with their boxes (at most ``4 ** bits``)."""
-    box = F.struct("cx", "cy", "s", "n", "w", "e")
-    return _boxes(places, [*parent, *child]).groupBy("px", "py").agg(F.collect_list(box).alias("_children"))
+def _families(tree: DataFrame, level: int) -> DataFrame:
+    """Per cube of the level above the array of its cubes with their boxes, at most ``8 ** BITS``."""
+    parent = [F.floor(F.col(f"c{axis}") / 2**BITS).alias(f"p{axis}") for axis in AXES]
+    boxes = _boxes(tree, level, *parent).groupBy("px", "py", "pz").agg(F.collect_list(F.struct(*CUBE, *BOX)).alias("_inner"))
+    above = [F.lit(level - 1).alias("lvl"), *[F.col(f"p{axis}").alias(f"c{axis}") for axis in AXES]]
+    return boxes.select(*above, "_inner")
 
 
-def _few(size: float) -> bool:
-    """Whether a map of cells of this size is small whatever the number of places."""
-    return (180 / size) * (360 / size) <= BROADCAST_CELLS
+def _measured(box: Column) -> Column:
+    """A cube with the least and the greatest possible squared distance from the point to its places."""
+    near = far = F.lit(0.0)
+    for axis in AXES:
+        low, high, point = box[f"low_{axis}"], box[f"high_{axis}"], F.col(f"_{axis}")
+        gap = F.greatest(low - point, point - high, F.lit(0.0))
+        reach = F.greatest(point - low, high - point)
+        near, far = near + gap * gap, far + reach * reach
+    return F.struct(*[box[c].alias(c) for c in CUBE], near.alias("near"), far.alias("far"))
 
 
-def _own_cell_bound(points: DataFrame, places: DataFrame, size: float) -> DataFrame:
-    """Tighten the bound of the points whose own cell holds a place."""
-    boxes = F.broadcast(_boxes(places, [_cell("_plat", size).alias("px"), _cell("_plon", size).alias("py")]))
-    here = (_cell("_lat", size) == F.col("px")) & (_cell("_lon", size) == F.col("py"))
-    return points.join(boxes, here, "left").select(
-        "_lat", "_lon", F.least("_bound", _farthest_in_box()).alias("_bound")
-    )
+def _within(bound: Column) -> Column:
+    """The bound with room for rounding of the vectors."""
+    return bound * F.lit(1 + 1e-9) + F.lit(1e-18)
 
 
 def _keep_best(points: DataFrame) -> DataFrame:
-    """Replace each cell by those of its child cells that can hold the nearest place."""
-    boxes = points.select("_lat", "_lon", "_bound", F.explode("_children").alias("_box"))
-    boxes = boxes.select("_lat", "_lon", "_bound", "_box.*")
-    scored = boxes.select(
-        "_lat",
-        "_lon",
-        F.col("cx").alias("px"),
-        F.col("cy").alias("py"),
-        _nearest_in_box().alias("_near"),
-        F.least("_bound", _farthest_in_box()).alias("_bound"),
-        F.col("_bound").alias("_known"),
-    ).where(F.col("_near") <= F.col("_known"))
-    per_point = Window.partitionBy("_lat", "_lon")  # the children of a few cells
-    return (
-        scored.select("_lat", "_lon", "px", "py", "_near", F.min("_bound").over(per_point).alias("_bound"))
-        .where(F.col("_near") <= F.col("_bound"))
-        .drop("_near")
-    )
+    """One row per point and cube of ``_inner`` that can hold the nearest place."""
+    own = ["_lat", "_lon", "_x", "_y", "_z"]
+    best_here = F.array_min(F.transform("_inner", lambda c: c["far"]))
+    points = points.withColumn("_bound", F.least("_bound", best_here))
+    cubes = F.filter("_inner", lambda c: c["near"] <= _within(F.col("_bound")))
+    per_point = Window.partitionBy("_lat", "_lon")  # the cubes left of one point
+    opened = points.select(*own, "_bound", F.inline(cubes))
+    opened = opened.withColumn("_bound", F.min("_bound").over(per_point))
+    return opened.where(F.col("near") <= _within(F.col("_bound"))).drop("far")
 
 
 def nearest_place(
     points: DataFrame,
     places: DataFrame,
     key: str,
-    leaf: float = 0.02,
-    bits: int = 3,
-    levels: int = 4,
+    leaf_spots: int = LEAF_SPOTS,
     point_cols: tuple[str, str] = ("latitude", "longitude"),
     place_cols: tuple[str, str] = ("place_latitude", "place_longitude"),
 ) -> DataFrame:
-    """Add the place with the smallest squared distance in degrees; ties go to the smallest ``key``.
+    """Add the ``key`` of the place with the smallest great-circle distance; ties go to the smallest key.
 
-    Looks each distinct coordinate up once and joins the answer back.
+    Looks each distinct coordinate up once and joins the answer back. Without finite coordinates, or without any
+    place, the key is null. Longitudes may use any turn (190 is -170).
     """
     lat, lon = point_cols
     plat, plon = place_cols
     wanted = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     wanted = wanted.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct()
+    wanted = _with_vector(wanted, "_lat", "_lon")
+    wanted = wanted.select("_lat", "_lon", *[F.col(axis).alias(f"_{axis}") for axis in AXES])
     # Places at one spot are equal but for the key, so the smallest key stands for all.
     spots = (
         places.where(F.col(plat).isNotNull() & F.col(plon).isNotNull())
         .groupBy(F.col(plat).alias("_plat"), F.col(plon).alias("_plon"))
         .agg(F.min(key).alias("_key"))
     )
-    sizes = [leaf * 2 ** (bits * i) for i in reversed(range(levels + 1))]  # widest first
-
-    def child(size: float) -> list[Column]:
-        return [_cell("_plat", size).alias("cx"), _cell("_plon", size).alias("cy")]
-
-    def parent(size: float) -> list[Column]:
-        return [_cell("_plat", size).alias("px"), _cell("_plon", size).alias("py")]
-
-    wanted = wanted.withColumn("_bound", F.lit(float("inf")))
-    for size in filter(_few, sizes):
-        wanted = _own_cell_bound(wanted, spots, size)
-    # The widest cells are few (the map divided by the widest size), so all go to every point.
-    nowhere = [F.lit(0).alias("px"), F.lit(0).alias("py")]
-    roots = _families(spots, nowhere, child(sizes[0])).select("_children")
-    found = _keep_best(wanted.withColumn("_children", roots.scalar()))
-    for wide, narrow in zip(sizes, sizes[1:]):
-        cells = _families(spots, parent(wide), child(narrow))
-        # Wide cells are few whatever the number of places; narrow ones are left to adaptive execution.
-        found = _keep_best(found.join(F.broadcast(cells) if _few(wide) else cells, ["px", "py"]))
-
-    leaves = spots.select(*parent(leaf), "_plat", "_plon", "_key")
-    dlat, dlon = F.col("_lat") - F.col("_plat"), F.col("_lon") - F.col("_plon")
+    tree, depth = _tree(_with_vector(spots, "_plat", "_plon"), leaf_spots)
+
+    # The widest cubes are at most 125, so all go to every point.
+    widest = _boxes(tree, 0).agg(F.collect_list(F.struct(*CUBE, *BOX)).alias("_inner"))
+    found = wanted.withColumns({"_bound": F.lit(float("inf")), "_inner": widest.scalar()})
+    found = _keep_best(found.withColumn("_inner", F.transform("_inner", _measured)))
+    for level in range(1, depth + 1):
+        joined = found.join(_families(tree, level), CUBE, "left")
+        leaf = F.array(F.struct(*CUBE, "near", F.lit(float("inf")).alias("far")))  # nothing below: stays as it is
+        inner = F.when(F.col("_inner").isNull(), leaf).otherwise(F.transform("_inner", _measured))
+        found = _keep_best(joined.withColumn("_inner", inner).drop(*CUBE, "near"))
+
+    leaves = tree.where(F.col("lvl") == F.col("home")).select(*CUBE, "_plat", "_plon", "_key")
+    apart = haversine_km(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
     best = (
-        found.join(leaves, ["px", "py"])
+        found.join(leaves, CUBE)
         .groupBy("_lat", "_lon")
-        .agg(F.min_by("_key", F.struct(dlat * dlat + dlon * dlon, "_key")).alias(key))
+        .agg(F.min_by("_key", F.struct(apart, "_key")).alias(key))
     )
     same = (points[lat] == best["_lat"]) & (points[lon] == best["_lon"])
     return points.join(best, same, "left").drop("_lat", "_lon")

@@ -48,9 +48,10 @@ places AS (
            CAST(s_suppkey * 37 % 100 AS DOUBLE) AS place_longitude FROM supplier),
 spots AS (SELECT DISTINCT latitude, longitude FROM final),
 near AS (
-    SELECT latitude, longitude, min({{'d': (latitude - place_latitude) * (latitude - place_latitude)
-                                          + (longitude - place_longitude) * (longitude - place_longitude),
-                                      'k': s_suppkey}}) AS best
+    SELECT latitude, longitude,
+           min({{'d': asin(sqrt(least(1.0, pow(sin(radians(place_latitude - latitude) / 2), 2)
+                          + cos(radians(latitude)) * cos(radians(place_latitude))
+                          * pow(sin(radians(place_longitude - longitude) / 2), 2)))), 'k': s_suppkey}}) AS best
     FROM spots, places GROUP BY latitude, longitude),
 located AS (
     SELECT user_id, trip_date, latitude, longitude, best.k AS s_suppkey FROM final JOIN near USING (latitude, longitude))"""

@@ -16,23 +16,39 @@ def new_files(spark: SparkSession, path: str, fmt: str, schema, archive: str | N
     return reader.load(path)
 
 
+def _publish(spark: SparkSession, result: DataFrame, target: str, batch_id: int) -> None:
+    """Write a batch folder once: finished under a hidden name first, then renamed. A folder that is there stays."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    pending, final = path(f"{target}/_pending/batch_id={batch_id}"), path(f"{target}/batch_id={batch_id}")
+    files = final.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(final):
+        return
+    result.write.mode("overwrite").parquet(pending.toString())
+    if not files.rename(pending, final):
+        raise OSError(f"{pending.toString()} could not be renamed to {final.toString()}")
+
+
 def refresh(
     stream: DataFrame, outputs: dict[str, Callable[[DataFrame], DataFrame]], checkpoint: str
 ) -> StreamingQuery:
     """Process all new files with batch functions; ``outputs`` maps a target path to its function.
 
     A drop of files holds whole trips, so the functions need no state between batches; do not cut a
-    drop with ``maxFilesPerTrigger`` where a trip may span files. Each batch writes its own folder in
-    overwrite mode: a batch that is run again after a failure replaces itself.
+    drop with ``maxFilesPerTrigger`` where a trip may span files. Each batch appears in a folder of its own by
+    a rename, once: a batch that is run again after a failure keeps the outputs that were finished, whose files the
+    next layer may have read already, and writes the others. The file system must rename a folder at once, as HDFS does.
+    Targets belong to one checkpoint: with a new checkpoint, start with new targets.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if len(outputs) > 1:
             batch = batch.persist()
-        for target, transform in outputs.items():
-            transform(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
-        if len(outputs) > 1:
-            batch.unpersist()
+        try:
+            for target, transform in outputs.items():
+                _publish(batch.sparkSession, transform(batch), target.rstrip("/"), batch_id)
+        finally:
+            if len(outputs) > 1:
+                batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)

@@ -2,9 +2,12 @@
 
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from odolake.plans import jobs
+from odolake.streaming.ingest import new_files, refresh
 
 RJ = "RIO DE JANEIRO"
 
@@ -93,3 +96,34 @@ def test_whole_run(spark, tmp_path):
     assert swap[0].nome_usuario_simulado == "TOYOTA_PRIUS_2017"
     names = jobs.read_layer(spark, lake, "tables/regression").select(F.collect_set("variavel")).collect()[0][0]
     assert "dist_km" in names and not [n for n in names if n.startswith("nome_usuario_")]
+
+
+def test_a_repeated_batch_is_read_once_downstream(spark, tmp_path):
+    """The second output fails once, the next layer runs in between, then both layers run again."""
+    source, first, second, below = (str(tmp_path / name) for name in ("source", "first", "second", "below"))
+    spark.range(10).write.parquet(source)
+    broken = [True]
+
+    def fragile(batch):
+        if broken:
+            raise RuntimeError("full disk")
+        return batch
+
+    def upper():
+        refresh(new_files(spark, source, "parquet", "id long"), {first: lambda b: b, second: fragile}, str(tmp_path / "a"))
+
+    def lower():
+        refresh(new_files(spark, first, "parquet", "id long"), {below: lambda b: b}, str(tmp_path / "b"))
+
+    with pytest.raises(StreamingQueryException):
+        upper()
+    lower()
+    assert spark.read.parquet(below).count() == 10
+    broken.clear()
+    upper()
+    lower()
+    assert [spark.read.parquet(x).count() for x in (first, second, below)] == [10, 10, 10]
+    spark.range(10, 15).write.mode("append").parquet(source)
+    upper()
+    lower()
+    assert [spark.read.parquet(x).count() for x in (first, second, below)] == [15, 15, 15]

@@ -1,5 +1,6 @@
 """Exact results under skew, and plans that keep working when the tables grow."""
 
+import math
 import random
 import re
 
@@ -50,17 +51,33 @@ def test_join_checked_has_two_equal_ways(spark, max_rows, how):
     assert ("BroadcastHashJoin" in plan(joined)) == (max_rows > 0)
 
 
+def apart(lat, lon, other_lat, other_lon):
+    """Half the chord between two places, squared; it grows with the great-circle distance."""
+    up, around = math.radians(other_lat - lat) / 2, math.radians(other_lon - lon) / 2
+    return math.sin(up) ** 2 + math.cos(math.radians(lat)) * math.cos(math.radians(other_lat)) * math.sin(around) ** 2
+
+
 def brute(points, places):
     out = {}
     for name, lat, lon in points:
-        if lat is None or lon is None:
+        if lat is None or lon is None or not places:
             out[name] = None
         else:
-            out[name] = min(((lat - a) * (lat - a) + (lon - b) * (lon - b), k) for k, a, b in places)[1]
+            out[name] = min((apart(lat, lon, a, b), k) for k, a, b in places)[1]
     return out
 
 
-@pytest.mark.parametrize("settings", [{}, {"leaf": 5.0, "bits": 1, "levels": 3}, {"leaf": 0.001, "bits": 4, "levels": 1}])
+def nearest_keys(spark, points, places, **settings):
+    found = nearest.nearest_place(
+        spark.createDataFrame(points, "name string, latitude double, longitude double"),
+        spark.createDataFrame(places, "key int, place_latitude double, place_longitude double"),
+        "key",
+        **settings,
+    )
+    return {r.name: r.key for r in found.collect()}
+
+
+@pytest.mark.parametrize("settings", [{}, {"leaf_spots": 1}, {"leaf_spots": 8}])
 def test_nearest_equals_brute_force(spark, settings):
     """A third of the points and of the places share one cell; some points lie far off, some coincide."""
     rng = random.Random(6)
@@ -69,14 +86,32 @@ def test_nearest_equals_brute_force(spark, settings):
     places += [(500, 0.0, 0.0), (400, 0.0, 0.0), (600, 0.0, 2.0)]
     points = [(f"p{i}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(120)]
     points += [(f"q{i}", 10 + rng.uniform(0, 0.01), 20 + rng.uniform(0, 0.01)) for i in range(60)]
-    points += [("same", 0.0, 0.0), ("tie", 0.0, 1.0), ("again", 0.0, 1.0), ("none", None, 1.0), ("far", 5000.0, -9000.0)]
-    found = nearest.nearest_place(
-        spark.createDataFrame(points, "name string, latitude double, longitude double"),
-        spark.createDataFrame(places, "key int, place_latitude double, place_longitude double"),
-        "key",
-        **settings,
-    )
-    assert {r.name: r.key for r in found.collect()} == brute(points, places)
+    points += [("same", 0.0, 0.0), ("tie", 0.0, 1.0), ("again", 0.0, 1.0), ("none", None, 1.0), ("turn", 5.0, 725.0)]
+    points += [("pole", 90.0, 12.0), ("seam", 3.0, 180.0), ("other seam", 3.0, -180.0)]
+    assert nearest_keys(spark, points, places, **settings) == brute(points, places)
+
+
+def test_nearest_is_nearest_on_the_sphere(spark):
+    """A degree of longitude is short far from the equator, and 179.9 is close to -179.9."""
+    places = [(1, 60.0, 1.0), (2, 60.9, 0.0), (3, 0.0, 179.9), (4, 0.0, 170.0), (5, 89.9, -90.0)]
+    points = [("north", 60.0, 0.0), ("seam", 0.0, -179.9), ("pole", 89.9, 90.0)]
+    assert nearest_keys(spark, points, places) == {"north": 1, "seam": 3, "pole": 5}
+    assert nearest_keys(spark, [("x", 1.0, 1.0), ("nan", float("nan"), 1.0)], places[:1]) == {"x": 1, "nan": None}
+    assert nearest_keys(spark, points, []) == {"north": None, "seam": None, "pole": None}
+
+
+def test_points_of_a_dense_cell_meet_few_places(spark):
+    """4,000 points and as many places within 0.02 degrees: the leaf join makes a few dozen rows for each point."""
+    rng = random.Random(9)
+    spot = lambda: (40 + rng.uniform(0, 0.02), 8 + rng.uniform(0, 0.02))
+    places, points = [(i, *spot()) for i in range(4000)], [(f"p{i}", *spot()) for i in range(4000)]
+    found = nearest_keys(spark, points, places)
+    assert {name: found[name] for name, _, _ in points[:200]} == brute(points[:200], places)
+    spots = spark.createDataFrame(places, "_key int, _plat double, _plon double")
+    tree, depth = nearest._tree(nearest._with_vector(spots, "_plat", "_plon"), nearest.LEAF_SPOTS)
+    leaves = tree.where("lvl = home").groupBy(*nearest.CUBE).count()
+    most, total = leaves.agg(F.max("count"), F.sum("count")).first()
+    assert depth < nearest.DEEPEST and most <= nearest.LEAF_SPOTS and total == len(places)
 
 
 def test_top_per_group_limits_before_the_shuffle(spark):
