@@ -14,17 +14,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from odolake.llm.common import stored
 
-# Patterns by type, tried in this order at each place.
+# Patterns by type, tried in this order at each place. An address is looked for only where its characters
+# begin (or the last mention ended), and the title of a name only before a capital; the first character is tested first. Long texts stay linear.
 PATTERNS = {
-    "email": r"[\w.+-]*\w@[\w-]+(?:\.[\w-]+)+",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "secret": r"\bAKIA[A-Z0-9]{16}\b",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?!\d)",
-    "man": r"(?<=\b(?:Mr|Herr|Monsieur|Señor)\b\.? )\p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?",
-    "woman": r"(?<=\b(?:Mrs|Ms|Frau|Madame|Señora)\b\.? )\p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?",
+    "email": r"(?:\G|(?<![\w.+-]))[\w.+-]*\w@[\w-]+(?:\.[\w-]+)+",
+    "iban": r"(?=[A-Z])\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "secret": r"(?=A)\bAKIA[A-Z0-9]{16}\b",
+    "ip": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)",
+    "ssn": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "card": r"(?=\d)(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "phone": r"(?=[+(\d])(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)|(?=\+)(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?!\d)",
+    "man": r"(?=\p{Lu})(?<= )(?<=\b(?:Mr|Herr|Monsieur|Señor)\b\.? )\p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?",
+    "woman": r"(?=\p{Lu})(?<= )(?<=\b(?:Mrs|Ms|Frau|Madame|Señora)\b\.? )\p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 MAN_ENDS, WOMAN_ENDS = ("o", "us", "er", "in"), ("a", "ia", "ine", "ella")
