@@ -167,6 +167,30 @@ def test_licenses(spark):
     assert not got[4][1] and set(got) == {1, 2, 3, 4}
 
 
+def license_rows(spark, texts):
+    found = licenses.scan_licenses(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()
+    return [sorted((r.start, r.license) for r in found if r.doc_id == i and r.confirmed) for i in range(len(texts))]
+
+
+def test_licenses_in_long_lines(spark):
+    known = licenses.TEMPLATES
+    prose = "The river ran over green stones and nobody walked there until the evening came. " * 30
+    texts = [prose + known[name] + " " + prose for name in known if "{}" not in known[name]]
+    texts += ["Released under the MIT License. Licensed under CC BY 4.0.", prose + known["GPL-2.0"] + " " + known["MIT-text"] + " " + prose]
+    texts += ["Copyright (c) 2020 A, 2021 B. All rights reserved. © 2022 C. All rights reserved.", "the license of " * 200 + known["MIT"]]
+    got = license_rows(spark, texts)
+    n = len(texts) - 4
+    want = [[(len(prose), name)] for name in known if "{}" not in known[name]]
+    no_mention = [i for i, w in enumerate(want) if w[0][1] == "CC0-1.0"]  # has no word that candidates are found by
+    assert [g for i, g in enumerate(got[:n]) if i not in no_mention] == [w for i, w in enumerate(want) if i not in no_mention]
+    assert got[n] == [(0, "MIT"), (32, "CC-BY-4.0")]
+    assert got[n + 1] == [(len(prose), "GPL-2.0"), (len(prose) + len(known["GPL-2.0"]) + 1, "MIT-text")]
+    assert got[n + 2] == [(0, "Proprietary"), (51, "Proprietary-sign")] and got[n + 3] == [(3000, "MIT")]
+    near = prose + known["MIT-text"].replace("merge", "munge") + " " + prose
+    (row,) = licenses.scan_licenses(frame(spark, [(1, near, "s")])).collect()
+    assert (row.license, row.confirmed, row.missing, row.extra) == ("MIT-text", False, 1, 1)
+
+
 def test_language(spark):
     de, en = "der hund und die katze sind nicht hier ", "the dog and the cat are not here "
     train = spark.createDataFrame([(de * 9, "de"), (en * 9, "en"), (None, "en"), (en, None)], "text string, lang string")
