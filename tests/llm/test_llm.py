@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,6 +192,16 @@ def test_licenses_in_long_lines(spark):
     assert (row.license, row.confirmed, row.missing, row.extra) == ("MIT-text", False, 1, 1)
 
 
+def test_licenses_wrapped(spark):
+    known = licenses.TEMPLATES
+    wrapped = lambda name, sign: "\n".join(sign + line for line in textwrap.wrap(known[name], 40))
+    names = ["MIT-text", "BSD-text", "GPL-2.0", "Apache-2.0-notice", "Unlicense"]
+    for sign in ("", "# ", " * ", "// ", "dnl "):
+        texts = [f"some words\n{wrapped(name, sign)}\nother words" for name in names]
+        assert license_rows(spark, texts) == [[(11 + len(sign), name)] for name in names]
+    assert license_rows(spark, ["released into the\n\npublic domain"]) == [[]]
+
+
 def test_language(spark):
     de, en = "der hund und die katze sind nicht hier ", "the dog and the cat are not here "
     train = spark.createDataFrame([(de * 9, "de"), (en * 9, "en"), (None, "en"), (en, None)], "text string, lang string")
