@@ -16,6 +16,7 @@ from odolake.llm.near_dedup import near_duplicates
 from odolake.llm.toxicity import fit
 
 REJECT_AT = 0.5
+NEAR_PERCENT = 80  # least Jaccard similarity of near-duplicates; the 85 of op9 is that query's own
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates; of repeated rows one stays."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
+    kept = near_duplicates(docs, NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("h"), F.col("doc_id").alias("d"))
     rows = rows.join(kept, F.col("d").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_hash")), "left_semi")
     return rows.dropDuplicates(["d", "h"]).select("row.*")

@@ -270,6 +270,29 @@ def test_pipeline_stages(spark, sf_dir):
         assert docs.columns == columns
 
 
+def test_near_duplicates_at_80(spark, sf_dir):
+    assert near_dedup.limits(85) == (85, 32, 203) and near_dedup.limits(80).sketch > 203
+    with pytest.raises(ValueError):
+        near_dedup.limits(60)
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for i in range(120):
+        if i % 2 == 0:
+            own = [word() for _ in range(150)]
+        else:  # words changed at the end, so that 1 to 40 shingles differ
+            own = own[: len(own) - rnd.randint(1, 40)] + [word() for _ in range(rnd.randint(0, 4))]
+        rows.append((i, " ".join(own), "s"))
+    sets = {i: brute.shingles(t) for i, t, _ in rows}
+    similar = {i: len(sets[i - 1] & sets[i]) / len(sets[i - 1] | sets[i]) for i in range(1, 120, 2)}
+    assert sum(0.8 <= s < 0.85 for s in similar.values()) >= 5 and min(similar.values()) < 0.8
+    for percent, kept in (
+        (80, corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), sf_dir)),
+        (85, near_dedup.near_duplicates(frame(spark, rows)).where("kept")),
+    ):
+        assert {r.doc_id for r in kept.collect()} == {i for i in sets if i % 2 == 0 or similar[i] * 100 < percent}
+
+
 def test_pipeline_rejects_toxic(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = corpus_pipeline.drop_toxic(spark, docs, sf_dir)
