@@ -4,6 +4,7 @@ import hashlib
 import random
 import textwrap
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +87,34 @@ def test_repeated_bytes(docs, texts):
     assert got == brute.repeated_spans(pairs(texts))
 
 
+def test_repeated_bytes_hot_anchors(spark, docs, texts, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 3_000)  # many chunks and buckets
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 12_000)
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(7))
+    phrase = "a phrase of four and twenty bytes amid text of its own"
+    rows = [(i, f"{word()} {word()} {word() * (i % 5)}{phrase}{rnd.choice('xyz') * (i % 3)} {word()} {word()}", "s") for i in range(300)]
+    for table, some in ((docs, pairs(texts)), (frame(spark, rows), [r[:2] for r in rows])):
+        for hot_pieces in (0, 5):
+            got = repeats.repeated_bytes(table, hot_pieces).collect()
+            assert {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in got} == brute.repeated_spans(some)
+
+
+def test_hot_anchor_has_no_index():
+    rnd = random.Random(4)
+    phrase = "a phrase of four and twenty bytes amid text of its own"
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(30))
+    texts = pa.table({"doc_id": pa.array(range(500)), "text": [f"{word()}{phrase}{word()}" for _ in range(500)]})
+    key = (pa.scalar(0, pa.int32()),)
+    sent = repeats._send_anchors(1)(key, texts)
+    for hot_pieces, whole in ((10, False), (10**6, True)):
+        reply = repeats._shared_anchors(hot_pieces)(sent)
+        pieces = repeats._send_pieces(1)(key, texts, reply)
+        sizes = [len(x) for x in pieces.column("anchor").to_pylist() if x]
+        indexed = sum(sizes) * 8 // repeats.ANCHOR_BITS
+        assert (indexed > 100) == whole and pieces.num_rows == (2 if whole else 3 if sizes else 2)
+
+
 def test_order_minhash(docs, texts):
     got = {r.doc_id: r for r in order_minhash.with_edited(docs, rows_per_chunk=7).collect()}
     ordered = sorted(pairs(texts), reverse=True)
