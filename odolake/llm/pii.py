@@ -14,21 +14,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from odolake.llm.common import stored
 
+LETTER = r"\p{L}\p{M}\p{N}_"
+# A word of a name, or an initial before another one. Words of nobility and the like stand within a name in small letters.
+NAME = r"(?:\p{Lu}\.(?= ?\p{Lu})|\p{Lu}[\p{L}\p{M}]*(?:(?:['’]\p{Lu}|-\p{L})[\p{L}\p{M}]*)*)"
+WITHIN = ("von", "van", "zu", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "ter", "bin", "al", "y")
+_SMALL = "(?:(?:" + "|".join(WITHIN) + ") ){0,3}"
+_NAME = rf"{_SMALL}{NAME}(?: ?(?<=[ .]){_SMALL}{NAME})*"
 # Patterns by type, tried in this order at each place. An address is looked for only where its characters
-# begin (or the last mention ended), and the title of a name only before a capital; the first character is tested first. Long texts stay linear.
+# begin (or the last mention ended), and the title of a name only before a letter a name begins with; the first character is tested first. Long texts stay linear.
 PATTERNS = {
-    "email": r"(?:\G|(?<![\w.+-]))[\w.+-]*\w@[\w-]+(?:\.[\w-]+)+",
+    "email": rf"(?:\G|(?<![{LETTER}.+-]))[{LETTER}.+-]*[{LETTER}]@[{LETTER}-]+(?:\.[{LETTER}-]+)+",
     "iban": r"(?=[A-Z])\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "secret": r"(?=A)\bAKIA[A-Z0-9]{16}\b",
     "ip": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)",
     "ssn": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?=\d)(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "phone": r"(?=[+(\d])(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)|(?=\+)(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?!\d)",
-    "man": r"(?=\p{Lu})(?<= )(?<=\b(?:Mr|Herr|Monsieur|Señor)\b\.? )\p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?",
-    "woman": r"(?=\p{Lu})(?<= )(?<=\b(?:Mrs|Ms|Frau|Madame|Señora)\b\.? )\p{Lu}[\p{Ll}]+(?: \p{Lu}[\p{Ll}]+)?",
+    "man": r"(?=[\p{Lu}abdltvyz])(?<= )(?<=\b(?:Mr|Herr|Monsieur|Señor)\b\.? )" + _NAME,
+    "woman": r"(?=[\p{Lu}abdltvyz])(?<= )(?<=\b(?:Mrs|Ms|Frau|Madame|Señora)\b\.? )" + _NAME,
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-MAN_ENDS, WOMAN_ENDS = ("o", "us", "er", "in"), ("a", "ia", "ine", "ella")
+# By script: pattern, consonants, vowels, what precedes an ending, endings of men's and women's names. Latin for all others.
+SCRIPTS = (
+    (r"\p{IsCyrillic}", "бвгдзклмнпрст", "аеиоу", "н", ("ий", "ор", "ад", "ей"), ("а", "ия", "ина", "елла")),
+    (r"\p{IsGreek}", "βγδζθκλμνπρστφ", "αειου", "ν", ("ος", "ης", "ας", "ιος"), ("α", "ια", "ινα", "ελλα")),
+    ("", "bcdfghjklmnprstvz", "aeiou", "n", ("o", "us", "er", "in"), ("a", "ia", "ine", "ella")),
+)
 ROUNDS = 64
 
 
@@ -61,14 +72,16 @@ def _letters(chars: str, i: Column) -> Column:
 
 
 def _same_class(c: Column, i: Column, seed: Column) -> Column:
-    """A character of the same class: digit, Latin, Greek or Cyrillic letter in the same case; others stay."""
-    out = F.when(c.rlike("[0-9]"), _letters("0123456789", _pick(seed, i, 10)))
+    """A character of the same class: digit, Latin, Greek or Cyrillic letter in the same case. Letters and digits of other
+    scripts become Latin letters and 0 to 9, so that none stays; signs stay."""
+    out = F.when(c.rlike(r"\p{Nd}"), _letters("0123456789", _pick(seed, i, 10)))
     for pattern, chars in (
-        ("[a-zß-ÿ]", "abcdefghijklmnopqrstuvwxyz"),
-        ("[A-ZÀ-Þ]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        ("[α-ω]", "αβγδεζηθικλμνξοπρστυφχψω"),
-        ("[а-я]", "абвгдежзиклмнопрстуфхцчшыэюя"),
-        ("[А-Я]", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЫЭЮЯ"),
+        (r"[\p{Ll}&&\p{IsGreek}]", "αβγδεζηθικλμνξοπρστυφχψω"),
+        (r"[\p{Lu}&&\p{IsGreek}]", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
+        (r"[\p{Ll}&&\p{IsCyrillic}]", "абвгдежзиклмнопрстуфхцчшыэюя"),
+        (r"[\p{Lu}&&\p{IsCyrillic}]", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЫЭЮЯ"),
+        (r"\p{Lu}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        (r"[\p{L}\p{M}\p{N}]", "abcdefghijklmnopqrstuvwxyz"),
     ):
         out = out.when(c.rlike(pattern), _letters(chars, _pick(seed, i, len(chars))))
     return out.otherwise(c)
@@ -101,23 +114,40 @@ def _check_digit(body: Column) -> Column:
     return ((F.lit(10) - total % 10) % 10).cast("string")
 
 
-def _syllables(seed: Column, text: Column, ends: tuple[str, ...]) -> Column:
-    """A name of as many words: syllables, and an ending of the first word that fits the gender."""
-    consonants, vowels = "bcdfghjklmnprstvz", "aeiou"
+def _name_parts(name: Column) -> Column:
+    """Words of a name and the signs between them, in turn."""
+    return F.regexp_extract_all(name, F.lit(r"[\p{L}\p{M}0-9]+|[^\p{L}\p{M}0-9]+"), 0)
 
-    def word(w: Column, i: Column) -> Column:
-        pairs = F.sequence(F.lit(1), F.greatest(F.lit(2), F.ceil(F.length(w) / 2)).cast("int"))
-        body = F.transform(
-            pairs,
-            lambda k: F.concat(
-                _letters(consonants, _pick(seed, i * 100 + k * 2, len(consonants))),
-                _letters(vowels, _pick(seed, i * 100 + k * 2 + 1, len(vowels))),
-            ),
-        )
-        end = F.element_at(F.array(*[F.lit(e) for e in ends]), _pick(seed, i * 100, len(ends)) + 1)
-        return F.concat(F.array_join(body, ""), F.when(i == 0, F.concat(F.lit("n"), end)).otherwise(F.lit("")))
 
-    return F.array_join(F.transform(F.split(text, " "), word), " ")
+def _is_word(part: Column) -> Column:
+    return part.rlike(r"^[\p{L}\p{M}0-9]") & ~part.isin(*WITHIN)
+
+
+def _syllables(seed: Column, text: Column, woman: bool) -> Column:
+    """A name of as many words in the script of ``text``: syllables, and an ending of the first word that fits the gender.
+    Initials become initials; signs and small words between stay."""
+    out = None
+    for script, consonants, vowels, link, men, women in SCRIPTS:
+        ends = women if woman else men
+
+        def word(w: Column, i: Column) -> Column:
+            pairs = F.sequence(F.lit(1), F.greatest(F.lit(2), F.ceil(F.length(w) / 2)).cast("int"))
+            body = F.transform(
+                pairs,
+                lambda k: F.concat(
+                    _letters(consonants, _pick(seed, i * 100 + k * 2, len(consonants))),
+                    _letters(vowels, _pick(seed, i * 100 + k * 2 + 1, len(vowels))),
+                ),
+            )
+            end = F.element_at(F.array(*[F.lit(e) for e in ends]), _pick(seed, i * 100, len(ends)) + 1)
+            whole = F.concat(F.array_join(body, ""), F.when(i == 0, F.concat(F.lit(link), end)).otherwise(F.lit("")))
+            initial = _letters(consonants, _pick(seed, i * 100, len(consonants)))
+            return F.when(~_is_word(w), w).when(F.length(w) == 1, initial).otherwise(whole)
+
+        made = F.array_join(F.transform(_name_parts(text), word), "")
+        here = text.rlike(script)
+        out = F.when(here, made) if out is None else out.when(here, made)
+    return out
 
 
 def _octet(o: Column, i: Column, seed: Column) -> Column:
@@ -150,8 +180,8 @@ def _surrogate(kind: Column, canon: Column, seed: Column) -> Column:
         .when(kind == "phone", _remade(canon, seed, country))
         .when(kind == "secret", _remade(canon, seed, 4))
         .when(kind == "iban", _remade(canon, seed, 2))
-        .when(kind == "man", _syllables(seed, canon, MAN_ENDS))
-        .when(kind == "woman", _syllables(seed, canon, WOMAN_ENDS))
+        .when(kind == "man", _syllables(seed, canon, False))
+        .when(kind == "woman", _syllables(seed, canon, True))
         .otherwise(_remade(canon, seed))
     )
 
@@ -159,7 +189,7 @@ def _surrogate(kind: Column, canon: Column, seed: Column) -> Column:
 def _written(kind: Column, mention: Column, made: Column) -> Column:
     """The surrogate in the form of a mention: its separators, and its capitals."""
     is_name = kind.isin("man", "woman")
-    name = F.initcap(made)
+    name = F.array_join(F.transform(_name_parts(made), lambda w: F.when(_is_word(w), F.initcap(w)).otherwise(w)), "")
     chars, new = _chars(mention), _chars(made)
     aligned = kind.isin("email", "ip", "secret")
 
@@ -221,7 +251,8 @@ def replace_pii(docs: DataFrame, key: str = "surrogates") -> DataFrame:
 
     Null and empty texts stay as they are, with no entities; so does a text without any. Equal mentions and mentions
     that differ in separators or capitals get the same surrogate everywhere, under one ``key``. Repeated rows get equal
-    texts. Other columns come through, whatever their names; an older ``pii`` is replaced. Texts are never cut.
+    texts. Names are found after a title only, and the whole mention is the entity: later mentions without the title stay, and
+    "Mr John Smith" and "Mr Smith" are two entities. Other columns come through, whatever their names; an older ``pii`` is replaced. Texts are never cut.
     """
     found = mentions(docs).withColumn("canon", _canonical(F.col("kind"), F.col("mention")))
     found = stored(found, "mentions")

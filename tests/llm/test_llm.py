@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import textwrap
 
 import pyarrow as pa
@@ -176,6 +177,23 @@ def test_pii(spark):
     assert got[4].text is None and got[5].text == ""
 
 
+def test_pii_whole_names_and_addresses(spark):
+    texts = [
+        "an jörg.müller@firma.de und šárka@pošta.cz, 山田@例え.jp",
+        "Mrs Anne-Marie Dupont, Mr John Paul Jones, Mr O'Brien's hat, Herr von der Heide, Mr J. R. Smith went",
+        "Mr Иван Петров and Mrs Ελένη Παππά went",
+        "Mr John met Mr. X",
+    ]
+    got = {r.doc_id: r.text for r in pii.replace_pii(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    for i, real in ((0, "jörg müller firma šárka pošta 山田 例え"), (1, "Anne Marie Dupont John Paul Jones Brien Heide Smith"), (2, "Иван Петров Ελένη Παππά")):
+        assert not [w for w in real.split() if w in got[i]], got[i]
+    assert re.fullmatch(r"an \S+@\S+\.de und \S+@\S+\.cz, \S+@\S+\.jp", got[0])
+    name = r"[A-Z][a-z]+"
+    wanted = rf"Mrs {name}-{name} {name}, Mr {name} {name} {name}, Mr [A-Z]'{name}'s hat, Herr von der {name}, Mr [A-Z]\. [A-Z]\. {name} went"
+    assert re.fullmatch(wanted, got[1]), got[1]
+    assert re.fullmatch(r"Mr [А-Я][а-я]+ [А-Я][а-я]+ and Mrs [Α-Ω][α-ως]+ [Α-Ω][α-ως]+ went", got[2]), got[2]
+
+
 def test_pii_surrogates_are_distinct(spark):
     found = spark.range(150).selectExpr("'ip' AS kind", "concat_ws('.', id % 5 + 1, id div 5 % 5 + 1, id div 25, 7) AS canon")
     rows = pii.surrogates(found, "k").collect()
