@@ -25,8 +25,13 @@ _IS_LETTER = np.array([chr(i).isalpha() for i in range(0x10000)])
 
 
 def _letters(points: np.ndarray) -> np.ndarray:
-    """Code points with everything but letters as a space. Beyond the basic plane all count as letters."""
-    return np.where((points >= 0x10000) | _IS_LETTER[np.minimum(points, 0xFFFF)], points, _SPACE)
+    """Code points with everything but letters as a space."""
+    letter = _IS_LETTER[np.minimum(points, 0xFFFF)]
+    beyond = np.flatnonzero(points >= 0x10000)
+    if len(beyond):  # looked up one by one
+        known, at = np.unique(points[beyond], return_inverse=True)
+        letter[beyond] = np.array([chr(p).isalpha() for p in known.tolist()])[at]
+    return np.where(letter, points, _SPACE)
 
 
 def _vectors(letters: np.ndarray, dimensions: int) -> np.ndarray:

@@ -260,6 +260,13 @@ def test_language(spark):
     assert got == {1: "de", 2: "en", 3: "und", 4: "und"}
 
 
+def test_language_beyond_the_basic_plane(spark):
+    gothic = "𐌰𐌱𐌲 𐌳𐌴𐌵 "
+    train = spark.createDataFrame([(gothic * 9 + "😀🎉 " * 50, "got"), ("the dog and the cat 😀 " * 9, "en")], "text string, lang string")
+    found = language.predict(frame(spark, [(1, "😀🎉 😀", "s"), (2, gothic, "s"), (3, "the cat 🎉🎉🎉🎉", "s")]), language.prototypes(train))
+    assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: "und", 2: "got", 3: "en"}
+
+
 def test_toxicity(spark):
     rnd = random.Random(3)
     words = ["tree", "river", "stone", "cloud", "you", "walk", "house", "green", "road"]
