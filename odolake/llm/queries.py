@@ -1,10 +1,11 @@
-"""Registered queries of the ten operators, over whole tables, and their SQL twins."""
+"""Registered queries of the operators, over whole tables, and their SQL twins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odolake.llm.common import crc_mod, table
+from odolake.llm.twins import ORACLES  # noqa: F401
 
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +91,41 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.sharding import shard_rows
+
+    dealt = shard_rows(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return dealt.select(
+        "row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.merkle import LEAF_FIELDS, fold, leaf, manifest, siblings
+
+    docs = table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in LEAF_FIELDS}
+    tampered = leaf(list({**fields, "text": F.replace("text", F.lit("\n"), F.lit(""))}.values()))
+    tampered = F.when(crc_mod(F.col("doc_id"), 2) == 0, tampered).otherwise(leaf(list(fields.values())))
+    rows = manifest(docs.withColumn("shown", tampered), ["doc_id", "shown"])
+    folded = rows.withColumn("folded_root", fold(F.col("row.shown"), F.col("path")))
+    return folded.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from odolake.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_mix_sources": op2_mix_sources,
@@ -101,5 +137,7 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_repeated_bytes": op10_repeated_bytes,
+    "op11_shards": op11_shards,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_divergence": op13_source_divergence,
 }
-ORACLES: dict[str, str] = {}
