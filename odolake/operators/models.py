@@ -1,14 +1,11 @@
-"""Scaling, clustering and consumption models on tables."""
+"""Scaling, cluster labels and consumption models on tables."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odolake.functions.numbers import exact_mean, fixed_point, half_up
-from odolake.operators.joining import join_checked
+from odolake.operators.joining import join_salted
 from odolake.session import checkpoint
 
 
@@ -22,28 +19,6 @@ def standardize(df: DataFrame, cols: list[str], suffix: str = "_std") -> DataFra
     return df.withColumns(out)
 
 
-def fit_kmeans(
-    df: DataFrame, features: list[str], k: int = 3, seed: int = 0, max_iter: int = 300, tol: float = 1e-4
-) -> PipelineModel:
-    """K-means on standardised features; MLlib brings only the centroids to the driver.
-
-    ``stages[-1].summary.numIter`` tells the iterations used; as many as ``max_iter`` mean it had not converged. The fit reads ``df`` once per iteration, so hand in a stored table.
-    """
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip"),
-            StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-            KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_scaled", predictionCol="cluster"),
-        ]
-    ).fit(df)
-
-
-def kmeans_clusters(df: DataFrame, features: list[str], k: int = 3, seed: int = 0) -> DataFrame:
-    """Cluster number per row; rows with a missing feature are left out."""
-    stored = checkpoint(df)
-    return fit_kmeans(stored, features, k, seed).transform(stored).drop("_raw", "_scaled")
-
-
 def assign_cluster(df: DataFrame, features: list[str], centroids: list[list[float]], name: str = "cluster") -> DataFrame:
     """Label of the nearest given centroid; ties go to the lower label."""
 
@@ -153,7 +128,7 @@ def factor_predictions(df: DataFrame, coefficients: DataFrame, x: str, factor: s
     levels = coefficients.where(F.col("variable").startswith(f"{factor}_")).select(
         F.substr("variable", F.lit(len(factor) + 2)).alias(factor), F.col("coefficient").alias("_shift")
     )
-    joined = join_checked(df, levels, factor, "left")
+    joined = join_salted(df, levels, factor, "left")
     predicted = value("(intercept)") + value(x) * F.col(x) + F.coalesce("_shift", F.lit(0.0))
     return joined.withColumn(name, predicted).drop("_shift")
 

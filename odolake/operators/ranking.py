@@ -15,6 +15,11 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column]) -> DataF
     return df.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")
 
 
+def drop_repeats(df: DataFrame, subset: list[str], order: list[Column]) -> DataFrame:
+    """One row per value of the ``subset`` columns, the first one by ``order``, which must be total. Nulls are one value."""
+    return top_per_group(df, subset, order)
+
+
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 

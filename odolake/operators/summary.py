@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from odolake.functions.numbers import exact_mean
-from odolake.operators.joining import join_checked
+from odolake.operators.joining import join_salted
 from odolake.operators.ordering import running_total
 
 
 def impute_group_mean(df: DataFrame, group: str, value: str) -> DataFrame:
     """Missing values become the mean of their group."""
     means = df.groupBy(group).agg(exact_mean(F.col(value)).alias("_mean"))
-    return join_checked(df, means, group, "left").withColumn(value, F.coalesce(value, "_mean")).drop("_mean")
+    return join_salted(df, means, group, "left").withColumn(value, F.coalesce(value, "_mean")).drop("_mean")
 
 
 def group_mean(df: DataFrame, group: str, value: str, name: str = "mean_value") -> DataFrame:
@@ -22,10 +22,10 @@ def group_mean(df: DataFrame, group: str, value: str, name: str = "mean_value")
 def above_group_mean(df: DataFrame, group: str, value: str) -> DataFrame:
     """Rows whose value is above the mean of their group.
 
-    The means are combined map-side and joined back by their measured size.
+    The means are combined map-side; rows of a hot group meet them in several tasks.
     """
     means = group_mean(df, group, value, "_mean")
-    return join_checked(df, means, group).where(F.col(value) > F.col("_mean")).drop("_mean")
+    return join_salted(df, means, group).where(F.col(value) > F.col("_mean")).drop("_mean")
 
 
 def column_means(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -67,7 +67,7 @@ def group_describe(df: DataFrame, group: str, value: str) -> DataFrame:
             F.max(spot - F.floor(spot)).alias(f"_part_{name}"),
         ]
     quartiles = (
-        join_checked(ranked, spans, group)
+        join_salted(ranked, spans, group)
         .groupBy(group)
         .agg(*picks)
         .select(

@@ -6,11 +6,12 @@ A point table has trip key columns, ``seq`` (file order of the points), ``latitu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from odolake.functions import clock, distance
 from odolake.functions.numbers import from_micro, half_up, micro
-from odolake.operators.consecutive import CHUNK, fold_consecutive
+from odolake.operators.consecutive import CHUNK, Fold, fold_consecutive
+from odolake.session import checkpoint
 
 
 def _pair_distance(formula, **kwargs):
@@ -26,16 +27,12 @@ def _has_previous(prev, cur) -> Column:
     return F.when(prev["latitude"].isNotNull() & prev["longitude"].isNotNull(), F.lit(1))
 
 
-def trip_distances(points: DataFrame, trip: list[str], chunk: int = CHUNK) -> DataFrame:
-    """Summed distances between consecutive points, with start, second and end time.
-
-    Trips of one point have ``n_segments`` 0; see ``measured_trips`` and ``trip_rejects``.
-    """
-    facts = fold_consecutive(
-        points,
+def distance_fold(trip: list[str], last: list[str] = ()) -> Fold:
+    """The states that trip distances are made of; ``last`` names more columns whose value at the last point is kept."""
+    return Fold(
         trip,
         "seq",
-        ["latitude", "longitude", "ts"],
+        ["latitude", "longitude", "ts", *last],
         {
             "n_segments": _has_previous,
             "dist_euclidiana": _pair_distance(distance.euclidean),
@@ -43,19 +40,43 @@ def trip_distances(points: DataFrame, trip: list[str], chunk: int = CHUNK) -> Da
             "dist_minkowski": _pair_distance(distance.minkowski, p=3),
         },
         second=["ts"],
-        chunk=chunk,
     )
-    return facts.select(
-        *trip,
+
+
+def distance_facts(fold: Fold, states: DataFrame, last: list[str] = ()) -> DataFrame:
+    return fold.facts(states).select(
+        *fold.keys,
         F.col("n_rows").alias("n_points"),
         F.col("n_segments").cast("bigint").alias("n_segments"),
         *[from_micro(F.col(c)).alias(c) for c in ("dist_euclidiana", "dist_manhattan", "dist_minkowski")],
         F.col("first_ts").alias("start_first_point"),
         F.col("second_ts").alias("start_second_point"),
         F.col("last_ts").alias("end_point"),
+        *[F.col(f"last_{c}").alias(c) for c in last],
     )
 
 
+def trip_distances(points: DataFrame, trip: list[str], chunk: int = CHUNK) -> DataFrame:
+    """Summed distances between consecutive points, with start, second and end time.
+
+    Trips of one point have ``n_segments`` 0; see ``measured_trips`` and ``trip_rejects``.
+    """
+    fold = distance_fold(trip)
+    return distance_facts(fold, fold.states(points, chunk))
+
+
+def whole_states(fold: Fold, kept: DataFrame, points: DataFrame) -> DataFrame:
+    """One state per trip out of ``kept``, the states of all batches; ``points`` holds the points of the same batches.
+
+    A trip may come in any number of batches. Where their stretches interleave, its points are folded again, each point
+    once; only the points of such trips are shuffled.
+    """
+    merged = checkpoint(fold.merge(kept))
+    mixed = merged.where("_overlaps").select(*fold.keys)
+    again = points.join(mixed, fold.keys, "left_semi").dropDuplicates([*fold.keys, fold.seq])
+    return merged.where("NOT _overlaps").unionByName(fold.states(again))
+
+
 def measured_trips(distances: DataFrame) -> DataFrame:
     return distances.where(F.col("n_segments") > 0)
 
@@ -106,8 +127,18 @@ def endpoint_geodesic_km(ends: DataFrame, name: str = "dist_linear_km") -> DataF
     return ends.withColumn(name, distance.haversine_km(*_endpoints_of(ends, None)))
 
 
-def elevation_profile(points: DataFrame, trip: list[str], chunk: int = CHUNK) -> DataFrame:
-    """Point count, elevation extremes, climb and descent (plain differences of neighbours)."""
+def elevation_profile(
+    points: DataFrame, trip: list[str], segment: list[str] = (), smooth: bool = False, chunk: int = CHUNK
+) -> DataFrame:
+    """Point, segment and track count, elevation extremes, climb and descent.
+
+    Climb and descent are differences of neighbours within a segment: ``segment`` names its columns, the first of which is
+    the track. Without them a trip is one segment of one track. With ``smooth`` an elevation first becomes 0.4 of itself
+    and 0.3 of each neighbour in its segment; the ends of a segment and points beside a missing value stay as they are.
+    """
+    segment = list(segment)
+    if smooth:
+        points = _smoothed(points, [*trip, *segment], chunk)
 
     def climb(prev, cur):
         return micro(F.greatest(cur["elevacao"] - prev["elevacao"], F.lit(0.0)))
@@ -121,21 +152,48 @@ def elevation_profile(points: DataFrame, trip: list[str], chunk: int = CHUNK) ->
 
     facts = fold_consecutive(
         points,
-        trip,
+        [*trip, *segment],
         "seq",
         ["elevacao"],
         {"uphill": known(climb), "downhill": known(descent)},
         aggs={"min_elevation": ("min", "elevacao"), "max_elevation": ("max", "elevacao")},
         chunk=chunk,
     )
-    return facts.select(
-        *trip,
-        F.col("n_rows").alias("n_points"),
-        "min_elevation",
-        "max_elevation",
-        from_micro(F.col("uphill")).alias("uphill"),
-        from_micro(F.col("downhill")).alias("downhill"),
+    tracks = facts.groupBy(*trip, *segment[:1]).agg(
+        F.sum("n_rows").alias("n_points"),
+        F.count(F.lit(1)).alias("n_segments"),
+        F.min("min_elevation").alias("min_elevation"),
+        F.max("max_elevation").alias("max_elevation"),
+        F.sum("uphill").alias("uphill"),
+        F.sum("downhill").alias("downhill"),
+    )
+    return tracks.groupBy(*trip).agg(
+        F.sum("n_points").alias("n_points"),
+        F.sum("n_segments").alias("n_segments"),
+        F.count(F.lit(1)).alias("n_tracks"),
+        F.min("min_elevation").alias("min_elevation"),
+        F.max("max_elevation").alias("max_elevation"),
+        from_micro(F.sum("uphill")).alias("uphill"),
+        from_micro(F.sum("downhill")).alias("downhill"),
+    )
+
+
+def _smoothed(points: DataFrame, series: list[str], chunk: int) -> DataFrame:
+    """Smoothed elevations. The first and last point of a chunk are lent to the chunks beside it, one row each."""
+    cut = points.withColumn("_chunk", F.col("seq") - F.pmod(F.col("seq"), F.lit(chunk))).withColumn("_lent", F.lit(False))
+    ends = cut.groupBy(*series, "_chunk").agg(
+        *[f(F.struct("seq", "elevacao")).alias(name) for name, f in (("_first", F.min), ("_last", F.max))]
     )
+    across = Window.partitionBy(*series).orderBy("_chunk")
+    near = ends.select(*series, "_chunk", F.lag("_last").over(across).alias("a"), F.lead("_first").over(across).alias("b"))
+    lent = near.select(*series, "_chunk", F.explode(F.array("a", "b")).alias("p")).where(F.col("p").isNotNull())
+    lent = lent.select(*series, "_chunk", F.col("p.seq").alias("seq"), F.col("p.elevacao").alias("elevacao"), F.lit(True).alias("_lent"))
+    along = Window.partitionBy(*series, "_chunk").orderBy("seq")
+    before, after = F.lag("elevacao").over(along), F.lead("elevacao").over(along)
+    mean = before * F.lit(0.3) + F.col("elevacao") * F.lit(0.4) + after * F.lit(0.3)
+    both = cut.unionByName(lent, allowMissingColumns=True).withColumn("_mean", mean)
+    smoothed = both.where(~F.col("_lent")).withColumn("elevacao", F.coalesce("_mean", "elevacao"))
+    return smoothed.drop("_chunk", "_lent", "_mean")
 
 
 def loaded_trips(points: DataFrame, trip: list[str], as_of: Column, loaded_at: str = "data_carga_banco") -> DataFrame:

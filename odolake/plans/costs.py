@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from odolake.functions import clock
 from odolake.functions.numbers import half_up, null_if_nan_text
 from odolake.functions.text import vehicle_make, vehicle_model
+from odolake.operators.joining import every_salt, salted
 from odolake.operators.ranking import pair_by_rank, top_k
 
 
@@ -45,31 +46,28 @@ def trip_view(road: DataFrame, measured: DataFrame) -> DataFrame:
 def trip_cost(view: DataFrame, economy: DataFrame, prices: DataFrame) -> DataFrame:
     """Litres and cost per trip. ``economy`` and ``prices`` come from ``mean_economy``/``mean_prices``.
 
-    Trips without economy drop out; trips without a price keep null price and cost. Repeated trip
-    rows are removed before the joins, which are on unique keys, so the result has no repeats.
+    Trips without economy drop out; trips without a price keep null price and cost. Economy and prices are small against
+    the trips and joined first, so trips are joined once, by vehicle and salt, as most trips may be of a few vehicles.
+    Repeated trip rows hash alike, meet in the same task of that join, and are removed there without a shuffle of their own.
     """
-    trips = (
-        view.where(F.col("data_inicio_rota").isNotNull())
-        .select(
-            "id_unico",
-            "nome_usuario",
-            F.col("data_inicio_rota").alias("data_rota"),
-            F.col("hora_inicio_rota").alias("inicio_viagem"),
-            F.col("hora_fim_rota").alias("fim_viagem"),
-            F.col("dist_euclidiana").alias("dist_km"),
-        )
-        .distinct()
-        .withColumns(
-            {"marca": vehicle_make(F.col("nome_usuario")), "modelo": vehicle_model(F.col("nome_usuario"))}
-        )
+    trips = view.where(F.col("data_inicio_rota").isNotNull()).select(
+        "id_unico",
+        "nome_usuario",
+        F.col("data_inicio_rota").alias("data_rota"),
+        F.col("hora_inicio_rota").alias("inicio_viagem"),
+        F.col("hora_fim_rota").alias("fim_viagem"),
+        F.col("dist_euclidiana").alias("dist_km"),
+        vehicle_make(F.col("nome_usuario")).alias("marca"),
+        vehicle_model(F.col("nome_usuario")).alias("modelo"),
     )
     known = economy.where(F.col("media_consumo_km_l").isNotNull())
     price = prices.select(F.col("produto").alias("tipo_combustivel"), "preco_medio_revenda")
-    litres = F.try_divide(F.col("dist_km"), F.col("media_consumo_km_l"))
+    priced = known.join(price, "tipo_combustivel", "left")
+    keys = ["marca", "modelo", "_salt"]
+    trips = salted(trips).repartition(*keys).distinct()
     return (
-        trips.join(known, ["marca", "modelo"])
-        .join(price, "tipo_combustivel", "left")
-        .withColumn("litros", litres)
+        trips.join(every_salt(priced), keys)
+        .withColumn("litros", F.try_divide(F.col("dist_km"), F.col("media_consumo_km_l")))
         .withColumn("custo_trajeto", F.col("litros") * F.col("preco_medio_revenda"))
         .select(
             "id_unico",

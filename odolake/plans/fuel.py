@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from odolake.functions.numbers import exact_mean, half_up, mpg_to_km_per_litre
+from odolake.functions.numbers import exact_mean, mpg_to_km_per_litre
 from odolake.functions.text import first_word, vehicle_make, vehicle_model
 
 # How price products map to fuel types of the economy table.
@@ -22,10 +22,7 @@ def economy_in_km_per_litre(vehicles: DataFrame) -> DataFrame:
 
 
 def mean_economy(economy: DataFrame) -> DataFrame:
-    """Mean km/l per make, first word of the model and fuel: a mean over the models' distinct means.
-
-    Rounded, so that the value can serve as a grouping key later on.
-    """
+    """Mean km/l per make, first word of the model and fuel: a mean over the models' distinct means."""
     middle = (F.col("city_km_l") + F.col("highway_km_l")) / 2
     per_model = economy.groupBy("make", "model", "fuel_type").agg(exact_mean(middle).alias("_mean"))
     distinct = per_model.select(
@@ -35,7 +32,7 @@ def mean_economy(economy: DataFrame) -> DataFrame:
         "_mean",
     ).distinct()
     return distinct.groupBy("marca", "modelo", "tipo_combustivel").agg(
-        half_up(exact_mean(F.col("_mean"), 10)).alias("media_consumo_km_l")
+        exact_mean(F.col("_mean")).alias("media_consumo_km_l")
     )
 
 
@@ -45,7 +42,7 @@ def mean_prices(prices: DataFrame, state: str, product_to_fuel: dict[str, str] =
     by_word = (
         prices.where(F.col("estado") == state)
         .groupBy("estado", word.alias("_word"))
-        .agg(half_up(exact_mean(F.col("preco_medio_revenda"))).alias("preco_medio_revenda"))
+        .agg(exact_mean(F.col("preco_medio_revenda")).alias("preco_medio_revenda"))
     )
     fuel = F.col("_word")
     for product, name in product_to_fuel.items():
@@ -58,7 +55,7 @@ def mean_price_like(prices: DataFrame, pattern: str, state: str | None = None) -
     rows = prices.where(F.col("produto").like(pattern))
     if state is not None:
         rows = rows.where(F.col("estado") == state)
-    return rows.agg(half_up(exact_mean(F.col("preco_medio_revenda"))).alias("media"))
+    return rows.agg(exact_mean(F.col("preco_medio_revenda")).alias("media"))
 
 
 def request_keys(trips: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """The three recurring jobs over one lake folder: trip layers, reference tables, and models.
 
-Layers and tables are parquet folders below ``lake``. The layer jobs are incremental: each run takes
-the files that no earlier run has taken. The others replace their tables.
+Layers and tables are parquet folders below ``lake``. The layer jobs are incremental: each run takes the batches that no
+earlier run has taken, and a trip may come in any number of them. The others replace their tables.
 """
 
 from __future__ import annotations
@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from odolake.functions import clock, responses as fields
 from odolake.functions.numbers import half_up
-from odolake.operators import models, trips
+from odolake.operators import clustering, models, trips
+from odolake.operators.joining import join_salted
 from odolake.plans import costs, fuel, layers
+from odolake.session import checkpoint
 from odolake.sinks import writers
 from odolake.sources import delimited, gpx, responses
-from odolake.streaming.ingest import new_files, refresh
+from odolake.streaming.ingest import new_batches, new_files, read_batches, refresh
 
 TRIP = ["id_rota", "nome_usuario"]
 
@@ -48,12 +50,20 @@ ECONOMY_COLUMNS = [
 ]
 
 
+PLACE = ["cidade", "estado", "pais"]
+
+
 def layer(lake: str, name: str) -> str:
     return f"{lake.rstrip('/')}/{name}"
 
 
 def read_layer(spark: SparkSession, lake: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer(lake, name))
+    """All batches of an incremental layer."""
+    return read_batches(spark, layer(lake, name))
+
+
+def read_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    return spark.read.parquet(layer(lake, f"tables/{name}"))
 
 
 def bronze_job(spark: SparkSession, landing: str, lake: str, archive: str | None = None) -> None:
@@ -67,6 +77,13 @@ def bronze_job(spark: SparkSession, landing: str, lake: str, archive: str | None
     refresh(named, outputs, layer(lake, "progress/bronze"))
 
 
+def _follow(spark: SparkSession, lake: str, name: str, schema: str, outputs: dict, progress: str) -> None:
+    """The new batches of a layer through the functions of ``outputs``."""
+    source = layer(lake, name)
+    targets = {layer(lake, target): transform for target, transform in outputs.items()}
+    refresh(new_batches(spark, source), targets, layer(lake, f"progress/{progress}"), (source, schema))
+
+
 def silver_job(spark: SparkSession, lake: str) -> None:
     """New points get trip id, vehicle, date and time; points of unreadable file names are kept apart."""
 
@@ -75,14 +92,14 @@ def silver_job(spark: SparkSession, lake: str) -> None:
         return layers.silver_points(batch.withColumn("file_name", as_csv))
 
     outputs = {
-        layer(lake, "silver"): lambda batch: clean(batch).where(layers.has_trip_key()),
-        layer(lake, "unnamed"): lambda batch: clean(batch).where(~layers.has_trip_key()),
+        "silver": lambda batch: clean(batch).where(layers.has_trip_key()),
+        "unnamed": lambda batch: clean(batch).where(~layers.has_trip_key()),
     }
-    refresh(new_files(spark, layer(lake, "bronze"), "parquet", BRONZE_SCHEMA), outputs, layer(lake, "progress/silver"))
+    _follow(spark, lake, "bronze", BRONZE_SCHEMA, outputs, "silver")
 
 
 def gold_job(spark: SparkSession, lake: str, places: DataFrame, key: str, loaded_at: Column | None = None) -> None:
-    """New trips get city, state and country of their final point.
+    """New points get city, state and country of the final point of their trip in this batch; see ``located_points``.
 
     ``places`` has ``key``, ``place_latitude``, ``place_longitude`` and an ``address`` map.
     """
@@ -91,30 +108,49 @@ def gold_job(spark: SparkSession, lake: str, places: DataFrame, key: str, loaded
         found = layers.trip_locations(batch, TRIP, places, key).select(*TRIP, key)
         return layers.gold_points(batch, found.join(places.select(key, "address"), key, "left"), TRIP, loaded_at)
 
-    stream = new_files(spark, layer(lake, "silver"), "parquet", SILVER_SCHEMA)
-    refresh(stream, {layer(lake, "gold"): locate}, layer(lake, "progress/gold"))
+    _follow(spark, lake, "silver", SILVER_SCHEMA, {"gold": locate}, "gold")
+
+
+def _timed(points: DataFrame) -> DataFrame:
+    return points.withColumn("ts", clock.combine(F.col("data"), F.col("hora")))
+
+
+def _fold():
+    return trips.distance_fold(TRIP, [*PLACE, "data_carga_banco"])
 
 
 def load_job(spark: SparkSession, lake: str) -> None:
-    """New gold points to the table of trip distances; trips of one point go to rejects."""
+    """New gold points to one state per trip and batch; ``distances`` puts them together."""
+    _follow(spark, lake, "gold", GOLD_SCHEMA, {"tables/trip_states": lambda batch: _fold().states(_timed(batch))}, "load")
 
-    def measure(batch: DataFrame) -> DataFrame:
-        timed = batch.withColumn("ts", clock.combine(F.col("data"), F.col("hora")))
-        place = batch.groupBy(*TRIP).agg(*[F.max(c).alias(c) for c in ("cidade", "estado", "pais", "data_carga_banco")])
-        return trips.trip_table(trips.trip_distances(timed, TRIP)).join(place, TRIP)
 
-    outputs = {
-        layer(lake, "tables/distances"): lambda batch: trips.measured_trips(measure(batch)),
-        layer(lake, "tables/rejects"): lambda batch: trips.trip_rejects(measure(batch)).select(*TRIP, "n_points"),
-    }
-    refresh(new_files(spark, layer(lake, "gold"), "parquet", GOLD_SCHEMA), outputs, layer(lake, "progress/load"))
+def trip_states(spark: SparkSession, lake: str) -> DataFrame:
+    """One state per trip. Points are read again only for trips whose batches interleave."""
+    return trips.whole_states(_fold(), read_layer(spark, lake, "tables/trip_states"), _timed(read_layer(spark, lake, "gold")))
 
 
-def road_job(spark: SparkSession, lake: str, stored: DataFrame) -> None:
-    """Road distance per trip from stored responses (``id_unico``, ``status``, ``body``)."""
-    found = responses.route_distances(responses.accepted(stored))
-    points = read_layer(spark, lake, "gold").withColumn("ts", clock.combine(F.col("data"), F.col("hora")))
-    ends = trips.trip_endpoints(points, TRIP).select(
+def distances(spark: SparkSession, lake: str) -> DataFrame:
+    """Measures, times and place of every trip, in however many batches it came."""
+    return trips.trip_table(trips.distance_facts(_fold(), trip_states(spark, lake), [*PLACE, "data_carga_banco"]))
+
+
+def located_points(spark: SparkSession, lake: str) -> DataFrame:
+    """All gold points with the place of their trip's final point, also where a later batch moved that point."""
+    states = trip_states(spark, lake)
+    place = states.select(*TRIP, *[F.col(f"_last_{c}").alias(c) for c in PLACE])
+    return join_salted(read_layer(spark, lake, "gold").drop(*PLACE), place, TRIP, "left")
+
+
+def trip_job(spark: SparkSession, lake: str, stored: DataFrame) -> None:
+    """Tables of trips out of their states: distances, trips of one point, and road distances.
+
+    ``stored`` has the responses of the road service (``id_unico``, ``status``, ``body``). No point is read.
+    """
+    facts = checkpoint(distances(spark, lake))
+    writers.overwrite(trips.measured_trips(facts), layer(lake, "tables/distances"))
+    writers.overwrite(trips.trip_rejects(facts).select(*TRIP, "n_points"), layer(lake, "tables/rejects"))
+
+    ends = _fold().facts(trip_states(spark, lake)).select(
         costs.trip_key(F.col("id_rota"), F.col("nome_usuario")).alias("id_unico"),
         "nome_usuario",
         F.to_date("first_ts").alias("data_inicio_rota"),
@@ -125,38 +161,49 @@ def road_job(spark: SparkSession, lake: str, stored: DataFrame) -> None:
         F.col("first_longitude").alias("longitude_inicial"),
         F.col("last_latitude").alias("latitude_final"),
         F.col("last_longitude").alias("longitude_final"),
+        *[F.col(f"last_{c}").alias(c) for c in PLACE],
     )
-    road = ends.join(found, "id_unico", "left")
+    found = responses.route_distances(responses.accepted(stored))
+    road = checkpoint(ends.join(found, "id_unico", "left"))
     writers.overwrite(responses.with_route(road), layer(lake, "tables/road"))
     writers.overwrite(responses.route_rejects(road).select("id_unico", "status"), layer(lake, "tables/road_rejects"))
 
 
 def reference_job(spark: SparkSession, lake: str, sheets: str, stored: DataFrame) -> None:
-    """Fuel prices from sheet exports, economy of the vehicles met from stored responses (``marca``, ``modelo``)."""
-    writers.overwrite(delimited.read_sheet_export(spark, sheets, PRICE_SCHEMA), layer(lake, "tables/prices"))
-    wanted = fuel.request_keys(read_layer(spark, lake, "tables/distances"))
-    vehicles = responses.vehicle_rows(wanted, stored, ["marca", "modelo"]).withColumnRenamed("class", "classe")
+    """Fuel prices from sheet exports, economy of the vehicles met from stored responses (``marca``, ``modelo``).
+
+    Unreadable lines of the sheets, and the wanted vehicles without an answer, with the reason, go to reject tables.
+    """
+    lines = delimited.sheet_lines(spark, sheets)
+    writers.overwrite(delimited.sheet_rows(lines, PRICE_SCHEMA), layer(lake, "tables/prices"))
+    writers.overwrite(delimited.sheet_rejects(lines, PRICE_SCHEMA), layer(lake, "tables/price_rejects"))
+    keys = ["marca", "modelo"]
+    wanted = checkpoint(fuel.request_keys(read_table(spark, lake, "distances")))
+    vehicles = responses.vehicle_rows(wanted, stored, keys).withColumnRenamed("class", "classe")
     writers.overwrite(fuel.economy_in_km_per_litre(vehicles).select(*ECONOMY_COLUMNS), layer(lake, "tables/economy"))
-    writers.overwrite(responses.refused(stored), layer(lake, "tables/economy_rejects"))
+    writers.overwrite(responses.vehicle_rejects(wanted, stored, keys), layer(lake, "tables/economy_rejects"))
 
 
 def trip_cost(spark: SparkSession, lake: str, state: str) -> DataFrame:
-    view = costs.trip_view(read_layer(spark, lake, "tables/road"), read_layer(spark, lake, "tables/distances"))
-    economy = fuel.mean_economy(read_layer(spark, lake, "tables/economy"))
-    return costs.trip_cost(view, economy, fuel.mean_prices(read_layer(spark, lake, "tables/prices"), state))
+    view = costs.trip_view(read_table(spark, lake, "road"), read_table(spark, lake, "distances"))
+    economy = fuel.mean_economy(read_table(spark, lake, "economy"))
+    return costs.trip_cost(view, economy, fuel.mean_prices(read_table(spark, lake, "prices"), state))
 
 
 def model_job(spark: SparkSession, lake: str, state: str, run_id: str, k: int = 3, top: int = 5, all_runs: bool = False) -> None:
-    """Cluster the trips of one run, list worst and best vehicles, simulate the swap, fit the litres model."""
+    """Cluster the trips of one run, list worst and best vehicles, simulate the swap, fit the litres model.
+
+    The model's mean absolute and mean squared error on the trips held out go to a table of their own.
+    """
     cost = trip_cost(spark, lake, state)
     writers.overwrite(cost, layer(lake, "tables/trip_cost"))
-    cost = read_layer(spark, lake, "tables/trip_cost")
-    found = models.kmeans_clusters(costs.cluster_input(cost), ["dist_km", "media_consumo_km_l"], k)
+    cost = read_table(spark, lake, "trip_cost")
+    found = clustering.kmeans_clusters(costs.cluster_input(cost), ["dist_km", "media_consumo_km_l"], k)
     ranked = models.rank_clusters(found, "cluster", "media_consumo_km_l")
     writers.write_snapshot(ranked, layer(lake, "tables/clustered"), run_id)
 
-    clustered = read_layer(spark, lake, "tables/clustered").withColumn("run_id", F.col("run_id").cast("string"))
-    prices = read_layer(spark, lake, "tables/prices")
+    clustered = read_table(spark, lake, "clustered").withColumn("run_id", F.col("run_id").cast("string"))
+    prices = read_table(spark, lake, "prices")
     mean = fuel.mean_price_like(prices, "%GAS%", state)
     total = lambda rows: costs.vehicle_totals(rows, mean, True)
     if not all_runs:
@@ -166,9 +213,12 @@ def model_job(spark: SparkSession, lake: str, state: str, run_id: str, k: int =
     swap = costs.swap_simulation(worst, best, fuel.mean_price_like(prices, "%GASOLINA%", state))
     writers.overwrite(swap, layer(lake, "tables/simulation"))
 
-    train = cost.where(models.holdout(F.xxhash64("id_unico")))
-    coefficients = models.rank_coefficients(models.factor_regression(train, "litros", "dist_km", "nome_usuario"))
-    staging = coefficients.select(
+    is_train = models.holdout(F.xxhash64("id_unico"))
+    fitted = checkpoint(models.factor_regression(cost.where(is_train), "litros", "dist_km", "nome_usuario"))
+    held_out = models.factor_predictions(cost.where(~is_train), fitted, "dist_km", "nome_usuario")
+    errors = models.regression_errors(held_out, "litros", "predicted")
+    writers.overwrite(writers.with_load_time(errors, name="data_execucao"), layer(lake, f"tables/regression_errors/run_id={run_id}"))
+    staging = models.rank_coefficients(fitted).select(
         F.col("variable").alias("variavel"),
         half_up(F.col("coefficient")).alias("coeficiente"),
         half_up(F.col("coefficient_abs")).alias("coeficiente_abs"),

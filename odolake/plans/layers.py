@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odolake.functions import clock, responses, text
@@ -50,3 +52,12 @@ def gold_points(silver: DataFrame, locations: DataFrame, trip: list[str], loaded
     )
     loaded = loaded_at if loaded_at is not None else F.current_timestamp()
     return silver.join(place, trip, "left").withColumn("data_carga_banco", loaded)
+
+
+def input_report(inputs: dict[str, DataFrame]) -> DataFrame:
+    """One row per named input with its number of rows, also for inputs without any."""
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("input"), "n_rows", (F.col("n_rows") == 0).alias("is_empty"))
+        for name, df in inputs.items()
+    ]
+    return reduce(DataFrame.unionAll, counted)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from odolake.operators import models
+from odolake.operators import clustering, models
 from odolake.plans import costs, fuel
 from odolake.queries import standins
+from odolake.queries.learning import TRIP_FEATURES, sql_kmeans
 from odolake.queries.standins import (
     COSTS,
     MEASURED,
@@ -23,10 +24,6 @@ from odolake.queries.standins import (
 )
 from odolake.session import checkpoint
 
-# Centroids in units of 10,000 distance units and km/l.
-CENTROIDS = [[4.0, 12.0], [9.0, 17.0], [25.0, 18.0]]
-
-
 def concat_key_join(spark, sf_dir):
     """Inner join on a key put together from two columns."""
     road = road_trips(spark, sf_dir).select("id_unico", "data_inicio_rota")
@@ -43,23 +40,24 @@ def trip_view(spark, sf_dir):
 def trip_cost(spark, sf_dir):
     """The flagship: points to distances, economy and prices to cost per trip, dearest distance first."""
     found = standins.trip_cost(spark, sf_dir).orderBy(F.desc("dist_km"), "id_unico", "tipo_combustivel")
-    return rounded(found, ["litros", "custo_trajeto"])
+    return rounded(found, ["media_consumo_km_l", "litros", "preco_medio_revenda", "custo_trajeto"])
 
 
 def distinct_trips(spark, sf_dir):
     """Clustering input: distinct rows of one fuel."""
-    return rounded(costs.cluster_input(standins.trip_cost(spark, sf_dir)), ["custo_trajeto"])
+    return rounded(costs.cluster_input(standins.trip_cost(spark, sf_dir)), ["media_consumo_km_l", "custo_trajeto"])
 
 
 def clustered(spark, sf_dir):
-    """Labelled trips, stored once: the rankings and the simulation read them several times."""
-    trips = costs.cluster_input(standins.trip_cost(spark, sf_dir)).withColumn("_far", F.col("dist_km") / F.lit(10000.0))
-    labelled = models.assign_cluster(trips, ["_far", "media_consumo_km_l"], CENTROIDS, "cluster_consumo").drop("_far")
+    """Trips with the labels of a fit, stored once: the rankings and the simulation read them several times."""
+    trips = checkpoint(costs.cluster_input(standins.trip_cost(spark, sf_dir)))
+    labelled = clustering.fit_kmeans(trips, TRIP_FEATURES).transform(trips, "cluster_consumo")
     return models.rank_clusters(checkpoint(labelled), "cluster_consumo", "media_consumo_km_l")
 
 
 def kmeans_assign(spark, sf_dir):
-    return clustered(spark, sf_dir).select("nome_usuario", "dist_km", "media_consumo_km_l", "cluster_consumo", "is_best")
+    found = clustered(spark, sf_dir).select("nome_usuario", "dist_km", "media_consumo_km_l", "cluster_consumo", "is_best")
+    return rounded(found, ["media_consumo_km_l"])
 
 
 def _price(spark, sf_dir, pattern):
@@ -107,19 +105,10 @@ QUERIES = {
 _VIEW_CLOCK = f"nullif(abs(({sql_clock('hora_fim_rota')}) - ({sql_clock('hora_inicio_rota')})), 0)"
 
 
-def _d2(centroid):
-    a, b = centroid
-    x, y = f"(dist_km / 1e4 - {a}e0)", f"(media_consumo_km_l - {b}e0)"
-    return f"({x} * {x} + {y} * {y})"
-
-
-_D = [_d2([int(a), int(b)]) for a, b in CENTROIDS]
-_LEAST = f"least({', '.join(_D)})"
 CLUSTERED = f"""{COSTS}, grouped AS (
     SELECT DISTINCT nome_usuario, dist_km, media_consumo_km_l, custo_trajeto FROM costs WHERE tipo_combustivel = 'gas'),
-clustered AS (
-    SELECT *, CASE WHEN {_D[0]} = {_LEAST} THEN 0 WHEN {_D[1]} = {_LEAST} THEN 1 ELSE 2 END AS cluster_consumo
-    FROM grouped),
+{sql_kmeans('grouped', TRIP_FEATURES)},
+clustered AS (SELECT * EXCLUDE (cluster), cluster AS cluster_consumo FROM km),
 best_cluster AS (
     SELECT cluster_consumo AS c FROM clustered GROUP BY cluster_consumo
     ORDER BY {sql_mean('media_consumo_km_l')} DESC, cluster_consumo LIMIT 1),
@@ -146,19 +135,22 @@ ORACLES = {
                CASE WHEN data_inicio_rota <= data_fim_rota THEN {_VIEW_CLOCK} END AS duracao_viagem
         FROM road JOIN measured AS m ON concat(CAST(m.id_rota AS VARCHAR), '__', m.nome_usuario) = id_unico""",
     "trip_cost": f"""WITH {COSTS}
-        SELECT id_unico, nome_usuario, tipo_combustivel, data_rota, inicio_viagem, fim_viagem, media_consumo_km_l,
-               dist_km, {sql_round('litros')} AS litros, preco_medio_revenda,
+        SELECT id_unico, nome_usuario, tipo_combustivel, data_rota, inicio_viagem, fim_viagem,
+               {sql_round('media_consumo_km_l')} AS media_consumo_km_l, dist_km, {sql_round('litros')} AS litros,
+               {sql_round('preco_medio_revenda')} AS preco_medio_revenda,
                {sql_round('custo_trajeto')} AS custo_trajeto
         FROM costs""",
     "distinct_trips": f"""WITH {COSTS}
-        SELECT DISTINCT nome_usuario, 1 AS tipo_combustivel, dist_km, media_consumo_km_l,
+        SELECT nome_usuario, 1 AS tipo_combustivel, dist_km, {sql_round('media_consumo_km_l')} AS media_consumo_km_l,
                {sql_round('custo_trajeto')} AS custo_trajeto
-        FROM costs WHERE tipo_combustivel = 'gas'""",
-    "kmeans_assign": f"""WITH {CLUSTERED}
-        SELECT nome_usuario, dist_km, media_consumo_km_l, cluster_consumo, is_best FROM labelled""",
-    "worst_k": f"WITH {CLUSTERED} SELECT * FROM worst",
-    "best_k": f"WITH {CLUSTERED} SELECT * FROM best",
-    "swap_simulation": f"""WITH {CLUSTERED},
+        FROM (SELECT DISTINCT nome_usuario, dist_km, media_consumo_km_l, custo_trajeto FROM costs
+              WHERE tipo_combustivel = 'gas') AS t""",
+    "kmeans_assign": f"""WITH RECURSIVE {CLUSTERED}
+        SELECT nome_usuario, dist_km, {sql_round('media_consumo_km_l')} AS media_consumo_km_l, cluster_consumo, is_best
+        FROM labelled""",
+    "worst_k": f"WITH RECURSIVE {CLUSTERED} SELECT * FROM worst",
+    "best_k": f"WITH RECURSIVE {CLUSTERED} SELECT * FROM best",
+    "swap_simulation": f"""WITH RECURSIVE {CLUSTERED},
         a AS (SELECT *, row_number() OVER (ORDER BY media_consumo_km_l, nome_usuario) AS rank FROM worst),
         b AS (SELECT * FROM (
             SELECT *, row_number() OVER (ORDER BY media_consumo_km_l DESC, nome_usuario) AS rank FROM best) AS r

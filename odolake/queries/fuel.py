@@ -31,16 +31,16 @@ def economy_convert(spark, sf_dir):
 
 
 def nested_avg(spark, sf_dir):
-    return fuel.mean_economy(economy(spark, sf_dir))
+    return rounded(fuel.mean_economy(economy(spark, sf_dir)), ["media_consumo_km_l"])
 
 
 def token_price_avg(spark, sf_dir):
-    return fuel.mean_prices(prices(spark, sf_dir), STATE)
+    return rounded(fuel.mean_prices(prices(spark, sf_dir), STATE), ["preco_medio_revenda"])
 
 
 def price_like_avg(spark, sf_dir):
     """Mean price of all products like ``%GAS%`` in one state."""
-    return fuel.mean_price_like(prices(spark, sf_dir), "%GAS%", STATE)
+    return rounded(fuel.mean_price_like(prices(spark, sf_dir), "%GAS%", STATE), ["media"])
 
 
 def distinct_pairs(spark, sf_dir):
@@ -58,9 +58,11 @@ QUERIES = {
 ORACLES = {
     "economy_convert": f"""SELECT p_partkey, {sql_round('p_size * 1.609344e0 / 3.785411784e0')} AS city_km_l,
                {sql_round('p_retailprice * 1.609344e0 / 3.785411784e0')} AS highway_km_l FROM part""",
-    "nested_avg": f"WITH {MEAN_ECONOMY} SELECT * FROM cons",
-    "token_price_avg": f"WITH {MEAN_PRICES} SELECT * FROM val_combus",
-    "price_like_avg": f"WITH {PRICES} SELECT {mean_price('%GAS%')} AS media",
+    "nested_avg": f"""WITH {MEAN_ECONOMY} SELECT marca, modelo, tipo_combustivel,
+               {sql_round('media_consumo_km_l')} AS media_consumo_km_l FROM mean_economy""",
+    "token_price_avg": f"""WITH {MEAN_PRICES} SELECT estado, produto,
+               {sql_round('preco_medio_revenda')} AS preco_medio_revenda FROM mean_prices""",
+    "price_like_avg": f"WITH {PRICES} SELECT {sql_round(mean_price('%GAS%'))} AS media",
     "distinct_pairs": """SELECT DISTINCT split_part(lower(replace(p_name, ' ', '_')), '_', 1) AS marca,
                split_part(lower(replace(p_name, ' ', '_')), '_', 2) AS modelo FROM part""",
 }

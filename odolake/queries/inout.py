@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from odolake.operators import trips
+from odolake.operators import ranking, trips
 from odolake.queries.standins import DISTANCES, POINTS, TRIP, points, table
 from odolake.session import shared_dir
 from odolake.sinks import writers
@@ -43,15 +43,17 @@ SHEET_ROWS = 5000
 PREAMBLE = 9
 
 
-def csv_skip_preamble(spark, sf_dir):
-    """Sheet exports with nine preamble lines and a header, some thousand orders per sheet."""
+def _sheets(spark, sf_dir):
+    """Sheet exports with nine preamble lines and a header, some thousand orders per sheet; every 97th line is broken."""
     path = shared_dir(spark, "sheets")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     sheet = F.floor(F.col("o_orderkey") / SHEET_ROWS)
+    text = F.to_csv(F.struct("o_orderkey", "o_orderpriority", "o_totalprice"), {"sep": ";"})
+    broken = F.concat(F.lit("subtotal "), F.col("o_orderkey"), F.lit(";;"))
     data = orders.select(
         sheet.alias("sheet"),
         F.col("o_orderkey").alias("line"),
-        F.to_csv(F.struct("o_orderkey", "o_orderpriority", "o_totalprice"), {"sep": ";"}).alias("text"),
+        F.when(F.col("o_orderkey") % 97 == 0, F.concat(text, F.lit("\n"), broken)).otherwise(text).alias("text"),
     )
     numbers = F.sequence(F.lit(-PREAMBLE - 1).cast("bigint"), F.lit(-1).cast("bigint"))
     head = data.select("sheet").distinct().select("sheet", F.explode(numbers).alias("line"))
@@ -61,9 +63,30 @@ def csv_skip_preamble(spark, sf_dir):
     )
     lines = data.unionByName(head).repartition("sheet").sortWithinPartitions("sheet", "line")
     lines.select("sheet", "text").write.partitionBy("sheet").text(path)
-    return delimited.read_sheet_export(
-        spark, path, "o_orderkey BIGINT, o_orderpriority STRING, o_totalprice DOUBLE", PREAMBLE
-    )
+    return path
+
+
+_SHEET = "o_orderkey BIGINT, o_orderpriority STRING, o_totalprice DOUBLE"
+
+
+def csv_skip_preamble(spark, sf_dir):
+    """The data lines of the sheets, typed."""
+    return delimited.read_sheet_export(spark, _sheets(spark, sf_dir), _SHEET, PREAMBLE)
+
+
+def csv_sheet_rejects(spark, sf_dir):
+    """The lines of the sheets that are no data, with their line number."""
+    lines = delimited.sheet_lines(spark, _sheets(spark, sf_dir), PREAMBLE)
+    return delimited.sheet_rejects(lines, _SHEET).select("line", "text")
+
+
+def csv_single_file(spark, sf_dir):
+    """A report of five rows as one file."""
+    path = shared_dir(spark, "report")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    writers.write_delimited(ranking.top_k(orders, [F.desc("o_totalprice"), F.asc("o_orderkey")], 5), path, single_file=True)
+    rows = delimited.read_delimited(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE")
+    return rows.withColumn("files", F.lit(len(rows.inputFiles())))
 
 
 def append_load(spark, sf_dir):
@@ -104,14 +127,37 @@ def run_snapshot(spark, sf_dir):
     return spark.read.option("basePath", path).schema("o_orderkey BIGINT, o_totalprice DOUBLE, run_id STRING").parquet(path)
 
 
-def table_scan(spark, sf_dir):
+def _catalog_orders(spark, sf_dir):
     name = f"odolake_orders_{uuid.uuid4().hex}"
     path = shared_dir(spark, "table")
     tables.create_if_absent(spark, name, "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE", path)
     tables.create_if_absent(spark, name, "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE", path)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    orders.write.insertInto(name)
-    return tables.scan(spark, name)
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice").write.insertInto(name)
+    return name
+
+
+def table_scan(spark, sf_dir):
+    name = _catalog_orders(spark, sf_dir)
+    found = tables.scan(spark, name)
+    found.schema  # resolved now; the files stay when the table is dropped
+    tables.drop(spark, name)
+    return found
+
+
+def view_scan(spark, sf_dir):
+    """A view, replaced by another one of the same name, and read by a query text with values."""
+    name = _catalog_orders(spark, sf_dir)
+    view = f"{name}_view"
+    tables.create_or_replace_view(spark, view, f"SELECT o_orderkey FROM {name}")
+    tables.create_or_replace_view(
+        spark, view, f"SELECT o_custkey, count(*) AS n, max(o_totalprice) AS dearest FROM {name} GROUP BY o_custkey"
+    )
+    found = tables.scan_query(
+        spark, f"SELECT * FROM {view} WHERE dearest >= :least AND n > :n", least=150000.0, n=5
+    )
+    found.schema
+    tables.drop(spark, view, name)
+    return found
 
 
 # --- GPX ------------------------------------------------------------------------------------------
@@ -181,7 +227,7 @@ def gpx_quarantine(spark, sf_dir):
 
 
 def incremental_ingest(spark, sf_dir):
-    """Two file drops and three runs: every file is taken once, the third run adds nothing."""
+    """Two file drops and three runs: every file is taken once and archived, the third run adds nothing."""
     landing, target = shared_dir(spark, "landing"), shared_dir(spark, "ingested")
     archive, progress = shared_dir(spark, "archive"), shared_dir(spark, "progress")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
@@ -195,23 +241,27 @@ def incremental_ingest(spark, sf_dir):
     writers.append(events.where(F.col("event_type") == "click"), landing)
     run()
     run()
-    return spark.read.parquet(target).drop("batch_id")
+    moved = spark.read.schema("event_id BIGINT").option("recursiveFileLookup", True).parquet(archive)
+    moved = moved.select("event_id", F.lit(True).alias("archived"))
+    found = ingest.read_batches(spark, target, events.schema).join(moved, "event_id", "left")
+    return found.fillna({"archived": False})
 
 
 def incremental_trips(spark, sf_dir):
-    """Trip facts batch by batch: a drop holds whole trips, so no state is kept between runs."""
-    landing, target, progress = shared_dir(spark, "points"), shared_dir(spark, "trips"), shared_dir(spark, "progress")
+    """Trips that come in three drops each: by time of day, and point by point in turn for every fifth user."""
+    landing, target, progress = shared_dir(spark, "points"), shared_dir(spark, "states"), shared_dir(spark, "progress")
     all_points = points(spark, sf_dir)
     schema = all_points.schema
-
-    def facts(batch):
-        return trips.measured_trips(trips.trip_distances(batch, TRIP))
-
-    first_half = F.dayofmonth("trip_date") <= 15
-    for drop in (first_half, ~first_half):
-        writers.append(all_points.where(drop), landing)
-        ingest.refresh(ingest.new_files(spark, landing, "parquet", schema), {target: facts}, progress)
-    return spark.read.parquet(target).select(*TRIP, "n_points", "n_segments", "dist_euclidiana", "dist_manhattan")
+    fold = trips.distance_fold(TRIP)
+    drop = F.when(F.col("user_id") % 5 == 0, F.col("seq") % 3).otherwise(F.floor(F.hour("ts") / 8))
+    for i in range(3):
+        writers.append(all_points.where(drop == i), landing)
+        ingest.refresh(ingest.new_files(spark, landing, "parquet", schema), {target: fold.states}, progress)
+    whole = trips.whole_states(fold, ingest.read_batches(spark, target), spark.read.schema(schema).parquet(landing))
+    facts = trips.measured_trips(trips.distance_facts(fold, whole))
+    return facts.select(
+        *TRIP, "n_points", "n_segments", "dist_euclidiana", "dist_manhattan", "start_first_point", "start_second_point", "end_point"
+    )
 
 
 QUERIES = {
@@ -219,11 +269,14 @@ QUERIES = {
     "csv_charset": csv_charset,
     "parquet_roundtrip": parquet_roundtrip,
     "csv_skip_preamble": csv_skip_preamble,
+    "csv_sheet_rejects": csv_sheet_rejects,
+    "csv_single_file": csv_single_file,
     "append_load": append_load,
     "overwrite_load": overwrite_load,
     "staged_insert": staged_insert,
     "run_snapshot": run_snapshot,
     "table_scan": table_scan,
+    "view_scan": view_scan,
     "gpx_points": gpx_points,
     "gpx_quarantine": gpx_quarantine,
     "incremental_ingest": incremental_ingest,
@@ -238,6 +291,13 @@ ORACLES = {
     "csv_charset": "SELECT c_custkey, 'São João - ' || c_name AS nome, c_mktsegment FROM customer",
     "parquet_roundtrip": "SELECT * FROM orders",
     "csv_skip_preamble": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders",
+    "csv_sheet_rejects": f"""SELECT line, 'subtotal ' || o_orderkey || ';;' AS text FROM (
+            SELECT o_orderkey, {PREAMBLE} + row_number() OVER w + sum(CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END) OVER w
+                AS line
+            FROM orders WINDOW w AS (PARTITION BY o_orderkey // {SHEET_ROWS} ORDER BY o_orderkey)) AS numbered
+        WHERE o_orderkey % 97 = 0""",
+    "csv_single_file": """SELECT o_orderkey, o_totalprice, 1 AS files FROM orders
+        ORDER BY o_totalprice DESC, o_orderkey LIMIT 5""",
     "append_load": """SELECT o_orderkey, o_totalprice, TIMESTAMP '2024-03-29 10:00:00' AS data_carga_banco
         FROM orders""",
     "overwrite_load": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
@@ -246,6 +306,8 @@ ORACLES = {
     "run_snapshot": """SELECT o_orderkey, o_totalprice, '20240329_1000' AS run_id FROM orders
         UNION ALL SELECT o_orderkey, o_totalprice, '20240330_1000' FROM orders WHERE o_totalprice > 100000""",
     "table_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+    "view_scan": """SELECT o_custkey, count(*) AS n, max(o_totalprice) AS dearest FROM orders GROUP BY o_custkey
+        HAVING max(o_totalprice) >= 150000 AND count(*) > 5""",
     "gpx_points": f"""WITH {_DOCS}
         SELECT trk_name, 0 AS trk_idx, CASE WHEN hour(ts) < 12 THEN 0 ELSE 1 END AS seg_idx,
                CAST(row_number() OVER (PARTITION BY trk_name, hour(ts) < 12 ORDER BY seq) - 1 AS INTEGER) AS pt_idx,
@@ -254,8 +316,9 @@ ORACLES = {
         FROM docs""",
     "gpx_quarantine": f"""WITH {_DOCS} SELECT DISTINCT trk_name AS name, true AS is_corrupt FROM docs
         WHERE user_id % 10 = 0""",
-    "incremental_ingest": "SELECT event_id, user_id, event_type, value FROM events",
+    "incremental_ingest": "SELECT event_id, user_id, event_type, value, true AS archived FROM events",
     "incremental_trips": f"""WITH {DISTANCES}
-        SELECT user_id, trip_date, n_points, n_segments, dist_euclidiana, dist_manhattan
+        SELECT user_id, trip_date, n_points, n_segments, dist_euclidiana, dist_manhattan, start_first_point,
+               start_second_point, end_point
         FROM distances WHERE n_segments > 0""",
 }

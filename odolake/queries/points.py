@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from odolake.functions import clock
 from odolake.operators import trips
+from odolake.plans import layers
 from odolake.queries.standins import (
     DISTANCES,
     POINTS,
@@ -63,8 +64,25 @@ def haversine_km(spark, sf_dir):
     return rounded(trips.endpoint_geodesic_km(ends), ["dist_linear_km"], 4).select(*TRIP, "dist_linear_km")
 
 
+def _segmented(spark, sf_dir):
+    """Points of half a day are a track, of a quarter a segment."""
+    return points(spark, sf_dir).withColumns({"trk": F.floor(F.hour("ts") / 12), "seg": F.floor(F.hour("ts") / 6)})
+
+
 def elevation_profile(spark, sf_dir):
-    return trips.elevation_profile(points(spark, sf_dir), TRIP)
+    return trips.elevation_profile(_segmented(spark, sf_dir), TRIP, ["trk", "seg"])
+
+
+def elevation_smoothed(spark, sf_dir):
+    """Climb and descent of smoothed elevations, in small chunks, so that many segments have chunk borders."""
+    found = trips.elevation_profile(_segmented(spark, sf_dir), TRIP, ["trk", "seg"], smooth=True, chunk=512)
+    return found.select(*TRIP, "n_points", "uphill", "downhill")
+
+
+def input_report(spark, sf_dir):
+    """Rows per input of a run; an input without rows is reported, not left out."""
+    found = points(spark, sf_dir)
+    return layers.input_report({"points": found, "late": found.where(F.col("seq") < 0)})
 
 
 def first_last_window(spark, sf_dir):
@@ -138,6 +156,8 @@ QUERIES = {
     "endpoint_distance": endpoint_distance,
     "haversine_km": haversine_km,
     "elevation_profile": elevation_profile,
+    "elevation_smoothed": elevation_smoothed,
+    "input_report": input_report,
     "first_last_window": first_last_window,
     "loaded_on": loaded_on,
     "datetime_split": datetime_split,
@@ -149,6 +169,15 @@ _ABS_CLOCK = f"abs({sql_clock_of('end_point')} - {sql_clock_of('start_first_poin
 _TRIP_CLOCK = f"nullif(abs({sql_clock_of('last_ts')} - {sql_clock_of('first_ts')}), 0)"
 _SPAN_CLOCK = f"abs({sql_clock_of('b')} - {sql_clock_of('a')})"
 
+_SEGMENT = "PARTITION BY user_id, trip_date, hour(ts) // 6 ORDER BY seq"
+_CLIMBS = f"""climbs AS (
+    SELECT user_id, trip_date, hour(ts) // 6 AS seg, elevacao, {{value}} - lag({{value}}) OVER ({_SEGMENT}) AS step FROM points)"""
+_SMOOTH = f"""means AS (
+    SELECT *, lag(elevacao) OVER w * 0.3e0 + elevacao * 0.4e0 + lead(elevacao) OVER w * 0.3e0 AS mean
+    FROM points WINDOW w AS ({_SEGMENT}))"""
+_UP, _DOWN = (f"CAST(coalesce(sum({sql_micro(step)}), 0) AS DOUBLE) / 1e6" for step in (
+    "CASE WHEN step > 0 THEN step ELSE step * 0 END", "CASE WHEN step < 0 THEN -step ELSE step * 0 END"))
+
 ORACLES = {
     "trip_distance": f"""WITH {DISTANCES}
         SELECT *, {sql_hms('start_first_point')} AS hora_inicio, {sql_hms('end_point')} AS hora_fim,
@@ -171,13 +200,15 @@ ORACLES = {
                {sql_round(sql_haversine('first_latitude', 'first_longitude', 'last_latitude', 'last_longitude'), 4)}
                    AS dist_linear_km
         FROM ends""",
-    "elevation_profile": f"""WITH {DISTANCES}
-        SELECT user_id, trip_date, count(*) AS n_points, min(elevacao) AS min_elevation, max(elevacao) AS max_elevation,
-               CAST(coalesce(sum({sql_micro('greatest(elevacao - pele, 0e0)')}) FILTER (WHERE rn > 1), 0) AS DOUBLE)
-                   / 1e6 AS uphill,
-               CAST(coalesce(sum({sql_micro('greatest(pele - elevacao, 0e0)')}) FILTER (WHERE rn > 1), 0) AS DOUBLE)
-                   / 1e6 AS downhill
-        FROM pairs GROUP BY user_id, trip_date""",
+    "elevation_profile": f"""WITH {POINTS}, {_CLIMBS.format(value='elevacao')}
+        SELECT user_id, trip_date, count(*) AS n_points, count(DISTINCT seg) AS n_segments, count(DISTINCT seg // 2) AS n_tracks,
+               min(elevacao) AS min_elevation, max(elevacao) AS max_elevation, {_UP} AS uphill, {_DOWN} AS downhill
+        FROM climbs GROUP BY user_id, trip_date""",
+    "elevation_smoothed": f"""WITH {POINTS}, {_SMOOTH}, {_CLIMBS.format(value='coalesce(mean, elevacao)').replace('FROM points', 'FROM means')}
+        SELECT user_id, trip_date, count(*) AS n_points, {_UP} AS uphill, {_DOWN} AS downhill
+        FROM climbs GROUP BY user_id, trip_date""",
+    "input_report": """SELECT 'points' AS input, count(*) AS n_rows, count(*) = 0 AS is_empty FROM events
+        UNION ALL SELECT 'late', 0, true""",
     "first_last_window": f"""WITH {POINTS}, f AS (
             SELECT DISTINCT user_id, trip_date,
                    first_value(latitude) OVER w AS first_latitude, first_value(longitude) OVER w AS first_longitude,

@@ -193,6 +193,12 @@ def top_n_order(spark, sf_dir):
     return ranking.top_k(orders, order, 10)
 
 
+def dedupe_subset(spark, sf_dir):
+    """The first order of each customer and priority; the other columns come from that row."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    return ranking.drop_repeats(orders, ["o_custkey", "o_orderpriority"], [F.asc("o_orderkey")])
+
+
 QUERIES = {
     "silver_points": silver_points,
     "dropna_any": dropna_any,
@@ -211,13 +217,15 @@ QUERIES = {
     "top1_join_dim": top1_join_dim,
     "semi_join": semi_join,
     "top_n_order": top_n_order,
+    "dedupe_subset": dedupe_subset,
 }
 
 _LONGEST = """longest AS (
-    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority
-    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS row_num
-          FROM orders WHERE o_orderdate IS NOT NULL) AS ranked
-    WHERE row_num = 1 ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)"""
+    SELECT best.* FROM (
+        SELECT max({'o_totalprice': o_totalprice, 'o_orderkey': -o_orderkey, 'o_custkey': o_custkey,
+                    'o_orderpriority': o_orderpriority}) AS best
+        FROM orders WHERE o_orderdate IS NOT NULL GROUP BY o_custkey) AS per_customer
+    ORDER BY best DESC LIMIT 5)"""
 
 ORACLES = {
     "silver_points": f"""WITH {_ARRIVED}
@@ -260,11 +268,13 @@ ORACLES = {
         FROM (SELECT *, row_number() OVER (ORDER BY s_name, s_suppkey) AS position FROM supplier) AS a
         JOIN (SELECT *, row_number() OVER (ORDER BY c_name DESC, c_custkey DESC) AS position FROM customer) AS b
         USING (position)""",
-    "top1_per_group": f"WITH {_LONGEST} SELECT * FROM longest",
-    "top1_join_dim": f"""WITH {_LONGEST} SELECT l.*, c_name, c_mktsegment
+    "top1_per_group": f"WITH {_LONGEST} SELECT * REPLACE (-o_orderkey AS o_orderkey) FROM longest",
+    "top1_join_dim": f"""WITH {_LONGEST} SELECT l.* REPLACE (-o_orderkey AS o_orderkey), c_name, c_mktsegment
         FROM longest AS l JOIN customer ON c_custkey = o_custkey""",
     "semi_join": f"""WITH {_LONGEST} SELECT l_orderkey, l_linenumber, l_partkey, l_quantity
-        FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM longest)""",
+        FROM lineitem WHERE l_orderkey IN (SELECT -o_orderkey FROM longest)""",
+    "dedupe_subset": """SELECT min(o_orderkey) AS o_orderkey, o_custkey, o_orderpriority,
+               arg_min(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY o_custkey, o_orderpriority""",
     "top_n_order": """SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
         ORDER BY o_custkey, o_orderdate, o_totalprice DESC, o_orderkey LIMIT 10""",
 }

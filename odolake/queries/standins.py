@@ -34,8 +34,8 @@ def sql_micro(expr: str) -> str:
     return f"CAST(floor(({expr}) * 1e6 + 0.5) AS BIGINT)"
 
 
-def sql_mean(expr: str, scale: int = 6) -> str:
-    return f"(CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))) AS DOUBLE) / count({expr}))"
+def sql_mean(expr: str) -> str:
+    return f"avg({expr})"
 
 
 def sql_clock(time: str) -> str:
@@ -126,12 +126,12 @@ ECONOMY = """economy AS (
            CAST(p_size AS DOUBLE) AS city_km_l, p_retailprice / 1e2 AS highway_km_l
     FROM part)"""
 
-MEAN_ECONOMY = f"""{ECONOMY}, cons AS (
-    SELECT marca, modelo, tipo_combustivel, {sql_round(sql_mean('m', 10))} AS media_consumo_km_l
-    FROM (SELECT DISTINCT make AS marca, split_part(model, ' ', 1) AS modelo, fuel_type AS tipo_combustivel,
-                 {sql_mean('(city_km_l + highway_km_l) / 2')} AS m
-          FROM economy GROUP BY make, model, fuel_type) AS t
-    GROUP BY marca, modelo, tipo_combustivel)"""
+MEAN_ECONOMY = f"""{ECONOMY}, model_means AS (
+    SELECT make, model, fuel_type, avg((city_km_l + highway_km_l) / 2) AS per_model FROM economy GROUP BY ALL),
+mean_economy AS (
+    SELECT make AS marca, split_part(model, ' ', 1) AS modelo, fuel_type AS tipo_combustivel,
+           avg(DISTINCT per_model) AS media_consumo_km_l
+    FROM model_means GROUP BY ALL)"""
 
 _PRODUCTS = {
     "ECONOMY": "GASOLINA COMUM",
@@ -160,16 +160,17 @@ PRICES = f"""prices AS (
            CASE p_type {_CASES} ELSE 'GNV' END AS produto, p_retailprice / 1e2 AS preco_medio_revenda
     FROM part)"""
 
-MEAN_PRICES = f"""{PRICES}, val_combus AS (
-    SELECT estado, CASE WHEN split_part(produto, ' ', 1) = 'GASOLINA' THEN 'gas'
-                        ELSE split_part(produto, ' ', 1) END AS produto,
-           {sql_round(sql_mean('preco_medio_revenda'))} AS preco_medio_revenda
-    FROM prices WHERE estado = '{STATE}' GROUP BY estado, split_part(produto, ' ', 1))"""
+MEAN_PRICES = f"""{PRICES}, state_words AS (
+    SELECT split_part(produto, ' ', 1) AS word, preco_medio_revenda FROM prices WHERE estado = '{STATE}'),
+mean_prices AS (
+    SELECT '{STATE}' AS estado, coalesce(nullif(word, 'GASOLINA'), 'gas') AS produto,
+           avg(preco_medio_revenda) AS preco_medio_revenda
+    FROM state_words GROUP BY word)"""
 
 
 def mean_price(pattern: str) -> str:
     return (
-        f"(SELECT {sql_round(sql_mean('preco_medio_revenda'))} FROM prices"
+        "(SELECT avg(preco_medio_revenda) FROM prices"
         f" WHERE estado = '{STATE}' AND produto LIKE '{pattern}')"
     )
 
@@ -199,19 +200,19 @@ def trip_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-COSTS = f"""{DISTANCES}, {MEAN_ECONOMY}, {MEAN_PRICES}, trips AS (
-    SELECT DISTINCT concat(CAST(user_id AS VARCHAR), '__', CAST(trip_date AS VARCHAR)) AS id_unico,
-           upper(replace(p_name, ' ', '_')) AS nome_usuario, CAST(start_first_point AS DATE) AS data_rota,
-           {sql_hms('start_first_point')} AS inicio_viagem, {sql_hms('end_point')} AS fim_viagem,
-           dist_euclidiana AS dist_km
+COSTS = f"""{DISTANCES}, {MEAN_ECONOMY}, {MEAN_PRICES}, priced_vehicles AS (
+    SELECT mean_economy.*, preco_medio_revenda FROM mean_economy LEFT JOIN mean_prices ON produto = tipo_combustivel),
+drives AS (
+    SELECT DISTINCT user_id || '__' || trip_date AS id_unico, upper(replace(p_name, ' ', '_')) AS nome_usuario,
+           lower(split_part(p_name, ' ', 1)) AS marca, lower(split_part(p_name, ' ', 2)) AS modelo,
+           start_first_point, end_point, dist_euclidiana AS dist_km
     FROM distances JOIN part ON p_partkey = user_id WHERE n_segments > 0),
 costs AS (
-    SELECT id_unico, nome_usuario, c.tipo_combustivel, data_rota, inicio_viagem, fim_viagem, media_consumo_km_l,
+    SELECT id_unico, nome_usuario, tipo_combustivel, CAST(start_first_point AS DATE) AS data_rota,
+           {sql_hms('start_first_point')} AS inicio_viagem, {sql_hms('end_point')} AS fim_viagem, media_consumo_km_l,
            dist_km, dist_km / media_consumo_km_l AS litros, preco_medio_revenda,
            dist_km / media_consumo_km_l * preco_medio_revenda AS custo_trajeto
-    FROM trips
-    JOIN cons AS c ON split_part(lower(nome_usuario), '_', 1) = marca AND split_part(lower(nome_usuario), '_', 2) = modelo
-    LEFT JOIN val_combus AS v ON c.tipo_combustivel = v.produto)"""
+    FROM drives JOIN priced_vehicles USING (marca, modelo))"""
 
 
 # --- road responses out of orders, measured trips out of lineitem -----------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def read_delimited(
@@ -19,14 +19,44 @@ def read_delimited(
     )
 
 
-def read_sheet_export(spark: SparkSession, path: str, schema: str, skip: int = 9, sep: str = ";") -> DataFrame:
-    """Sheet exports: ``skip`` preamble lines and a header line, then the data lines.
+def sheet_lines(spark: SparkSession, path: str, skip: int = 9) -> DataFrame:
+    """(file_name, line, text) of the data lines of sheet exports: all after ``skip`` preamble lines and a header line.
 
-    A sheet has at most 1,048,576 rows, so one export per row is bounded; many files spread over
-    the cluster. The line number within the file tells data lines from the preamble.
+    Files are read in splits. The lines of a split are numbered as they are read, and the lines of the splits before it
+    in its file are added, one row per split, so neither a large file nor its preamble needs to be in one task.
     """
-    lines = spark.read.text(path, wholetext=True).select(
-        F.posexplode(F.split("value", r"\r?\n")).alias("line", "text")
+    read = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+        F.col("value").alias("text"),
     )
-    data = lines.where((F.col("line") > skip) & (F.col("text") != ""))
-    return data.select(F.from_csv("text", F.lit(schema), {"sep": sep}).alias("_r")).select("_r.*")
+    splits = read.groupBy("_file", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
+    numbered = read.join(splits.select("_file", "_start", shift.alias("_shift")), ["_file", "_start"])
+    numbered = numbered.withColumn("line", F.col("_id") + F.col("_shift"))
+    data = numbered.where((F.col("line") > skip) & (F.trim("text") != ""))
+    return data.select(F.element_at(F.split("_file", "/"), -1).alias("file_name"), "line", "text")
+
+
+_BAD = "_unreadable"
+
+
+def _parsed(lines: DataFrame, schema: str, sep: str) -> DataFrame:
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    return lines.withColumn("_r", F.from_csv("text", F.lit(f"{schema}, {_BAD} STRING"), options))
+
+
+def sheet_rows(lines: DataFrame, schema: str, sep: str = ";") -> DataFrame:
+    return _parsed(lines, schema, sep).where(F.col(f"_r.{_BAD}").isNull()).select("_r.*").drop(_BAD)
+
+
+def sheet_rejects(lines: DataFrame, schema: str, sep: str = ";") -> DataFrame:
+    """Lines that do not fit the schema, by number of fields or by type, as they are in the file."""
+    return _parsed(lines, schema, sep).where(F.col(f"_r.{_BAD}").isNotNull()).drop("_r")
+
+
+def read_sheet_export(spark: SparkSession, path: str, schema: str, skip: int = 9, sep: str = ";") -> DataFrame:
+    """The rows of sheet exports; see ``sheet_rejects`` for the lines left out."""
+    return sheet_rows(sheet_lines(spark, path, skip), schema, sep)

@@ -13,6 +13,23 @@ def scan(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def create_or_replace_view(spark: SparkSession, view: str, query: str) -> None:
+    """A view of the catalog over tables of the catalog; an earlier one of the name is replaced."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+
+
+def drop(spark: SparkSession, *names: str) -> None:
+    """Forget views and tables; the files of a table with a location stay."""
+    for name in names:
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {name}")
+
+
+def scan_query(spark: SparkSession, query: str, **values) -> DataFrame:
+    """Rows of a query text; ``:name`` in it stands for the value of that name, which is never pasted into the text."""
+    return spark.sql(query, args=values) if values else spark.sql(query)
+
+
 def scan_jdbc(
     spark: SparkSession, url: str, table: str, column: str, lower: int, upper: int, parts: int, **options: str
 ) -> DataFrame:

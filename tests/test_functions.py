@@ -1,4 +1,6 @@
 import datetime
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +181,26 @@ def test_class_words_quotes_and_entities(spark):
     h = F.col("h")
     found = values(spark, html, "h string", markup.has_class(h, "span", "text-danger"), markup.inner_text(h))
     assert found == [(True, "a &<b"), (False, "x")]
+
+
+def exact(spark, values, parts=3):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+    return df.agg(numbers.exact_mean(F.col("v")).alias("m"), numbers.exact_sum(F.col("v")).alias("s")).first()
+
+
+def test_exact_mean_keeps_small_and_large_values(spark):
+    assert exact(spark, [4e-7, 4e-7]).m == 4e-7
+    assert exact(spark, [2e12, 2e12, 2e12]).m == 2e12
+    assert exact(spark, [1e20, 1.0, -1e20]).s == 1.0
+    assert exact(spark, [None, 3.0]).m == 3.0 and exact(spark, [None]).m is None
+    assert exact(spark, [float("inf"), 1.0]).m == float("inf") and math.isnan(exact(spark, [float("nan"), 1.0]).m)
+    with pytest.raises(Exception, match="cannot be summed exactly"):
+        exact(spark, [1e30])
+
+
+def test_exact_mean_has_the_same_bits_for_any_partitioning(spark):
+    rng = random.Random(3)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-12, 15) for _ in range(3000)]
+    found = {exact(spark, rng.sample(values, len(values)), parts) for parts in (1, 2, 7)}
+    assert len(found) == 1
+    assert found.pop().s == pytest.approx(math.fsum(values), rel=1e-15)

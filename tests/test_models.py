@@ -8,7 +8,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from odolake.operators import models, summary
+from odolake.operators import clustering, models, summary
+from odolake.plans import costs
 
 SCHEMA = "nome_usuario string, dist_km double, media_consumo_km_l double"
 
@@ -25,13 +26,55 @@ def vehicles(spark, sizes=(385, 14, 78)):
 
 @pytest.mark.parametrize("seed", [0, 1])
 def test_kmeans_finds_the_groups(spark, seed):
-    found = models.kmeans_clusters(vehicles(spark), ["dist_km", "media_consumo_km_l"], seed=seed)
+    found = clustering.kmeans_clusters(vehicles(spark), ["dist_km", "media_consumo_km_l"], seed=seed)
     ranked = models.rank_clusters(found, "cluster", "media_consumo_km_l")
     sizes = ranked.groupBy("nome_usuario", "cluster").count().collect()
     assert sorted(r["count"] for r in sizes) == [14, 78, 385]
     assert {r.nome_usuario for r in ranked.where("is_best").select("nome_usuario").distinct().collect()} == {"v2"}
 
 
+def test_kmeans_does_not_depend_on_partitions(spark):
+    rng = random.Random(8)
+    rows = [(f"v{i % 7}", rng.uniform(0, 100), rng.uniform(5, 25)) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    fits = []
+    for made in (df, df.repartition(7), df.orderBy(F.desc("dist_km")).coalesce(1)):
+        fits.append(clustering.fit_kmeans(made, ["dist_km", "media_consumo_km_l"], k=4, seed=3))
+    assert fits[0] == fits[1] == fits[2] and fits[0].converged and fits[0].iterations > 2
+    checks = fits[0].certificate(df).collect()
+    assert sorted(r.cluster for r in checks) == [0, 1, 2, 3] and sum(r.n_rows for r in checks) == 600
+    assert all(r.n_nearest == r.n_rows and r.is_mean and r.converged for r in checks)
+    cut = clustering.fit_kmeans(df, ["dist_km", "media_consumo_km_l"], k=4, seed=3, max_iter=1)
+    assert not cut.converged and not all(r.is_mean for r in cut.certificate(df).collect())
+
+
+def test_kmeans_of_few_rows_and_missing_features(spark):
+    rows = [("a", 1.0, 5.0), ("a", 1.0, 5.0), ("b", 9.0, 5.0), ("c", None, 5.0), ("d", float("nan"), 5.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    fit = clustering.fit_kmeans(df, ["dist_km", "media_consumo_km_l"], k=3)
+    assert [round(c["dist_km"], 3) for c in fit.centres()] == [1.0, 9.0]
+    assert sorted((r.nome_usuario, r.cluster) for r in fit.transform(df).collect()) == [("a", 0), ("a", 0), ("b", 1)]
+    none = df.where("dist_km < 0")
+    assert clustering.kmeans_clusters(none, ["dist_km", "media_consumo_km_l"]).isEmpty()
+
+
+def test_chain_from_fit_to_swap_on_separable_groups(spark):
+    """The group with the best economy is found by the fit, whatever its number, and drives the others' routes."""
+    sizes = {"FAR_CAR": (600.0, 10.0), "OLD_CAR": (10.0, 8.0), "NEW_CAR": (10.0, 21.0)}
+    rows = [(f"{name}_{i % 2}", d + i / 100, k + (i % 2) / 10) for name, (d, k) in sizes.items() for i in range(40)]
+    found = clustering.kmeans_clusters(spark.createDataFrame(rows, SCHEMA), ["dist_km", "media_consumo_km_l"])
+    ranked = models.rank_clusters(found, "cluster", "media_consumo_km_l")
+    price = spark.createDataFrame([(6.0,)], "media double")
+    worst = costs.worst_vehicles(costs.vehicle_totals(ranked.where("NOT is_best"), price))
+    best = costs.best_vehicles(costs.vehicle_totals(ranked.where("is_best"), price))
+    swap = costs.swap_simulation(worst, best, price).orderBy("rank").collect()
+    assert [r.nome_usuario_original for r in swap] == ["OLD_CAR_0", "OLD_CAR_1", "FAR_CAR_0", "FAR_CAR_1"]
+    assert [r.nome_usuario_simulado for r in swap] == ["NEW_CAR_1", "NEW_CAR_0", None, None]
+    old = sum(10.0 + i / 100 for i in range(0, 40, 2))
+    assert swap[0].dist_km_original == pytest.approx(old, abs=0.01)
+    assert swap[0].custo_viagem_simulado == pytest.approx(old / 21.1 * 6.0, abs=0.01)
+
+
 def test_assign_cluster_takes_the_nearest(spark):
     df = spark.createDataFrame([(0.0, 0.0), (9.0, 9.0), (5.0, 5.0)], "x double, y double")
     found = models.assign_cluster(df, ["x", "y"], [[0.0, 0.0], [10.0, 10.0]]).collect()

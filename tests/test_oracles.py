@@ -1,4 +1,4 @@
-"""Every query with a SQL twin gives the same rows as the twin; the others keep their own promises."""
+"""Every query has a SQL twin and gives the same rows."""
 
 import datetime
 import decimal
@@ -45,13 +45,5 @@ def test_same_rows_as_sql(spark, sf_dir, duck, name):
     assert ours == theirs
 
 
-def test_every_twin_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
-
-
-@pytest.mark.parametrize("name", ["kmeans_fit", "kmeans_fit_cost"])
-def test_kmeans_labels_every_row(spark, sf_dir, name):
-    found = QUERIES[name](spark, sf_dir)
-    rows = found.select("cluster").collect()
-    assert len(rows) > 0
-    assert {r.cluster for r in rows} == {0, 1, 2}
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLES)

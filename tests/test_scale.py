@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from odolake.operators import joining, nearest, ordering, ranking
-from odolake.operators.consecutive import fold_consecutive
-from odolake.queries import QUERIES
+from odolake.operators.consecutive import Fold, fold_consecutive
+from odolake.queries import QUERIES, standins
 
 
 def plan(df) -> str:
@@ -40,15 +40,63 @@ def test_zip_ends_with_the_shorter_side(spark):
     assert [(r.position, r.u, r.f) for r in rows] == [(1, "a", "z"), (2, "b", "y")]
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_join_checked_has_two_equal_ways(spark, max_rows, how):
+def test_salted_join_equals_the_plain_one(spark, how):
     left = spark.range(0, 300).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     right = left.where("k < 200").groupBy("k").agg(F.max("v").alias("m"))
-    joined = joining.join_checked(left, right, "k", how, max_rows)
+    joined = joining.join_salted(left, right, "k", how)
     want = sorted(left.join(right, "k", how).collect(), key=str)
     assert sorted(joined.select("k", "v", "m").collect(), key=str) == want
-    assert ("BroadcastHashJoin" in plan(joined)) == (max_rows > 0)
+    hot = joining.salted(left.where("k = 1")).groupBy("_salt").count().collect()
+    assert len(hot) == joining.SALTS and max(r["count"] for r in hot) < 30
+    with pytest.raises(ValueError):
+        joining.join_salted(left, right, "k", "full")
+
+
+def test_trips_are_joined_once_by_vehicle_and_salt(spark, sf_dir):
+    """Without any broadcast, no shuffle of trips is on the vehicle or the fuel alone, and none on all columns."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(standins.trip_cost(spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"hashpartitioning\(([^)]*), \d+\)", text)
+    dealt = [re.sub(r"#\d+L?", "", k) for k in keys]
+    assert "marca, modelo, _salt" in dealt and "marca, modelo" not in dealt
+    assert not [k for k in dealt if "id_unico" in k]
+
+
+def test_sparse_numbering_folds_in_steps(spark):
+    """Every point in a chunk of its own: the edge rows of a series are folded by wider chunks before the last step."""
+    step = 1 << 20
+    df = spark.range(0, 3000).select(F.lit("hot").alias("k"), (F.col("id") * step).alias("seq"), F.col("id").cast("double").alias("x"))
+    way = lambda prev, cur: (cur["x"] - prev["x"]).cast("bigint")
+    fold = Fold(["k"], "seq", ["x"], {"way": way})
+    [row] = fold.facts(fold.states(df)).collect()
+    assert (row.n_rows, row.way, row.first_x, row.last_x) == (3000, 2999, 0.0, 2999.0)
+    small = fold.states(df.withColumn("seq", F.col("seq") / step * 5), chunk=32)
+    shuffles = re.findall(r"hashpartitioning\(([^)]*)", plan(small))
+    assert [("_chunk#" in k) for k in shuffles] == [False, True, True]
+    assert fold.facts(small).collect() == [row]
+
+
+def test_states_merge_like_one_fold(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice("ab"), i, rng.uniform(0, 9), i * 2) for i in rng.sample(range(2000), 900)]
+    df = spark.createDataFrame(rows, "k string, seq bigint, x double, t bigint")
+    way = lambda prev, cur: F.floor(F.abs(cur["x"] - prev["x"]) * 1e6)
+    fold = Fold(["k"], "seq", ["x", "t"], {"way": way}, ["t"], {"top": ("max", "x")})
+    want = sorted(fold.facts(fold.states(df, 16)).collect())
+    cuts = [0, 3, 700, 701, 1500, 2000]
+    parts = [fold.states(df.where(f"seq >= {a} AND seq < {b}"), 16) for a, b in zip(cuts, cuts[1:])]
+    union = parts[0]
+    for part in parts[1:]:
+        union = part.unionByName(union)
+    merged = fold.merge(union)
+    assert sorted(fold.facts(merged).collect()) == want and merged.where("_overlaps").isEmpty()
+    mixed = fold.merge(fold.states(df.where("seq % 2 = 0")).unionByName(fold.states(df.where("seq % 2 = 1"))))
+    assert mixed.where("_overlaps").count() == 2
 
 
 def apart(lat, lon, other_lat, other_lon):
@@ -128,7 +176,7 @@ def test_consecutive_windows_are_bounded(spark):
     found = fold_consecutive(df, ["k"], "seq", ["x"], {"way": step}, chunk=8)
     shuffles = re.findall(r"hashpartitioning\(([^)]*)", plan(found))
     assert "_chunk#" in shuffles[-1]  # the rows themselves
-    assert "_chunk#" not in shuffles[0]  # one row per chunk
+    assert "_chunk#" not in shuffles[0]  # one row per wide chunk
     [row] = found.collect()
     assert (row.n_rows, row.way, row.first_x, row.last_x) == (100, 99, 0.0, 99.0)
 

@@ -104,3 +104,31 @@ def test_trip_table_durations(spark):
     assert (row.tempo_viagem, row.tempo_decorrido) == (79200, 7200)
     second = trips.trip_table(trips.trip_distances(points(spark, rows), ["trip"]), "start_second_point")
     assert second.collect()[0].hora_inicio == "01:00:00"
+
+
+def test_climb_stays_within_segments(spark):
+    rows = [("a", 0, 0, 100.0), ("a", 0, 0, 110.0), ("a", 0, 1, 500.0), ("a", 0, 1, 510.0), ("a", 1, 0, 5.0)]
+    rows = [(name, trk, seg, seq, e) for seq, (name, trk, seg, e) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "trip string, trk int, seg int, seq bigint, elevacao double")
+    [row] = trips.elevation_profile(df, ["trip"], ["trk", "seg"]).collect()
+    assert (row.uphill, row.downhill, row.n_points, row.n_segments, row.n_tracks) == (20.0, 0.0, 5, 3, 2)
+    [whole] = trips.elevation_profile(df, ["trip"]).collect()
+    assert (whole.uphill, whole.downhill, whole.n_segments, whole.n_tracks) == (410.0, 505.0, 1, 1)
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 1 << 20])
+def test_smoothing_crosses_chunk_borders(spark, chunk):
+    rng = random.Random(9)
+    heights = [None if rng.random() < 0.1 else rng.uniform(0, 50) for _ in range(60)]
+    rows = [("a", i // 20, i * 3, e) for i, e in enumerate(heights)]
+    df = spark.createDataFrame(rows, "trip string, seg int, seq bigint, elevacao double")
+    [row] = trips.elevation_profile(df, ["trip"], ["seg"], smooth=True, chunk=chunk).collect()
+    up = 0.0
+    for at in range(0, 60, 20):
+        part = heights[at : at + 20]
+        even = list(part)
+        for i in range(1, 19):
+            if None not in part[i - 1 : i + 2]:
+                even[i] = part[i - 1] * 0.3 + part[i] * 0.4 + part[i + 1] * 0.3
+        up += sum(max(b - a, 0) for a, b in zip(even, even[1:]) if a is not None and b is not None)
+    assert row.uphill == pytest.approx(up, abs=1e-4)
