@@ -9,9 +9,10 @@ value and is set right by the words of either source, and those of both. All ari
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,7 +21,7 @@ from odolake.llm.common import stored
 MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
-HELD_TERMS = 200_000  # (source, term) pairs that a task adds up before it hands them on
+HELD_TERMS = 500_000  # (source, term) pairs that a task adds up before it hands them on
 
 # Bytes of words: ASCII letters, lower-cased, and all bytes of other characters.
 _TO_WORDS = bytes(
@@ -43,47 +44,69 @@ def collapse(docs: DataFrame) -> DataFrame:
     return texts.join(counts, ["lang", "h"]).select("lang", "text", "copies")
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, docs, count) of collapsed texts; a key can come more than once."""
-    counts: Counter = Counter()
-    docs: Counter = Counter()
-
-    def handed() -> pa.RecordBatch:
-        keys = list(counts)
-        batch = pa.RecordBatch.from_pydict(
-            {
-                "lang": pa.array([k[0] for k in keys], pa.string()),
-                "source": pa.array([k[1] for k in keys], pa.string()),
-                "term": pa.array([k[2].decode() for k in keys], pa.string()),
-                "docs": pa.array([docs[k] for k in keys], pa.int64()),
-                "count": pa.array([counts[k] for k in keys], pa.int64()),
-            }
-        )
-        counts.clear()
-        docs.clear()
-        return batch
+def _terms_of(lang: str, docs: Counter, by_source: dict[str, Counter]) -> pa.RecordBatch:
+    """One row per term: its documents, and the sources that have it with their counts."""
+    row_of = {term: i for i, term in enumerate(docs)}
+    rows = [np.fromiter(map(row_of.__getitem__, c), np.int64, len(c)) for c in by_source.values()]
+    counts = [np.fromiter(c.values(), np.int64, len(c)) for c in by_source.values()]
+    which = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    row = np.concatenate(rows)
+    order = np.argsort(row, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(docs)))])
+    entry = pa.StructArray.from_arrays(
+        [pa.array(list(by_source), pa.string()).take(pa.array(which[order])), pa.array(np.concatenate(counts)[order])], ["source", "count"]
+    )
+    return pa.RecordBatch.from_pydict(
+        {
+            "lang": pa.array([lang] * len(docs), pa.string()),
+            "term": pa.array(list(docs), pa.binary()).cast(pa.string()),
+            "docs": pa.array(list(docs.values()), pa.int64()),
+            "counts": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entry),
+        }
+    )
 
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, term, docs, counts) of collapsed texts; a term can come more than once."""
+    docs: dict[str, Counter] = defaultdict(Counter)
+    counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+    held = 0
     for batch in batches:
-        for row in batch.to_pylist():
-            words = Counter(row["text"].encode().translate(_TO_WORDS).split())
-            for copy in row["copies"]:
-                lang, source, n = row["lang"], copy["source"], copy["n"]
-                for word, times in words.items():
-                    counts[lang, source, word] += n * times
-                    docs[lang, source, word] += n
-            if len(counts) > HELD_TERMS:
-                yield handed()
-    if counts:
-        yield handed()
+        for lang, text, copies in zip(*[batch.column(c).to_pylist() for c in ("lang", "text", "copies")]):
+            words = text.translate(_TO_WORDS).split()
+            if not words:
+                continue
+            total, tally = sum(copy["n"] for copy in copies), None
+            if total == 1:
+                docs[lang].update(set(words))
+            else:
+                tally = Counter(words)
+                docs[lang].update(dict.fromkeys(tally, total))
+            for copy in copies:
+                own = counts[lang][copy["source"]]
+                held -= len(own)
+                own.update(words if tally is None else {word: n * copy["n"] for word, n in tally.items()})
+                held += len(own)
+            if held > HELD_TERMS:
+                yield from [_terms_of(lang, docs[lang], by_source) for lang, by_source in counts.items()]
+                docs.clear()
+                counts.clear()
+                held = 0
+    yield from [_terms_of(lang, docs[lang], by_source) for lang, by_source in counts.items()]
 
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, term, total, counts) of the terms in at least ``min_docs`` documents of a language.
 
-    ``counts`` lists the sources that have the term, so it is bounded by the sources of a language.
+    ``counts`` lists the sources that have the term, so it is bounded by the sources of a language. Tasks add terms up
+    before the one shuffle, so a very common term is a row per task and fill of the task's counters.
     """
-    found = collapse(docs).mapInArrow(_count_terms, "lang string, source string, term string, docs long, count long")
-    found = found.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
+    texts = collapse(docs).withColumn("text", F.col("text").cast("binary"))
+    found = texts.mapInArrow(_count_terms, "lang string, term string, docs long, counts array<struct<source string, count long>>")
+    found = found.repartition("lang", "term").select("lang", "term", "docs", F.posexplode("counts").alias("at", "own"))
+    found = found.groupBy("lang", "term", F.col("own.source").alias("source")).agg(
+        F.sum(F.when(F.col("at") == 0, F.col("docs")).otherwise(F.lit(0))).alias("docs"), F.sum("own.count").alias("count")
+    )
     terms = found.groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"),
         F.sum("count").alias("total"),
@@ -94,8 +117,9 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def share(count: str, size: str, terms: str) -> Column:
     """p of a term from the names of its count, the sum of counts and the number of terms; exact for any counts."""
-    scaled = f"CAST({count} + 1 AS DECIMAL(24, 0)) * {SCALE}"
-    return F.expr(f"1 + ({scaled}) div CAST({size} + {terms} AS DECIMAL(24, 0))")
+    whole = f"({count} + 1) * {SCALE} div ({size} + {terms})"
+    wide = f"CAST({count} + 1 AS DECIMAL(24, 0)) * {SCALE} div CAST({size} + {terms} AS DECIMAL(24, 0))"
+    return F.expr(f"1 + CASE WHEN {count} < {2**63 // SCALE - 1} THEN {whole} ELSE {wide} END")
 
 
 def excess(p: str, q: str) -> str:
@@ -129,9 +153,9 @@ def _pair_values(groups: DataFrame, own: DataFrame) -> DataFrame:
     one = one.select("lang", F.inline(F.array(ahead, back)))
 
     # Terms of both: what the two evaluations above get wrong.
-    shared = own.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "p0")).alias("all")).where(F.size("all") > 1)
-    pairs = shared.select("lang", "all", F.explode("all").alias("a"))
-    pairs = pairs.select("lang", "a", F.explode(F.expr("filter(all, x -> x.source > a.source)")).alias("b"))
+    shared = own.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("source", "p", "p0"))).alias("all"))
+    pairs = shared.where(F.size("all") > 1).select("lang", "all", F.posexplode("all").alias("i", "a"))
+    pairs = pairs.select("lang", "a", F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("b"))
     right = lambda p, p0, q, q0: f"{excess(p, q)} - {excess(p, q0)} - {excess(p0, q)} + {excess(p0, q0)}"
     both = pairs.groupBy("lang", F.col("a.source").alias("a"), F.col("b.source").alias("b")).agg(
         F.sum(F.expr(right("a.p", "a.p0", "b.p", "b.p0"))).alias("ab"), F.sum(F.expr(right("b.p", "b.p0", "a.p", "a.p0"))).alias("ba")
