@@ -52,12 +52,11 @@ def op5_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from odolake.llm.toxicity import fit
+    from odolake.llm.toxicity import fit, labelled_texts
 
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
-    train = docs.select("doc_id", "text").join(labels.where(~held_out).select("doc_id", "toxic"), "doc_id")
-    scored = fit(train).score(docs).select("row.doc_id", "score")
+    scored = fit(labelled_texts(docs, labels.where(~held_out))).score(docs).select("row.doc_id", "score")
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )

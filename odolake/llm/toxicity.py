@@ -3,11 +3,11 @@
 A lexicon is learned first: words and word beginnings (4, 5 and 6 bytes) that labelled toxic texts use and others do
 not, by the likelihood ratio of their document counts. The bound on the ratio rises with the number of candidates in
 as many documents, so that chance alone adds next to none. Features are the densities of these lexicons, second-person words and how close they
-stand to lexicon words, capitals, punctuation and obfuscated spellings. Trees are fitted on four fifths of the
-sample; the others calibrate the trees' margins.
+stand to lexicon words, capitals, punctuation and obfuscated spellings. Lexicon and trees learn from four fifths of the
+labelled rows; the others calibrate the trees' margins.
 
-Fitting uses a sample of at most about ``fit_rows`` labelled rows, chosen by a hash of the id. Scoring reads every
-text whole, in one pass without a shuffle.
+Words are counted over all labelled rows. Trees and curve are fitted on a sample of at most about ``fit_rows`` of them,
+chosen by a hash of the id. Scoring reads every text whole, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from odolake.llm import common
 from odolake.llm.common import chunks, owners, stored, text_bytes
+from odolake.operators.joining import join_salted
 
 FIT_ROWS = 40_000
 CHANCE = 0.1
-LEXICON_SIZE = 50_000  # entries with the highest ratio; the learned lists are far shorter
+MIN_SHARE = 1e-4  # of the toxic texts, that an entry stands in more of
+HELD = 1_000_000  # counts that a task adds up before it hands them on
 WORD = common.byte_class([(0x00, 0x29), (0x2B, 0x2F), (0x3A, 0x3F), (0x5B, 0x60), (0x7B, 0x7F)])  # letters, digits, @, *
 LETTERS = common.byte_class([(0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 KINDS = (0, 4, 5, 6)  # whole words, then beginnings of so many bytes
@@ -95,35 +97,65 @@ for _sign, _letter in SWAPPED.items():
 _YOU = np.unique(_hashes(pa.array([" ".join(SECOND_PERSON)]))[0][0])
 
 
+def _add_up(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows (hash, bad, every) with one row per hash."""
+    rows = np.concatenate(parts, axis=1)
+    rows = rows[:, np.argsort(rows[0], kind="stable")]
+    first = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])) if rows.shape[1] else np.zeros(0, np.int64)
+    sums = [np.add.reduceat(rows[i], first) if len(first) else rows[i] for i in (1, 2)]
+    return np.stack([rows[0, first], *sums])
+
+
 def _counts(batches):
-    """Distinct (kind, hash) of each chunk with the numbers of toxic and other texts that have it."""
+    """(kind, hash) with the numbers of toxic and other texts that have it, added up until ``HELD`` are at hand."""
+    held: dict[int, list[np.ndarray]] = {kind: [] for kind in KINDS}
+
+    def handed():
+        for kind, parts in held.items():
+            if parts:
+                found = _add_up(parts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(found.shape[1], kind, np.int32)), *[pa.array(row) for row in found]],
+                    ["kind", "hash", "bad", "every"],
+                )
+                parts.clear()
+
     for part in chunks(batches):
         hashes, bounds, _ = _hashes(part.column("text"))
         owner = owners(bounds)
-        toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+        toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
         for kind, value in zip(KINDS, hashes):
-            pair = np.unique(np.stack([value, owner.astype(np.uint64)]), axis=1)
-            value, text = pair[0], pair[1].astype(np.int64)
-            keep = value != 0
-            found, inverse = np.unique(value[keep], return_inverse=True)
-            bad = np.bincount(inverse, weights=toxic[text[keep]], minlength=len(found)).astype(np.int64)
-            every = np.bincount(inverse, minlength=len(found)).astype(np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "kind": pa.array(np.full(len(found), kind, np.int32)),
-                    "hash": pa.array(found.view(np.int64)),
-                    "bad": pa.array(bad),
-                    "every": pa.array(every),
-                }
-            )
-
-
-def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> dict[int, np.ndarray]:
-    """Hashes by kind that are tied to toxic texts, from rows (text, toxic)."""
-    totals = sample.agg(F.sum("toxic"), F.count("*")).first()
+            # Stable, so that the texts of a hash ascend and a text that has it several times is seen once.
+            order = np.argsort(value, kind="stable")
+            value, text = value[order], owner[order]
+            new = np.ones(len(value), bool)
+            new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
+            new &= value != 0
+            bad = toxic[text[new]]
+            held[kind].append(_add_up([np.stack([value[new].view(np.int64), bad, np.ones(len(bad), np.int64)])]))
+        if sum(x.shape[1] for parts in held.values() for x in parts) > HELD:
+            for kind, parts in held.items():
+                held[kind] = [_add_up(parts)]
+            if sum(x.shape[1] for parts in held.values() for x in parts) > HELD / 2:
+                yield from handed()
+    yield from handed()
+
+
+def word_counts(labelled: DataFrame) -> DataFrame:
+    """(kind, hash, bad, every): in how many texts of ``labelled`` (text, toxic) an entry stands, and in how many toxic ones."""
+    found = labelled.select("text", "toxic").mapInArrow(_counts, "kind int, hash long, bad long, every long")
+    return found.groupBy("kind", "hash").agg(F.sum("bad").alias("bad"), F.sum("every").alias("every"))
+
+
+def learn_lexicon(labelled: DataFrame) -> dict[int, np.ndarray]:
+    """Hashes by kind that are tied to toxic texts, from the counts of all rows (text, toxic).
+
+    An entry stands in more than ``MIN_SHARE`` of the toxic texts. So there are at most ``1 / MIN_SHARE`` times as many as a
+    toxic text has distinct entries on average, whatever the number of texts, and they fit the driver.
+    """
+    totals = labelled.agg(F.sum("toxic"), F.count("*")).first()
     bad, every = float(totals[0] or 0), float(totals[1] or 0)
-    counts = sample.select("text", "toxic").mapInArrow(_counts, "kind int, hash long, bad long, every long")
-    counts = stored(counts.groupBy("kind", "hash").agg(F.sum("bad").alias("bad"), F.sum("every").alias("every")), "counts")
+    counts = stored(word_counts(labelled), "counts")
     alike = counts.groupBy("kind", "every").agg(F.count("*").alias("alike"))
 
     def term(seen, total) -> F.Column:
@@ -133,14 +165,11 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> dict[int, np.n
     ratio = 2 * (
         term(F.col("bad"), F.col("every") * rate) + term(F.col("every") - F.col("bad"), F.col("every") * (1 - rate))
     )
-    # Chance reaches a ratio of x with a probability of about exp(-x / 2), so this many entries are chance at most.
-    chosen = (
-        counts.join(alike, ["kind", "every"])
-        .where((F.col("bad") > F.col("every") * max(0.5, rate)) & (F.exp(-ratio / 2) * F.col("alike") < CHANCE))
-        .orderBy(ratio.desc(), "kind", "hash")
-        .limit(size)
-        .collect()
-    )
+    # Chance reaches a ratio of x with a probability of about exp(-x / 2), so this many entries are chance at most. One
+    # alone must be unlikely enough already, which leaves few to join with the number of entries in as many texts.
+    chance = F.exp(-ratio / 2)
+    likely = counts.where((F.col("bad") > F.col("every") * max(0.5, rate)) & (F.col("bad") > MIN_SHARE * bad) & (chance < CHANCE))
+    chosen = join_salted(likely, alike, ["kind", "every"]).where(chance * F.col("alike") < CHANCE).select("kind", "hash").collect()
     return {k: np.unique(np.array([r.hash for r in chosen if r.kind == k], np.int64).view(np.uint64)) for k in KINDS}
 
 
@@ -201,6 +230,15 @@ def measure(texts: pa.Array, lexicon: dict[int, np.ndarray]) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) of the documents with a label; of labels that repeat an id the toxic one counts.
+
+    Both sides grow with the corpus and are shuffled once; the hint keeps the plan alike at every size.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return docs.select("doc_id", "text").join(known.hint("merge"), "doc_id")
+
+
 def with_features(docs: DataFrame, lexicon: dict[int, np.ndarray], keep: list[str]) -> DataFrame:
     """(``keep`` columns, array of features) of every row of ``docs``."""
 
@@ -243,21 +281,28 @@ def _margin(trees, df: DataFrame) -> DataFrame:
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, rounds: int = 12, depth: int = 4, seed: int = 7) -> Model:
-    """Fit on rows (doc_id, text, toxic); rows without label are left out. ``fit_rows`` bounds the sample."""
+    """Fit on rows (doc_id, text, toxic); rows without label are left out.
+
+    The rows are written once and read three times. Words are counted over all of them; ``fit_rows`` bounds the sample that
+    trees and curve are fitted on. Without rows of both classes the share of toxic rows is every text's score.
+    """
     known = labelled.where(F.col("toxic").isNotNull()).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    spot = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / 1e6
-    share = min(1.0, fit_rows / max(known.count(), 1))
-    sample = stored(known.withColumn("spot", spot).where(F.col("spot") < share), "sample")
-    counts = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).first()
+    hashed = lambda salt: F.xxhash64(F.lit(seed + salt), "doc_id")
+    known = known.select("*", F.pmod(hashed(1), F.lit(5)).alias("part"), (F.pmod(hashed(0), F.lit(1_000_000)) / 1e6).alias("spot"))
+    known = stored(known, "labelled")
+    counts = known.agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).first()
     n, bad = counts.n, counts.bad or 0
     if bad in (0, n):
         return Model({}, None, None, bad / n if n else 0.0)
-    lexicon = learn_lexicon(sample)
-    rows = with_features(sample, lexicon, ["doc_id", "toxic"])
-    part = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(5))
-    rows = stored(rows.withColumn("part", part), "features").withColumn("label", F.col("toxic").cast("double"))
-    train, rest = rows.where("part > 0"), rows.where("part = 0")
-    if train.select("label").distinct().count() < 2 or rest.select("label").distinct().count() < 2:
+    # The fifth for the curve is unseen by the lexicon and the trees, unless either side lacks a class.
+    kinds = known.groupBy((F.col("part") == 0).alias("apart")).agg(F.countDistinct("toxic").alias("classes")).collect()
+    apart = len(kinds) == 2 and all(r.classes == 2 for r in kinds)
+    lexicon = learn_lexicon(known.where("part > 0") if apart else known)
+    sample = known.where(F.col("spot") < min(1.0, fit_rows / n))
+    rows = stored(with_features(sample, lexicon, ["doc_id", "toxic", "part"]), "features")
+    rows = rows.withColumn("label", F.col("toxic").cast("double"))
+    train, rest = (rows.where("part > 0"), rows.where("part = 0")) if apart else (rows, rows)
+    if train.select("label").distinct().count() < 2 or rest.isEmpty():
         train = rest = rows
     trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32).fit(train)
     curve = IsotonicRegression(featuresCol="margin", labelCol="label").fit(_margin(trees, rest))
