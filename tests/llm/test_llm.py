@@ -354,3 +354,75 @@ def test_pipeline_rejects_toxic(spark, sf_dir):
     clean = labels.where("toxic = 0").select("doc_id")
     assert kept.columns == docs.columns
     assert kept.join(clean, "doc_id", "left_semi").count() >= 0.98 * clean.count()
+
+
+def test_near_duplicates_of_a_crowd_below_the_threshold(spark):
+    """400 texts made from one, many of them just below the least similarity to it and to each other, some in pairs."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    base, rows, own = [word() for _ in range(200)], [], []
+    for i in range(400):
+        if i % 8 == 7:  # close to the text before, wherever that lies
+            own = list(own)
+            own[rnd.randrange(200)] = word()
+        else:
+            own = list(base)
+            for at in rnd.sample(range(200), rnd.choice([1, 2, 3, 5, 6, 7, 8])):
+                own[at] = word()
+        rows.append((i, " ".join(own), "s"))
+    want = brute.near_duplicates(pairs(rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    groups = {}
+    for key, (_, label) in want.items():
+        groups.setdefault(label, []).append(key)
+    assert len(groups) > 30 and max(map(len, groups.values())) > 100
+    links = [(a, b) for some in groups.values() for a, b in zip(some, some[1:])]
+    found = sum(got[a][1] == got[b][1] for a, b in links)
+    assert found >= 0.98 * len(links)
+    assert all(want[key][1] == want[label][1] for key, (_, label) in got.items())  # no link too many
+
+
+def test_toxicity_counts_cover_all_rows(spark, monkeypatch):
+    """Counts per word and beginning equal plain ones, also when tasks hand them on early; the sample does not bound them."""
+    monkeypatch.setattr(toxicity, "HELD", 20)
+    rnd = random.Random(6)
+    words = ["tree", "rivers", "stones", "vilething", "you", "nastyword"]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 9))), int(i % 3 == 0)) for i in range(200)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    hashes = {w: [h[0] for h in toxicity._hashes(pa.array([w]))[0]] for w in words}
+    want = {}
+    for _, text, toxic in rows:
+        for kind_no, kind in enumerate(toxicity.KINDS):
+            for value in {hashes[w][kind_no] for w in text.split()} - {0}:
+                bad, every = want.get((kind, int(value.view("int64"))), (0, 0))
+                want[kind, int(value.view("int64"))] = (bad + toxic, every + 1)
+    got = toxicity.word_counts(train).collect()
+    assert {(r.kind, r.hash): (r.bad, r.every) for r in got} == want
+
+
+def test_toxicity_features_of_plain_texts():
+    lexicon = {kind: toxicity._hashes(pa.array(["vile"]))[0][i] for i, kind in enumerate(toxicity.KINDS) if kind == 0}
+    lexicon |= {kind: lexicon[0][:0] for kind in toxicity.KINDS[1:]}
+    text = "You ARE v1le, vile!! soooo *"
+    (row,) = toxicity.measure(pa.array([text]), lexicon)
+    got = dict(zip(toxicity.FEATURES, row))
+    n = len(text)
+    assert got["lexicon_0"] == 2 / 6 and got["second_person"] == 1 / 6 and got["second_person_near"] == 2 / 6
+    assert got["capitals"] == 4 / n and got["capital_words"] == 2 / n and got["exclamations"] == 2 / n
+    assert got["stars"] == 1 / n and got["swapped"] == 1 / 6 and got["repeated"] == 2 / n
+    assert got["punctuation"] == 4 / n and got["plain_hits"] == pytest.approx(0.6931, abs=1e-4)
+
+
+def test_toxicity_of_odd_tables(spark):
+    rows = [(i, ("vilething you " if i % 4 == 0 else "green tree ") * 3, i % 4 == 0) for i in range(80)]
+    docs = frame(spark, [(i, t, "s") for i, t, _ in rows] + [(200, None, "s"), (201, "", None), (202, "tree " * 60_000, "s"), (None, "tree", "s")] * 2)
+    labels = spark.createDataFrame([(i, int(bad)) for i, _, bad in rows] * 2 + [(None, 1), (3, None), (999, 1)], "doc_id long, toxic int")
+    train = toxicity.labelled_texts(docs, labels)
+    assert train.count() == 80
+    scores = toxicity.fit(train, rounds=3).score(docs).select("row.doc_id", "row.row", "score").collect()
+    assert len(scores) == docs.count() and {r.row for r in scores} == {"x"}
+    assert all((r.score >= 0.5) == (r.doc_id is not None and r.doc_id < 80 and r.doc_id % 4 == 0) for r in scores)
+    none = labels.where("false")
+    model = toxicity.fit(toxicity.labelled_texts(docs, none))
+    assert model.trees is None and {r.score for r in model.score(docs).collect()} == {0.0}
+    assert toxicity.fit(train, rounds=3).score(docs.where("false")).isEmpty()
