@@ -13,7 +13,7 @@ from odolake.llm.decontaminate import decontaminate
 from odolake.llm.line_dedup import dedup_lines
 from odolake.llm.mixing import mix
 from odolake.llm.near_dedup import near_duplicates
-from odolake.llm.toxicity import fit
+from odolake.llm.toxicity import fit, labelled_texts
 
 REJECT_AT = 0.5
 NEAR_PERCENT = 80  # least Jaccard similarity of near-duplicates; the 85 of op9 is that query's own
@@ -25,8 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without text stay, as they score like any text without a word. Without labels of both kinds all stay.
     """
     labels = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0)
-    train = docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
-    model = fit(train)
+    model = fit(labelled_texts(docs, labels))
     if model.trees is None:
         return docs
     return model.score(docs).where(F.col("score") < REJECT_AT).select("row.*")
