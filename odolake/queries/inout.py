@@ -227,7 +227,10 @@ def gpx_quarantine(spark, sf_dir):
 
 
 def incremental_ingest(spark, sf_dir):
-    """Two file drops and three runs: every file is taken once and archived, the third run adds nothing."""
+    """Two file drops and three runs: every file is taken once, the third run adds nothing.
+
+    A drop moves to the archive when the next one is taken, so a last one without rows brings both there.
+    """
     landing, target = shared_dir(spark, "landing"), shared_dir(spark, "ingested")
     archive, progress = shared_dir(spark, "archive"), shared_dir(spark, "progress")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
@@ -241,6 +244,8 @@ def incremental_ingest(spark, sf_dir):
     writers.append(events.where(F.col("event_type") == "click"), landing)
     run()
     run()
+    writers.append(events.where("false"), landing)
+    run()
     moved = spark.read.schema("event_id BIGINT").option("recursiveFileLookup", True).parquet(archive)
     moved = moved.select("event_id", F.lit(True).alias("archived"))
     found = ingest.read_batches(spark, target, events.schema).join(moved, "event_id", "left")
