@@ -24,17 +24,23 @@ OVERSAMPLING = 2
 MAX_ITER = 300
 
 
-def _squared(at: list[Column], spot: list[float]) -> Column:
+def _apart(at: list[Column], spot: Column) -> Column:
+    """Squared distance of the coordinates to a spot, an array of as many."""
     total = None
-    for value, centre in zip(at, spot):
-        gap = (value - F.lit(centre)).cast("double")
+    for i, value in enumerate(at):
+        gap = (value - spot[i]).cast("double")
         total = gap * gap if total is None else total + gap * gap
     return total
 
 
+def _spots(spots: list[list[float]]) -> Column:
+    """The spots as one array: as separate numbers they would make Spark compile every step anew."""
+    return F.array(*[F.array(*[F.lit(float(v)) for v in spot]) for spot in spots])
+
+
 def _nearest(at: list[Column], spots: list[list[float]]) -> Column:
     """(d, label) of the nearest spot; ties go to the lower label."""
-    return F.array_min(F.array(*[F.struct(_squared(at, s).alias("d"), F.lit(i).alias("label")) for i, s in enumerate(spots)]))
+    return F.array_min(F.transform(_spots(spots), lambda s, i: F.struct(_apart(at, s).alias("d"), i.alias("label"))))
 
 
 @dataclass(frozen=True)
@@ -83,13 +89,12 @@ class KMeansFit:
         at = self.grid()
         names = [f"_g{i}" for i in range(len(at))]
         rows = self.transform(df, "cluster").select("cluster", *[g.alias(n) for g, n in zip(at, names)])
-        spots = F.array(*[F.array(*[F.lit(v) for v in spot]) for spot in self.centroids])
-        apart = lambda spot: sum(((F.col(n) - spot[i]) * (F.col(n) - spot[i]) for i, n in enumerate(names)), F.lit(0.0))
+        spots, here = _spots(self.centroids), [F.col(n) for n in names]
         own = F.get(spots, F.col("cluster"))
-        least = F.array_min(F.transform(spots, apart))
+        least = F.array_min(F.transform(spots, lambda s: _apart(here, s)))
         stats = rows.groupBy("cluster").agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum((apart(own) <= least).cast("bigint")).alias("n_nearest"),
+            F.sum((_apart(here, own) <= least).cast("bigint")).alias("n_nearest"),
             *[F.sum(n).alias(n) for n in names],
         )
         is_mean = F.lit(True)
@@ -152,12 +157,13 @@ def fit_kmeans(df: DataFrame, features: list[str], k: int = 3, seed: int = 0, ma
     centroids = [[float(v) for v in spot] for spot in _seeds(points, at, k, seed)]
     converged = False
     for step in range(1, max_iter + 1):
-        sums = points.groupBy(_nearest(at, centroids)["label"].alias("label")).agg(
-            F.sum("n").alias("n"), *[F.sum(F.col(n) * F.col("n")).alias(n) for n in names]
-        )
-        moved = [list(c) for c in centroids]  # a centroid without rows stays
-        for r in sums.collect():
-            moved[r.label] = [float(r[n]) / float(r["n"]) for n in names]
+        labelled = points.select("n", *names, _nearest(at, centroids)["label"].alias("label"))
+        mine = lambda value, i: F.sum(F.when(F.col("label") == i, value))
+        sums = labelled.agg(
+            *[F.array(mine(F.col("n"), i), *[mine(F.col(g) * F.col("n"), i) for g in names]) for i in range(len(centroids))]
+        ).first()
+        # A centroid without rows stays.
+        moved = [[float(v) / float(n) for v in total] if n else old for (n, *total), old in zip(sums, centroids)]
         converged, centroids = moved == centroids, moved
         if converged:
             break
