@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from odolake.llm.common import stored
+from odolake.operators.joining import join_salted
 
 MIN_DOCS = 3
 SCALE = 1_000_000_000
@@ -179,10 +180,11 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     terms = stored(kept_terms(docs, min_docs), "terms")
     groups = stored(_groups(docs, terms), "groups")
     whole = terms.groupBy("lang").agg(F.sum("total").alias("all_size"))
-    own = terms.select("lang", "term", "total", F.inline("counts")).join(groups, ["lang", "source"])
+    # A hot source has most of the rows of its language, so rows are dealt by a salt too.
+    own = join_salted(terms.select("lang", "term", "total", F.inline("counts")), groups, ["lang", "source"])
     own = own.withColumn("p", share("count", "size", "vocab"))
 
-    lead = own.join(whole, "lang").withColumn("q", share("total", "all_size", "vocab")).where("p > q")
+    lead = join_salted(own, whole, "lang").withColumn("q", share("total", "all_size", "vocab")).where("p > q")
     lead = lead.select("lang", "source", F.col("term").alias("item"), F.expr(excess("p", "q")).alias("value"))
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     lead = lead.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
