@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from odolake.llm.common import stored
+from odolake.llm.marks import marked, marks, with_mark
 from odolake.operators.ordering import with_position
 
 MIN_WORDS = 8
@@ -84,12 +85,10 @@ def _once(value: Column, use) -> Column:
 
 
 def _variants(texts: DataFrame) -> DataFrame:
-    """Keys of every line: without each word for lines as long, and in both roles for lines one word longer."""
-    here = F.transform("words", lambda w, i: F.xxhash64(w, i + 1))
-    shifted = F.transform("words", lambda w, i: F.xxhash64(w, i))
-    summed = texts.select("spot", "n", _running_xor(here).alias("left"), _running_xor(shifted).alias("right"))
-    summed = stored(summed, "running")  # else every variant would compute the running values anew
+    """Keys of every line: without each word for lines as long, and in both roles for lines one word longer.
 
+    ``texts`` has the running XORs of the words' hashes as left (by place) and right (by the place before).
+    """
     def without(i: Column) -> Column:
         before = F.when(i > 0, F.get("left", i - 1)).otherwise(F.lit(0).cast("bigint"))
         return before.bitwiseXOR(F.element_at("right", -1)).bitwiseXOR(F.get("right", i))
@@ -103,7 +102,14 @@ def _variants(texts: DataFrame) -> DataFrame:
     longer = F.transform(places, lambda i: entry(F.xxhash64(F.lit(SHORT), F.col("n") - 1, without(i)), LONG, i))
     itself = entry(F.xxhash64(F.lit(SHORT), F.col("n"), F.element_at("left", -1)), SHORT, F.lit(-1))
     keys = F.concat(as_long, longer, F.array(itself))
-    return summed.select(F.inline(keys))
+    return texts.select(F.inline(keys))
+
+
+def _summed(words: Column) -> list[Column]:
+    """Running XORs of (word, place) hashes, and of the hashes with each word one place earlier."""
+    here = F.transform(words, lambda w, i: F.xxhash64(w, i + 1))
+    shifted = F.transform(words, lambda w, i: F.xxhash64(w, i))
+    return [_running_xor(here).alias("left"), _running_xor(shifted).alias("right")]
 
 
 def _without(words: str, place: str) -> Column:
@@ -114,6 +120,9 @@ def _without(words: str, place: str) -> Column:
 def _near_lines(texts: DataFrame) -> DataFrame:
     """(h1, h2) of the lines with an earlier line at word distance 1; a word-by-word check confirms each."""
     variants = _variants(texts)
+    # Most keys have one line, so keys are counted alone first, and only what may have company is dealt with its roles.
+    shared = variants.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    variants = stored(marked(variants, F.col("key"), marks(shared.select(F.col("key").alias("h")))), "variants")
     spot = F.col("at")
     earliest = variants.groupBy("key").agg(
         F.count(F.lit(1)).alias("k"),
@@ -163,12 +172,15 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     first = stored(first, "first")
 
-    halves = first.select("h1", "h2", F.explode("keys").alias("half"))
+    halves = first.select("h1", F.explode("keys").alias("half"))
     several = halves.groupBy("half").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("half")
-    maybe = halves.join(several, "half", "left_semi").select("h1", "h2").distinct()
-    wanted = first.join(maybe, ["h1", "h2"]).groupBy(F.col("at.doc_id").alias("w_id"), F.col("at.th").alias("w_th"))
-    wanted = wanted.agg(F.collect_list(F.struct("h1", "h2", "at", "n")).alias("some"))  # lines of one document
+    several = stored(several, "several")
+    maybe = marked(halves, F.col("half"), marks(several.select(F.col("half").alias("h"))))
+    maybe = maybe.join(several, "half", "left_semi").select("h1").distinct()
+    wanted = first.join(maybe, "h1").groupBy(F.col("at.doc_id").alias("w_id"), F.col("at.th").alias("w_th"))
+    wanted = stored(wanted.agg(F.collect_list(F.struct("h1", "h2", "at", "n")).alias("some")), "wanted")  # lines of one document
     sources = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    sources = marked(sources, F.xxhash64("doc_id", "th"), marks(wanted.select(F.xxhash64("w_id", "w_th").alias("h"))))
     sources = sources.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("th") == F.col("w_th")))
     cut = sources.select("some", F.split("text", "\n", -1).alias("lines"))
     texts = cut.select(
@@ -181,11 +193,12 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     texts = texts.dropDuplicates(["h1", "h2"])  # rows that repeat
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = with_position(texts.repartition(spread, "h1"), ["at"], "spot")
-    near = _near_lines(stored(texts.select("spot", "h1", "h2", "n", "words"), "texts")).withColumn("near", F.lit(True))
+    texts = stored(texts.select("spot", "h1", "h2", "n", "words", *_summed(F.col("words"))), "texts")
+    near = _near_lines(texts).withColumn("near", F.lit(True))
 
-    marked = lines.join(first.select("h1", "h2", "at"), ["h1", "h2"]).join(near, ["h1", "h2"], "left")
+    judged = lines.join(first.select("h1", "h2", "at"), ["h1", "h2"]).join(near, ["h1", "h2"], "left")
     exact = spot > F.col("at")
-    return marked.where(exact | F.col("near")).select("doc_id", "th", "line_no", exact.alias("exact"))
+    return judged.where(exact | F.col("near")).select("doc_id", "th", "line_no", exact.alias("exact"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -198,10 +211,14 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     come last in order. All other columns come through, whatever their names; an older ``line_dedup`` is replaced.
     """
     gone = line_decisions(docs, min_words).distinct().groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"))
-    gone = gone.agg(F.collect_list("line_no").alias("gone"), F.count_if("exact").alias("n_exact"))
+    gone = stored(gone.agg(F.collect_list("line_no").alias("gone"), F.count_if("exact").alias("n_exact")), "gone")
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
     key = F.xxhash64("_row.text")
-    rows = rows.join(gone, F.col("_row.doc_id").eqNullSafe(F.col("g_id")) & (key == F.col("g_th")), "left")
+    # Documents that lose no line are not shuffled.
+    pages = marks(gone.select(F.xxhash64("g_id", "g_th").alias("h")))
+    rows = with_mark(rows, F.xxhash64(F.col("_row.doc_id"), key), pages, "_cut")
+    cut = rows.where("_cut").join(gone, F.col("_row.doc_id").eqNullSafe(F.col("g_id")) & (key == F.col("g_th")), "left")
+    rows = cut.unionByName(rows.where("NOT _cut"), allowMissingColumns=True)
     lines = F.split("_row.text", "\n", -1)
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(
