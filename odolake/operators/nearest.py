@@ -1,11 +1,12 @@
-"""Exact nearest place on the sphere for each point, by descending a tree of cubes.
+"""Exact nearest place on the sphere for each point, by descending a tree packed along a space-filling curve.
 
 Coordinates become unit vectors, so the straight-line distance orders places as the great-circle distance does, with
-no seam at 180 degrees and none at the poles. Places are grouped into cubes, and a cube with more than ``LEAF_SPOTS``
-distinct spots is cut into cubes an eighth as wide, until few are left in each. Every cube keeps the bounding box of
-its places. A point starts with the widest cubes and keeps at each level only those that can still hold its nearest
-place: the least possible distance to their box is not above the greatest possible distance to the best box. So a
-point meets only the few spots of the leaf cubes that are left. All joins are on the cube key.
+no seam at 180 degrees and none at the poles. Places are put in the order of a curve that winds through the cube around
+the sphere and packed into leaves of ``LEAF_SPOTS``, leaves into nodes of ``FANOUT``, and so on, until at most ``FANOUT``
+nodes are left. So every leaf is full wherever the places lie, and the tree is as deep as their number asks for. A node
+keeps the bounding box of its places and one of them. A point starts with the top nodes, all at once, and keeps those
+that can still hold its nearest place: the least possible distance to their box is not above the distance to the nearest
+kept place. Below, it meets the children of the nodes that are left, by a join on the node; up to 2,048 places need none.
 """
 
 from __future__ import annotations
@@ -13,15 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from odolake.functions.distance import haversine_km
+from odolake.operators.joining import join_salted
+from odolake.operators.ordering import with_position
 from odolake.session import checkpoint
 
-WIDEST = 0.5  # of the unit sphere: at most 5 * 5 * 5 cubes, whatever the number of places
-BITS = 3  # each level is 2 ** BITS times as narrow as the one before
-DEEPEST = 9  # cubes of about two centimetres on Earth, below which nothing is cut
 LEAF_SPOTS = 32
+FANOUT = 64
 AXES = ("x", "y", "z")
-CUBE = ["lvl", "cx", "cy", "cz"]
-BOX = [f"{end}{axis}" for axis in AXES for end in ("low_", "high_")]
+_STEPS = 1 << 20  # of the curve along each axis, about 12 metres on Earth
 
 
 def _vector(lat: Column, lon: Column) -> dict[str, Column]:
@@ -35,52 +35,49 @@ def _with_vector(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return placed.where(~F.isnan(F.col("x") + F.col("y") + F.col("z")))
 
 
-def _cubes(spots: DataFrame, deepest: int) -> DataFrame:
-    """Every spot once per level, with the cube that holds it there."""
+def _spread(value: Column) -> Column:
+    """The low 21 bits of a whole number, each followed by two zero bits."""
+    for shift, mask in ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249)):
+        value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask))
+    return value
 
-    def cube(level: int) -> Column:
-        size = WIDEST / 2 ** (BITS * level)  # powers of two, so cubes nest exactly
-        at = [F.floor(F.col(axis) / F.lit(size)).alias(f"c{axis}") for axis in AXES]
-        return F.struct(F.lit(level).alias("lvl"), *at)
 
-    return spots.select("*", F.inline(F.array(*[cube(level) for level in range(deepest + 1)])))
+def _curve() -> Column:
+    """Place on the curve: the bits of the three coordinates in turn."""
+    at = [F.least(F.floor((F.col(axis) + 1) / 2 * _STEPS), F.lit(_STEPS - 1)).cast("bigint") for axis in AXES]
+    x, y, z = (_spread(a) for a in at)
+    return x.bitwiseOR(F.shiftleft(y, 1)).bitwiseOR(F.shiftleft(z, 2))
 
 
-def _tree(spots: DataFrame, leaf_spots: int) -> tuple[DataFrame, int]:
-    """Every spot at the levels down to its leaf (``home``), and the deepest level in use."""
-    laid = _cubes(spots, DEEPEST)
-    crowded = laid.groupBy(*CUBE).count().where(F.col("count") > leaf_spots)
-    last = crowded.agg(F.max("lvl")).first()[0]
-    depth = 0 if last is None else min(last + 1, DEEPEST)
-    laid = _cubes(spots, depth)
-    small = laid.groupBy(*CUBE).count().where((F.col("count") <= leaf_spots) | (F.col("lvl") == depth))
-    homes = laid.join(small.drop("count"), CUBE).groupBy("_plat", "_plon").agg(F.min("lvl").alias("home"))
-    return checkpoint(laid.join(homes, ["_plat", "_plon"]).where(F.col("lvl") <= F.col("home"))), depth
+def _tree(spots: DataFrame) -> DataFrame:
+    """The spots with their number along the curve, from 0."""
+    ordered = with_position(spots.withColumn("_curve", _curve()), ["_curve", "_plat", "_plon"], "_no")
+    return checkpoint(ordered.select(*AXES, "_plat", "_plon", "_key", (F.col("_no") - 1).alias("_no")))
 
 
-def _boxes(tree: DataFrame, level: int, *by: Column) -> DataFrame:
-    """Bounding box of the places of each cube of a level."""
+def _nodes(tree: DataFrame, width: int, *by: Column) -> DataFrame:
+    """Box and one spot of every ``width`` spots that follow along the curve."""
     ends = [f(axis).alias(f"{end}{axis}") for axis in AXES for end, f in (("low_", F.min), ("high_", F.max))]
-    return tree.where(F.col("lvl") == level).groupBy(*by, *CUBE).agg(*ends)
+    own = [F.min_by(axis, "_no").alias(f"own_{axis}") for axis in AXES]
+    return tree.groupBy(*by, F.expr(f"_no div {width}").alias("node")).agg(*ends, *own)
 
 
-def _families(tree: DataFrame, level: int) -> DataFrame:
-    """Per cube of the level above the array of its cubes with their boxes, at most ``8 ** BITS``."""
-    parent = [F.floor(F.col(f"c{axis}") / 2**BITS).alias(f"p{axis}") for axis in AXES]
-    boxes = _boxes(tree, level, *parent).groupBy("px", "py", "pz").agg(F.collect_list(F.struct(*CUBE, *BOX)).alias("_inner"))
-    above = [F.lit(level - 1).alias("lvl"), *[F.col(f"p{axis}").alias(f"c{axis}") for axis in AXES]]
-    return boxes.select(*above, "_inner")
+def _family(tree: DataFrame, width: int) -> DataFrame:
+    """Per node of the level above the array of its nodes, at most ``FANOUT``."""
+    above = F.expr(f"_no div {width * FANOUT}").alias("above")
+    nodes = _nodes(tree, width, above)
+    inner = F.collect_list(F.struct(*[c for c in nodes.columns if c != "above"])).alias("_inner")
+    return nodes.groupBy(F.col("above").alias("node")).agg(inner)
 
 
 def _measured(box: Column) -> Column:
-    """A cube with the least and the greatest possible squared distance from the point to its places."""
+    """A node with the least possible squared distance from the point to its places, and that to one of them."""
     near = far = F.lit(0.0)
     for axis in AXES:
-        low, high, point = box[f"low_{axis}"], box[f"high_{axis}"], F.col(f"_{axis}")
+        low, high, own, point = box[f"low_{axis}"], box[f"high_{axis}"], box[f"own_{axis}"], F.col(f"_{axis}")
         gap = F.greatest(low - point, point - high, F.lit(0.0))
-        reach = F.greatest(point - low, high - point)
-        near, far = near + gap * gap, far + reach * reach
-    return F.struct(*[box[c].alias(c) for c in CUBE], near.alias("near"), far.alias("far"))
+        near, far = near + gap * gap, far + (own - point) * (own - point)
+    return F.struct(box["node"].alias("node"), near.alias("near"), far.alias("far"))
 
 
 def _within(bound: Column) -> Column:
@@ -88,16 +85,18 @@ def _within(bound: Column) -> Column:
     return bound * F.lit(1 + 1e-9) + F.lit(1e-18)
 
 
-def _keep_best(points: DataFrame) -> DataFrame:
-    """One row per point and cube of ``_inner`` that can hold the nearest place."""
-    own = ["_lat", "_lon", "_x", "_y", "_z"]
-    best_here = F.array_min(F.transform("_inner", lambda c: c["far"]))
-    points = points.withColumn("_bound", F.least("_bound", best_here))
-    cubes = F.filter("_inner", lambda c: c["near"] <= _within(F.col("_bound")))
-    per_point = Window.partitionBy("_lat", "_lon")  # the cubes left of one point
-    opened = points.select(*own, "_bound", F.inline(cubes))
-    opened = opened.withColumn("_bound", F.min("_bound").over(per_point))
-    return opened.where(F.col("near") <= _within(F.col("_bound"))).drop("far")
+def _opened(points: DataFrame) -> DataFrame:
+    """One row per point and node of ``_inner`` that can hold the nearest place, as far as one row of a point tells."""
+    points = points.withColumn("_inner", F.transform("_inner", _measured))
+    points = points.withColumn("_bound", F.least("_bound", F.array_min(F.transform("_inner", lambda c: c["far"]))))
+    nodes = F.filter("_inner", lambda c: c["near"] <= _within(F.col("_bound")))
+    return points.select("_lat", "_lon", "_x", "_y", "_z", "_bound", F.inline(nodes)).drop("far")
+
+
+def _kept(opened: DataFrame) -> DataFrame:
+    """The rows left by the best bound of each point; a window holds the nodes left of one point."""
+    opened = opened.withColumn("_bound", F.min("_bound").over(Window.partitionBy("_lat", "_lon")))
+    return opened.where(F.col("near") <= _within(F.col("_bound")))
 
 
 def nearest_place(
@@ -125,24 +124,24 @@ def nearest_place(
         .groupBy(F.col(plat).alias("_plat"), F.col(plon).alias("_plon"))
         .agg(F.min(key).alias("_key"))
     )
-    tree, depth = _tree(_with_vector(spots, "_plat", "_plon"), leaf_spots)
-
-    # The widest cubes are at most 125, so all go to every point.
-    widest = _boxes(tree, 0).agg(F.collect_list(F.struct(*CUBE, *BOX)).alias("_inner"))
-    found = wanted.withColumns({"_bound": F.lit(float("inf")), "_inner": widest.scalar()})
-    found = _keep_best(found.withColumn("_inner", F.transform("_inner", _measured)))
-    for level in range(1, depth + 1):
-        joined = found.join(_families(tree, level), CUBE, "left")
-        leaf = F.array(F.struct(*CUBE, "near", F.lit(float("inf")).alias("far")))  # nothing below: stays as it is
-        inner = F.when(F.col("_inner").isNull(), leaf).otherwise(F.transform("_inner", _measured))
-        found = _keep_best(joined.withColumn("_inner", inner).drop(*CUBE, "near"))
-
-    leaves = tree.where(F.col("lvl") == F.col("home")).select(*CUBE, "_plat", "_plon", "_key")
+    tree = _tree(_with_vector(spots, "_plat", "_plon"))
+    widths, count = [leaf_spots], tree.count()
+    while count > widths[-1] * FANOUT:
+        widths.append(widths[-1] * FANOUT)
+
+    # At most FANOUT nodes at the top, so all of them go to every point.
+    nodes = _nodes(tree, widths[-1])
+    top = nodes.agg(F.collect_list(F.struct(*nodes.columns)).alias("_inner"))
+    found = _opened(wanted.withColumns({"_bound": F.lit(float("inf")), "_inner": top.scalar()}))
+    for width in reversed(widths[:-1]):
+        found = _kept(_opened(found.join(_family(tree, width), "node").drop("near", "node")))
+
+    leaves = tree.select(F.expr(f"_no div {leaf_spots}").alias("node"), "_plat", "_plon", "_key")
     apart = haversine_km(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
     best = (
-        found.join(leaves, CUBE)
-        .groupBy("_lat", "_lon")
+        found.join(leaves, "node")
+        .groupBy(F.col("_lat").alias(lat), F.col("_lon").alias(lon))
         .agg(F.min_by("_key", F.struct(apart, "_key")).alias(key))
     )
-    same = (points[lat] == best["_lat"]) & (points[lon] == best["_lon"])
-    return points.join(best, same, "left").drop("_lat", "_lon")
+    # Many points may share one coordinate.
+    return join_salted(points, best, [lat, lon], "left")

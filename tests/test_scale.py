@@ -156,10 +156,20 @@ def test_points_of_a_dense_cell_meet_few_places(spark):
     found = nearest_keys(spark, points, places)
     assert {name: found[name] for name, _, _ in points[:200]} == brute(points[:200], places)
     spots = spark.createDataFrame(places, "_key int, _plat double, _plon double")
-    tree, depth = nearest._tree(nearest._with_vector(spots, "_plat", "_plon"), nearest.LEAF_SPOTS)
-    leaves = tree.where("lvl = home").groupBy(*nearest.CUBE).count()
-    most, total = leaves.agg(F.max("count"), F.sum("count")).first()
-    assert depth < nearest.DEEPEST and most <= nearest.LEAF_SPOTS and total == len(places)
+    tree = nearest._tree(nearest._with_vector(spots, "_plat", "_plon"))
+    leaves = nearest._nodes(tree, nearest.LEAF_SPOTS)
+    assert leaves.count() == 4000 // nearest.LEAF_SPOTS and tree.select("_no").distinct().count() == 4000
+    wide = F.greatest(*[F.col(f"high_{axis}") - F.col(f"low_{axis}") for axis in nearest.AXES])
+    whole = tree.agg(F.max("x") - F.min("x")).first()[0]
+    assert leaves.agg(F.percentile_approx(wide, 0.5)).first()[0] < whole / 2  # neighbours lie in one leaf
+
+
+def test_deep_trees_descend_level_by_level(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "FANOUT", 3)
+    rng = random.Random(10)
+    places = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(200)] + [(300 + i, 5.0, i / 1000) for i in range(100)]
+    points = [(f"p{i}", rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(60)] + [(f"q{i}", 5.0, i / 999) for i in range(60)]
+    assert nearest_keys(spark, points, places, leaf_spots=2) == brute(points, places)
 
 
 def test_top_per_group_limits_before_the_shuffle(spark):
