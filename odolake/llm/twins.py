@@ -131,4 +131,74 @@ ranked AS (
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
-ORACLES = {"op11_shards": SHARDS, "op12_merkle_manifest": MANIFEST, "op13_source_divergence": DIVERGENCE}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+CONTAMINATION = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS run
+    FROM (SELECT *, least(len(words), 10) AS n FROM items WHERE len(words) > 0), unnest(range(1, len(words) - n + 2)) AS t(i)
+),
+docs AS (SELECT row_number() OVER () AS no, doc_id, {_WORDS} AS words FROM documents),
+runs AS (
+    SELECT no, i, n, array_to_string(words[i:i + n - 1], ' ') AS run
+    FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(words) - n + 2)) AS t(i)
+),
+hits AS (SELECT no, i, n, item_id FROM runs JOIN windows USING (n, run)),
+hit_words AS (SELECT no, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY no),
+hit_items AS (
+    SELECT no, count(*) AS n_items, string_agg(item_id, ',' ORDER BY encode(item_id)) AS ids
+    FROM (SELECT DISTINCT no, item_id::VARCHAR AS item_id FROM hits) GROUP BY no
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (no) LEFT JOIN hit_items USING (no)
+"""
+
+#: Ids are taken to be distinct and not null.
+LINES = r"""
+WITH lines AS (
+    SELECT doc_id, no, line, list_filter(regexp_split_to_array(lower(line), '[ \t\x0B\f\r]+'), lambda w: w <> '') AS words
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
+          FROM documents)
+),
+named AS (SELECT *, array_to_string(words, ' ') AS name FROM lines),
+firsts AS (
+    SELECT name, any_value(words) AS words, len(any_value(words)) AS n, min({'d': doc_id, 'no': no}) AS at,
+           row_number() OVER (ORDER BY min({'d': doc_id, 'no': no})) AS spot
+    FROM named WHERE len(words) > 0 GROUP BY name
+),
+long_lines AS (SELECT * FROM firsts WHERE n >= 8),
+cuts AS (
+    SELECT spot, n, i, array_to_string(list_concat(words[:i - 1], words[i + 1:]), ' ') AS rest
+    FROM long_lines, unnest(range(1, n + 1)) AS t(i)
+),
+near AS (
+    SELECT spot FROM (SELECT spot, min(spot) OVER (PARTITION BY n, i, rest) AS low FROM cuts) WHERE low < spot
+    UNION SELECT l.spot FROM long_lines l JOIN cuts c ON c.rest = l.name WHERE c.spot < l.spot
+    UNION SELECT c.spot FROM cuts c JOIN long_lines l ON l.name = c.rest WHERE l.spot < c.spot
+),
+judged AS (
+    SELECT m.doc_id, m.no, m.line, coalesce(f.at <> {'d': m.doc_id, 'no': m.no}, false) AS is_exact,
+           coalesce(f.spot IN (SELECT spot FROM near), false) AS is_near
+    FROM named m LEFT JOIN firsts f USING (name)
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE is_exact) AS n_exact,
+           count(*) FILTER (WHERE is_near AND NOT is_exact) AS n_near,
+           string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT is_exact AND NOT is_near) AS text
+    FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {
+    "op3_decontaminate": CONTAMINATION,
+    "op5_dedup_lines": LINES,
+    "op11_shards": SHARDS,
+    "op12_merkle_manifest": MANIFEST,
+    "op13_source_divergence": DIVERGENCE,
+}

@@ -37,7 +37,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def near_duplicates(docs):
+def near_duplicates(docs, percent=85):
     """[(id, text)] -> {id: (n_shingles, component_id)}"""
     sets = {key: shingles(text) for key, text in docs}
     parent = {key: key for key in sets}
@@ -59,7 +59,7 @@ def near_duplicates(docs):
                 if b > a:
                     common[b] = common.get(b, 0) + 1
         for b, n in common.items():
-            if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {k: (len(sets[k]), root(k)) for k in sets}

@@ -313,7 +313,7 @@ def test_pipeline_stages(spark, sf_dir):
         if name == "line dedup":
             want = {k: v[3] for k, v in brute.dedup_lines(pairs_).items() if v[3].strip()}
         elif name == "near-duplicates":
-            want = {k: dict(pairs_)[k] for k, v in brute.near_duplicates(pairs_).items() if v[1] == k}
+            want = {k: dict(pairs_)[k] for k, v in brute.near_duplicates(pairs_, corpus_pipeline.NEAR_PERCENT).items() if v[1] == k}
         elif name == "decontamination":
             items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
             want = {k: dict(pairs_)[k] for k, v in brute.decontaminate(pairs_, items).items() if not v[1]}
@@ -426,3 +426,29 @@ def test_toxicity_of_odd_tables(spark):
     model = toxicity.fit(toxicity.labelled_texts(docs, none))
     assert model.trees is None and {r.score for r in model.score(docs).collect()} == {0.0}
     assert toxicity.fit(train, rounds=3).score(docs.where("false")).isEmpty()
+
+
+def test_pipeline_of_odd_rows(spark, sf_dir, texts, tmp_path):
+    """Null, empty, repeated and very long texts, rows without id, own columns of clashing names, and empty tables."""
+    columns = "doc_id long, text string, lang string, source string, n_chars long, line_dedup string, size int, taken int, score double"
+    rows = [(i, t, "en", s, len(t or ""), "own", 1, 2, 0.5) for i, t, s in texts]
+    rows += rows[:3] + [(None, "a text without id", None, None, 17, "own", 1, 2, 0.5)] * 2 + [(500, "long words " * 30_000, "en", "s1", 0, "own", 1, 2, 0.5)]
+    folder = str(tmp_path / "odd")
+    spark.createDataFrame(rows, columns).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = corpus_pipeline.run(spark, folder)
+    assert set(docs.columns) | {"source_size", "target"} == set(found.columns)
+    kept = found.collect()
+    ids = [r.doc_id for r in kept if r.doc_id is not None]
+    assert len(ids) == len(set(ids)) and set(ids) <= {r[0] for r in rows}
+    assert {r.line_dedup for r in kept} == {"own"} and {r.score for r in kept} == {0.5}
+    assert all(r.taken > 0 and r["size"] > 0 for r in kept) and 500 in ids
+
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, folder).columns == docs.columns, name
+    none = str(tmp_path / "none")
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").where("false").write.parquet(f"{none}/{name}.parquet")
+    assert corpus_pipeline.run(spark, none).isEmpty()
