@@ -34,12 +34,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier one has; those of which nothing is left go.
 
-    Documents that were blank before stay as they are. ``n_chars`` follows the text.
+    Documents that were blank before stay as they are, also null ones. ``n_chars`` follows the text. Repeated rows keep the
+    same lines, documents without id come last. Columns of any name come through.
     """
-    done = dedup_lines(docs)
+    columns = docs.columns
+    plain = docs.select("doc_id", "text", F.struct(*[c for c in columns if c != "text"]).alias("row"))
+    done = dedup_lines(plain)
     emptied = (F.col("line_dedup.n_exact") + F.col("line_dedup.n_near") > 0) & (F.trim("text") == "")
-    rest = done.where(~F.coalesce(emptied, F.lit(False))).select(*[c for c in docs.columns])
-    return rest.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else rest
+    rest = done.where(~F.coalesce(emptied, F.lit(False)))
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rest.select(*[(changed[c] if c in changed else F.col("row")[c]).alias(c) for c in columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,14 +55,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item. Without items, or without a word, a document stays."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes words of, with size, source_size, target and taken (words, repeats counted).
 
-    Rows with the same id and text are one document, of which ``taken`` is the sum.
+    Rows with the same id and text are one document, of which ``taken`` is the sum. Own columns of these four names are
+    replaced. A document without words is not taken.
     """
     dealt = mix(docs).groupBy(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"))
     dealt = dealt.agg(

@@ -18,9 +18,26 @@ def first_link(fragment: Column) -> Column:
     return F.nullif(F.regexp_extract(fragment, r'<a\s[^>]*?href="([^"]*)"', 1), F.lit(""))
 
 
+def _numeric_references(text: Column) -> Column:
+    """``&#233;`` and ``&#xE9;`` as their character; a number that is no character stays as it is."""
+
+    def decoded(done: Column, digits: Column) -> Column:
+        low = F.lower(digits)
+        code = F.when(low.startswith("x"), F.conv(F.substr(low, F.lit(2)), 16, 10)).otherwise(low).try_cast("bigint")
+        real = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(real, F.replace(done, F.concat(F.lit("&#"), digits, F.lit(";")), sign)).otherwise(done)
+
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), 1))
+    return F.aggregate(found, text, decoded)
+
+
 def inner_text(fragment: Column) -> Column:
+    """Text of a fragment without its tags, with named and numeric references decoded."""
     text = F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
     for entity, sign in ENTITIES.items():
+        if entity == "&amp;":
+            text = _numeric_references(text)
         text = F.replace(text, F.lit(entity), F.lit(sign))
     return F.trim(text)
 

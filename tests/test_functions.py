@@ -204,3 +204,9 @@ def test_exact_mean_has_the_same_bits_for_any_partitioning(spark):
     found = {exact(spark, rng.sample(values, len(values)), parts) for parts in (1, 2, 7)}
     assert len(found) == 1
     assert found.pop().s == pytest.approx(math.fsum(values), rel=1e-15)
+
+
+def test_numeric_references(spark):
+    rows = [("<b>caf&#233; &#xE9;&#x20AC; &#128512;</b> &amp;#233; &#0; &#55296; &#9999999; &#x;",), (None,), ("plain",)]
+    found = values(spark, rows, "t string", markup.inner_text(F.col("t")))
+    assert found == [("café é€ 😀 &#233; &#0; &#55296; &#9999999; &#x;",), (None,), ("plain",)]
