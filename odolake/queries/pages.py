@@ -19,6 +19,14 @@ def html_links(spark, sf_dir):
     return html.link_rows(pages, ["page_id"], _PREFIX, tag="li", pending=pending)
 
 
+def html_pending(spark, sf_dir):
+    """Trace-list rows: entries become table rows, and those whose link starts with a capital get the pending mark."""
+    rows = F.regexp_replace("html", r"<(/?)li(?=[\s>])", "<$1tr")
+    marked = F.regexp_replace(rows, r'(<tr(?:\s[^>]*)?>)(<a href="/[A-Z])', "$1<span class='small text-danger'>pending</span>$2")
+    pages = table(spark, sf_dir, "pages").select("page_id", marked.alias("html"))
+    return html.link_rows(pages, ["page_id"], _PREFIX)
+
+
 def html_title(spark, sf_dir):
     page = F.col("html")
     return table(spark, sf_dir, "pages").select(
@@ -152,6 +160,7 @@ def names_first_seen(spark, sf_dir):
 
 QUERIES = {
     "html_links": html_links,
+    "html_pending": html_pending,
     "html_title": html_title,
     "html_optional_field": html_optional_field,
     "html_field_by_state": html_field_by_state,
@@ -186,6 +195,10 @@ ORACLES = {
         SELECT page_id, CAST(pos AS INTEGER) AS pos, '{_PREFIX}' || href AS url,
                regexp_matches(fragment, 'href="/[A-Z]') AS pending
         FROM h WHERE href <> ''""",
+    "html_pending": f"""SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos,
+               '{_PREFIX}' || unnest(regexp_extract_all(html, '<li(?:\\s[^>]*)?><a href="([^"]*)"', 1)) AS url,
+               unnest(list_transform(l, lambda x: regexp_matches(x, 'href="/[A-Z]'))) AS pending
+        FROM (SELECT page_id, html, {_LI} AS l FROM pages) AS p""",
     "html_title": """SELECT page_id, nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title,
                nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang FROM pages""",
     "html_optional_field": f"""SELECT page_id,

@@ -8,14 +8,19 @@ from odolake.functions import markup
 
 
 def link_rows(
-    pages: DataFrame, keep: list[str], prefix: str, tag: str = "tr", pending: Column | None = None
+    pages: DataFrame,
+    keep: list[str],
+    prefix: str,
+    tag: str = "tr",
+    pending: Column | None = None,
+    pending_class: str = "text-danger",
 ) -> DataFrame:
     """One row per ``<tag>`` element with a link: absolute URL and the pending flag.
 
     ``pending`` is a predicate on the column ``fragment`` (the element's inner HTML); by default
-    an element is pending when it holds a ``<span class="text-danger">``.
+    an element is pending when it holds a ``<span>`` of the class ``pending_class``.
     """
-    flag = pending if pending is not None else markup.has_class(F.col("fragment"), "span", "text-danger")
+    flag = pending if pending is not None else markup.has_class(F.col("fragment"), "span", pending_class)
     return (
         pages.select(*keep, F.posexplode(markup.elements(F.col("html"), tag)).alias("pos", "fragment"))
         .withColumns({"_href": markup.first_link(F.col("fragment")), "pending": flag})
