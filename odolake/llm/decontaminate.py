@@ -6,8 +6,12 @@ shared fingerprint. Fingerprints of documents are looked up among those of the b
 exact runs of ``WINDOW`` words. An item of fewer words is one window of its own length; all grams of that length are
 its fingerprints.
 
-A benchmark of up to ``max_words`` words goes to the tasks whole, since its size is checked first. A larger one is
-joined with the documents' fingerprints by a shuffle, and every document then meets only items it shares one with.
+1. Fingerprints of documents are joined with those of the items; a document without a shared one holds no window.
+2. In the others every run of words as long as a window gets its hash, and these are joined with the items' windows. A
+   window that several items have is one row with their ids, so a common passage makes no product of items and documents.
+3. The words of the joined runs are counted once each, and the ids of their items are put together.
+
+Bitmaps of fixed size (see ``marks``) keep fingerprints, texts and runs without a partner out of the shuffles.
 """
 
 from __future__ import annotations
@@ -17,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from odolake.llm.common import ALNUM, chunks, grams, lists, owners, stored, whole, words
+from odolake.llm.marks import marked, marks, with_mark
+from odolake.operators.joining import join_salted
 
 WINDOW, GRAM = 10, 5
 SPAN = WINDOW - GRAM + 1
-MAX_WORDS = 2_000_000
 
 
 def winnow(hashed: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,61 +43,6 @@ def winnow(hashed: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return least[new], text[new]
 
 
-class Windows:
-    """Exact windows of some items, by length, and the items each belongs to."""
-
-    def __init__(self, ids: list, item_words: list[np.ndarray]):
-        self.ids = ids
-        by_length: dict[int, tuple[list, list]] = {}
-        prints = []
-        for item, hashed in enumerate(item_words):
-            if not len(hashed):
-                continue
-            n = min(WINDOW, len(hashed))
-            found = np.unique(grams(hashed, n))
-            values, at = by_length.setdefault(n, ([], []))
-            values.append(found)
-            at.append(np.full(len(found), item))
-            if n == WINDOW:
-                prints.append(winnow(hashed, np.zeros(len(hashed), np.int64))[0])
-        self.prints = np.unique(np.concatenate(prints)) if prints else np.zeros(0, np.uint64)
-        self.by_length = {}
-        for n, (values, at) in by_length.items():
-            value, item = np.concatenate(values), np.concatenate(at)
-            order = np.argsort(value, kind="stable")
-            self.by_length[n] = (value[order], item[order])
-
-    def find(self, hashed: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[set]]:
-        """Which words are hit, and the items found in each text."""
-        owner = owners(bounds)
-        cover = np.zeros(len(hashed) + 1, np.int64)
-        items: list[set] = [set() for _ in range(len(bounds) - 1)]
-        fingers, text = winnow(hashed, owner)
-        candidate = np.zeros(len(bounds), bool)
-        candidate[text[_member(fingers, self.prints)]] = True
-        for n, (value, item) in self.by_length.items():
-            keep = whole(owner, n)
-            if n == WINDOW:  # only texts with a shared fingerprint can hold a window
-                keep &= candidate[owner[: len(keep)]]
-            start = np.flatnonzero(keep)
-            value_at = grams(hashed, n)[start] if len(start) else np.zeros(0, np.uint64)
-            hit = _member(value_at, value)
-            start, value_at = start[hit], value_at[hit]
-            np.add.at(cover, start, 1)
-            np.add.at(cover, start + n, -1)
-            low, high = np.searchsorted(value, value_at, "left"), np.searchsorted(value, value_at, "right")
-            for word, a, b in zip(start.tolist(), low.tolist(), high.tolist()):
-                items[owner[word]].update(item[a:b].tolist())
-        return np.cumsum(cover[:-1]) > 0, items
-
-
-def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    if not len(among):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
-    return among[at] == values
-
-
 def _item_words(batches):
     for part in chunks(batches):
         yield pa.RecordBatch.from_arrays(
@@ -100,32 +50,33 @@ def _item_words(batches):
         )
 
 
-def _result(part: pa.RecordBatch, n_words: np.ndarray, hit: list[int], found: list[list[str]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            part.column("row"),
-            pa.array(n_words.astype(np.int64)),
-            pa.array(hit, pa.int64()),
-            pa.array(found, pa.list_(pa.string())),
-        ],
-        ["row", "n_words", "n_hit", "items"],
-    )
-
+def _item_prints(batches):
+    """(finger) of the items: winnowed grams, or the one gram of an item shorter than ``WINDOW``."""
+    for batch in batches:
+        for row in batch.column("words").to_pylist():
+            hashed = np.array(row, np.int64).view(np.uint64)
+            long = len(hashed) >= WINDOW
+            found = winnow(hashed, np.zeros(len(hashed), np.int64))[0] if long else grams(hashed, max(len(hashed), 1))
+            yield pa.RecordBatch.from_pydict({"finger": pa.array(np.unique(found).view(np.int64))})
 
-def _with_all(windows: Windows):
-    def scan(batches):
-        for part in chunks(batches):
-            hashed, bounds = words(part.column("text"), ALNUM)
-            covered, items = windows.find(hashed, bounds)
-            hits = np.concatenate([[0], np.cumsum(covered)])
-            found = [sorted({windows.ids[i] for i in some if windows.ids[i] is not None}) for some in items]
-            yield _result(part, np.diff(bounds), np.diff(hits[bounds]).tolist(), found)
 
-    return scan
+def _item_windows(batches):
+    """(id, n, hash) of the windows of the items."""
+    for batch in batches:
+        for name, row in zip(batch.column("id").to_pylist(), batch.column("words").to_pylist()):
+            n = min(WINDOW, len(row))
+            found = np.unique(grams(np.array(row, np.int64).view(np.uint64), n)) if n else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "id": pa.array([name] * len(found), pa.string()),
+                    "n": pa.array([n] * len(found), pa.int32()),
+                    "hash": pa.array(found.view(np.int64)),
+                }
+            )
 
 
-def _fingerprints(lengths: list[int]):
-    """Distinct fingerprints of every text, for items of ``WINDOW`` words and for the shorter lengths."""
+def _prints(lengths: list[int]):
+    """Distinct (name, finger) of every text, for items of ``WINDOW`` words and for the shorter lengths."""
 
     def scan(batches):
         for part in chunks(batches):
@@ -137,74 +88,87 @@ def _fingerprints(lengths: list[int]):
                 keep = whole(owner, n)
                 values.append(grams(hashed, n)[keep])
                 texts.append(owner[: len(keep)][keep])
-            pair = np.unique(np.stack([np.concatenate(texts).astype(np.uint64), np.concatenate(values)]), axis=1)
+            value, text = np.concatenate(values), np.concatenate(texts)
             yield pa.RecordBatch.from_arrays(
-                [part.column("name").take(pa.array(pair[0].astype(np.int64))), pa.array(pair[1].view(np.int64))],
+                [part.column("name").take(pa.array(text.astype(np.int64))), pa.array(value.view(np.int64))],
                 ["name", "finger"],
             )
 
     return scan
 
 
-def _item_fingerprints(batches):
-    for batch in batches:
-        for row in batch.to_pylist():
-            hashed = np.array(row["words"], np.int64).view(np.uint64)
-            if len(hashed) >= WINDOW:
-                found = np.unique(winnow(hashed, np.zeros(len(hashed), np.int64))[0])
-            else:
-                found = grams(hashed, len(hashed)) if len(hashed) else hashed
-            yield pa.RecordBatch.from_pydict(
-                {"item": pa.array([row["item"]] * len(found), pa.int64()), "finger": pa.array(found.view(np.int64))}
-            )
-
+def _runs(lengths: list[int]):
+    """(name, first, n, hash) of every run of words that is as long as a window."""
 
-def _with_own(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            part = batch.slice(i, 1)
+    def scan(batches):
+        for part in chunks(batches):
             hashed, bounds = words(part.column("text"), ALNUM)
-            own = part.column("own")[0].as_py() or []
-            windows = Windows([x["id"] for x in own], [np.array(x["words"], np.int64).view(np.uint64) for x in own])
-            covered, items = windows.find(hashed, bounds)
-            found = sorted({windows.ids[k] for k in items[0] if windows.ids[k] is not None})
-            yield _result(part, np.diff(bounds), [int(covered.sum())], [found])
+            owner = owners(bounds)
+            for n in lengths:
+                start = np.flatnonzero(whole(owner, n))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("name").take(pa.array(owner[start].astype(np.int64))),
+                        pa.array(start - bounds[owner[start]]),
+                        pa.array(np.full(len(start), n, np.int32)),
+                        pa.array(grams(hashed, n)[start].view(np.int64)),
+                    ],
+                    ["name", "first", "n", "hash"],
+                )
+
+    return scan
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
+def _count_words(batches):
+    for part in chunks(batches):
+        _, bounds = words(part.column("text"), ALNUM)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("row"), part.column("name"), pa.array(np.diff(bounds).astype(np.int64))], ["row", "name", "n_words"]
+        )
+
+
+def _hits(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(name, n_hit, items) of the texts (name, text) that hold a window."""
+    item_type = benchmark.schema["item_id"].dataType.simpleString()
+    items = benchmark.select("item_id", "text").mapInArrow(_item_words, f"item_id {item_type}, words array<long>")
+    items = stored(items.select(F.col("item_id").cast("string").alias("id"), "words").where(F.size("words") > 0), "items")
+    windows = items.mapInArrow(_item_windows, "id string, n int, hash long")
+    windows = stored(windows.groupBy("n", "hash").agg(F.collect_set("id").alias("ids")), "windows")
+    prints = stored(items.mapInArrow(_item_prints, "finger long").distinct(), "prints")
+    lengths = sorted(r.n for r in windows.select("n").distinct().collect())  # WINDOW at most
+
+    short = [n for n in lengths if n < WINDOW]
+    found = texts.mapInArrow(_prints(short), "name long, finger long")
+    found = marked(found, F.col("finger"), marks(prints.select(F.col("finger").alias("h"))))
+    near = stored(found.join(prints, "finger", "left_semi").select("name").distinct(), "near")
+
+    near_texts = marked(texts, F.col("name"), marks(near.select(F.col("name").alias("h"))))
+    near_texts = near_texts.join(near, "name", "left_semi").dropDuplicates(["name"])
+    runs = near_texts.mapInArrow(_runs(lengths), "name long, first long, n int, hash long")
+    runs = marked(runs, F.col("hash"), marks(windows.select(F.col("hash").alias("h"))))
+    hits = stored(join_salted(runs, windows, ["n", "hash"]).select("name", "first", "n", "ids"), "hits")
+    covered = hits.select("name", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("word")).distinct()
+    n_hit = covered.groupBy("name").agg(F.count(F.lit(1)).alias("n_hit"))
+    ids = hits.select("name", F.explode("ids").alias("id")).distinct()
+    ids = ids.groupBy("name").agg(F.sort_array(F.collect_list("id")).alias("items"))
+    return n_hit.join(ids, "name", "left")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): row, n_words, n_hit, items.
 
-    ``row`` is a struct of all columns of ``docs``, whatever their names. ``items`` are the ids (as text, sorted, distinct) of the benchmark items with a window in the document, ``n_hit``
-    the words inside any window. Null and empty texts have no words; so have such items, which match nothing. A
-    window of an item without id hits words but adds no id. Rows that repeat are treated each on its own. Other
-    columns of the benchmark are ignored. An empty benchmark hits nothing.
+    ``row`` is a struct of all columns of ``docs``, whatever their names. ``items`` are the ids (as text, sorted, distinct)
+    of the benchmark items with a window in the document, ``n_hit`` the words inside any window. Null and empty texts
+    have no words; so have such items, which match nothing. A window of an item without id hits words but adds no id.
+    Equal texts are looked up once and get equal results. Other columns of the benchmark are ignored. An empty benchmark
+    hits nothing. Very long texts are cut nowhere.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    out = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_hit long, items array<string>"
-    item_type = benchmark.schema["item_id"].dataType.simpleString()
-    items = stored(
-        benchmark.select("item_id", "text")
-        .mapInArrow(_item_words, f"item_id {item_type}, words array<long>")
-        .select(F.col("item_id").cast("string").alias("id"), "words"),
-        "items",
-    )
-    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
-    if total <= max_words:
-        known = items.collect()  # at most ``max_words`` numbers
-        windows = Windows([r.id for r in known], [np.array(r.words, np.int64).view(np.uint64) for r in known])
-        return rows.mapInArrow(_with_all(windows), out)
-
-    numbered = stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
-    lengths = [
-        r.n for r in numbered.select(F.size("words").alias("n")).where(f"n between 1 and {WINDOW - 1}").distinct().collect()
-    ]
-    keyed = rows.withColumn("name", F.xxhash64("text"))
-    fingers = keyed.select("name", "text").mapInArrow(_fingerprints(lengths), "name long, finger long")
-    item_fingers = numbered.select("item", "words").mapInArrow(_item_fingerprints, "item long, finger long")
-    pairs = fingers.join(item_fingers, "finger").select("name", "item").distinct()
-    own = (
-        pairs.join(numbered, "item")
-        .groupBy("name")
-        .agg(F.collect_list(F.struct("id", "words")).alias("own"))  # items one document shares a fingerprint with
-    )
-    return keyed.join(own, "name", "left").select("row", "text", "own").mapInArrow(_with_own, out)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", F.xxhash64("text").alias("name"))
+    hits = stored(_hits(rows.select("name", "text"), benchmark), "found")
+    counted = rows.mapInArrow(_count_words, f"row {rows.schema['row'].dataType.simpleString()}, name long, n_words long")
+    counted = with_mark(counted, F.col("name"), marks(hits.select(F.col("name").alias("h"))), "_near")
+    # Rows without a hit are not shuffled; very many copies of a text are dealt by a salt.
+    near = join_salted(counted.where("_near"), hits, "name", "left")
+    both = near.unionByName(counted.where("NOT _near"), allowMissingColumns=True)
+    none = F.array().cast("array<string>")
+    return both.select("row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"))
