@@ -51,8 +51,9 @@ def _half_keys(words: Column, n: Column) -> Column:
             F.xxhash64(F.lit(2), half, F.slice(words, n - half + 1, half)),
         ]
 
-    own, shorter = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    return F.array_distinct(F.array(*keys(own), *keys(shorter)))
+    half = F.floor(n / 2).cast("int")
+    # The halves of an odd line are as long as those of a line one word shorter.
+    return F.when(n % 2 == 0, F.array(*keys(half), *keys(half - 1))).otherwise(F.array(*keys(half)))
 
 
 def _running_xor(values: Column) -> Column:
@@ -155,20 +156,16 @@ def _near_lines(texts: DataFrame) -> DataFrame:
 def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, line_no, exact) of every line that goes; ``th`` is the hash of the document's text."""
     words = _lines(docs).where(F.col("line").rlike(r"\S")).withColumn("words", _words(F.col("line")))
-    lines = words.select(
-        "doc_id",
-        "th",
-        "line_no",
-        F.xxhash64(F.lit(1), "words").alias("h1"),
-        F.xxhash64(F.lit(2), "words").alias("h2"),
-        F.size("words").alias("n"),
-        F.when(F.size("words") >= min_words, _half_keys(F.col("words"), F.size("words"))).alias("keys"),
-    )
+    n = F.size("words")
+    cut = words.select("doc_id", "th", "line_no", "words", n.alias("n"), F.when(n >= min_words, _half_keys(F.col("words"), n)).alias("keys"))
+    # A second hash of the words: the halves' hashes together where there are any, as they need no further pass.
+    second = F.when(F.col("keys").isNull(), F.xxhash64(F.lit(2), "words")).otherwise(F.xxhash64("n", F.get("keys", 0), F.get("keys", 1)))
+    lines = cut.select("doc_id", "th", "line_no", F.xxhash64(F.lit(1), "words").alias("h1"), second.alias("h2"), "n", "keys")
     lines = stored(lines, "lines")
     # Documents without id come last.
     spot = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th", "line_no")
     first = lines.groupBy("h1", "h2").agg(
-        F.min(spot).alias("at"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys")
+        F.min(spot).alias("at"), F.count(F.lit(1)).alias("k"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys")
     )
     first = stored(first, "first")
 
@@ -194,9 +191,11 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = with_position(texts.repartition(spread, "h1"), ["at"], "spot")
     texts = stored(texts.select("spot", "h1", "h2", "n", "words", *_summed(F.col("words"))), "texts")
-    near = _near_lines(texts).withColumn("near", F.lit(True))
+    near = stored(_near_lines(texts), "near").withColumn("near", F.lit(True))
 
-    judged = lines.join(first.select("h1", "h2", "at"), ["h1", "h2"]).join(near, ["h1", "h2"], "left")
+    # Lines that are there once and near none stay, and need no look at the first one.
+    several = first.where("k > 1").select(F.col("h1").alias("h")).union(near.select("h1"))
+    judged = marked(lines, F.col("h1"), marks(several)).join(first.select("h1", "h2", "at"), ["h1", "h2"]).join(near, ["h1", "h2"], "left")
     exact = spot > F.col("at")
     return judged.where(exact | F.col("near")).select("doc_id", "th", "line_no", exact.alias("exact"))
 
@@ -219,6 +218,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = with_mark(rows, F.xxhash64(F.col("_row.doc_id"), key), pages, "_cut")
     cut = rows.where("_cut").join(gone, F.col("_row.doc_id").eqNullSafe(F.col("g_id")) & (key == F.col("g_th")), "left")
     rows = cut.unionByName(rows.where("NOT _cut"), allowMissingColumns=True)
+    newlines = F.octet_length("_row.text") - F.octet_length(F.replace("_row.text", F.lit("\n"), F.lit("")))
     lines = F.split("_row.text", "\n", -1)
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(
@@ -227,7 +227,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     n_exact = F.coalesce("n_exact", F.lit(0)).cast("long")
     n_gone = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
     counts = F.struct(
-        F.when(F.col("_row.text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"),
         n_exact.alias("n_exact"),
         (n_gone - n_exact).cast("long").alias("n_near"),
     )
