@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from odolake.llm import divergence, merkle, sharding
+from odolake.llm import divergence, marks, merkle, sharding
 from odolake.llm.queries import ORACLES, QUERIES
 from tests.llm import brute
 from tests.test_oracles import duck, plain  # noqa: F401
@@ -135,3 +135,17 @@ def test_same_rows_as_sql(spark, sf_dir, duck, name):  # noqa: F811
     at = [names.index(c) for c in cols]
     assert sorted(names) == cols
     assert ours == sorted(([plain(row[i]) for i in at] for row in cursor.fetchall()), key=str)
+
+
+def test_marks_never_lose_a_partner(spark, monkeypatch):
+    """Every hash of the set is marked, whatever its sign; with few spots others are marked too, with many hardly any."""
+    some = spark.range(-500, 500).select((F.xxhash64("id")).alias("h"))
+    rows = spark.range(-500, 5000).select("id", F.when(F.col("id") < 4900, F.xxhash64("id")).alias("h"))
+    for spots in (marks.SPOTS, 1 << 15):
+        monkeypatch.setattr(marks, "SPOTS", spots)
+        found = marks.with_mark(rows, F.col("h"), marks.marks(some), "seen")
+        assert found.count() == 5500 and found.where("id < 500 AND NOT seen").isEmpty()
+        assert found.where("h IS NULL AND seen").isEmpty()
+        others = found.where("id >= 500 AND seen").count()
+        assert others < 5 if spots == 1 << 26 else others < 400
+    assert marks.marked(rows, F.col("h"), marks.marks(some.where("false"))).isEmpty()
