@@ -8,15 +8,17 @@ differing bits of two sketches estimates how many samples differ, precisely so f
    the most buckets, which in a group of copies is the original or close to it.
 2. Components of the confirmed links are formed. Buckets that still hold several components are looked at again in
    rounds: in each, one node of a component that had no turn yet in the bucket is compared with the members of the
-   others. A round is linear in the members of the buckets. The search ends after ``QUIET`` rounds without a link.
-3. Every pair is confirmed on full sets before it counts as a link.
+   others. A round is linear in the members of the buckets. The rounds end after ``QUIET`` ones without a link.
+3. The nodes of buckets that then still hold several components are joined on the rare shingles of their full sets
+   (``_rest``). That finds every pair of different components that is similar enough, so the rounds only make
+   components large early and decide nothing.
+4. Every pair is confirmed on full sets before it counts as a link.
 
-A pair that shares a bucket is left uncompared only if neither of it had a turn in any bucket they share; most texts had one
-in some of their 32 buckets. ``tests/llm`` states the recall on a cluster with many texts just below the least similarity.
+Two nodes that are similar enough and share a bucket end in one component. Nodes that share none are not compared.
 
 The least similarity is a parameter; the number of bands and the limit of the sketch test follow from it. A pair at the
 least similarity misses all bands with a probability of at most 1e-8 (32 bands and 7e-9 at 0.85, 47 bands and 8e-9 at
-0.8). The sketch test rejects such a pair only if it is five standard deviations off.
+0.8). The sketch test rejects such a pair only if it is five standard deviations off; step 3 does without it.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ ROWS = 5  # samples of a band
 MISSED = 1e-8  # share of pairs at the least similarity that may miss all bands
 SAMPLES = 512  # of which the first ones form the bands
 SKETCH_BITS = 1024
-QUIET = 2  # rounds without a new link after which the search ends
+QUIET = 2  # rounds without a new link after which the rest is joined on shingles
+STEP = 1.03  # sizes of sets that differ by less are of one class, or of two neighbours
 PERCENT = 85
 NODE = "n_shingles long, node long"
 
@@ -151,9 +154,8 @@ def _alike(pairs: DataFrame, light: DataFrame, least: Limits) -> DataFrame:
     return both.where(_may_link("x", "y", least)).select("a", "b")
 
 
-def _confirm(docs: DataFrame, signed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    named = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def _full_sets(docs: DataFrame, signed: DataFrame, named: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes ``named``, read out of the texts once."""
     # One document stands for each node.
     speaker = signed.join(named, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     speaker = stored(speaker.select("doc_id").distinct(), "speakers")
@@ -161,7 +163,11 @@ def _confirm(docs: DataFrame, signed: DataFrame, pairs: DataFrame, percent: int)
     texts = marked(docs.select("doc_id", "text"), F.xxhash64("doc_id"), marks(speaker.select(F.xxhash64("doc_id").alias("h"))))
     texts = texts.join(speaker, "doc_id", "left_semi")
     sets = texts.select("text").mapInArrow(_sets, "node long, shingles array<long>")
-    sets = stored(sets.join(named, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return stored(sets.join(named, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b").withColumn("same", F.size(F.array_intersect("left", "right")))
@@ -169,6 +175,62 @@ def _confirm(docs: DataFrame, signed: DataFrame, pairs: DataFrame, percent: int)
     return stored(both.where(F.col("same") * 100 >= union * percent).select("a", "b"), "confirmed")
 
 
+def _open(met: DataFrame, label: DataFrame) -> DataFrame:
+    """(bucket, node, label) of the buckets that hold several components."""
+    named = label.select("node", "label")
+    placed = met.join(named, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return stored(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / math.log(STEP))
+
+
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different labels, among them every one that is similar enough.
+
+    The shingles of a set are put in one order for all sets: first those that only one label has, then the rarest. Sets
+    that have ``c`` shingles in common have the first of these at places with ``c - 1`` or more shingles of each set
+    behind them, so only the beginnings of sets are joined. The larger set of a pair looks for the smaller one in the classes
+    of size that its place allows. Where a shingle and class has many rows of one label these are not joined with each other.
+    """
+    held = members.join(sets, "node").select("node", "label", F.size("shingles").alias("n"), "shingles")
+    spread = held.select("node", "label", "n", F.explode("shingles").alias("shingle"))
+    labels = spread.groupBy("shingle").agg(F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = labels.where("low < high").select("shingle", "held")
+    order = spread.join(mixed, "shingle").groupBy("node", "label", "n")
+    order = order.agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("order"))
+    least = F.expr(f"(n * {percent}L + 99) div 100")  # size of the smallest set that a set of this size is linked with
+    order = order.withColumn("own", F.col("n") - F.size("order")).withColumn("least", least)
+    begin = F.greatest(F.col("n") - F.col("least") + 1 - F.col("own"), F.lit(0)).cast("int")
+    spots = order.select("node", "label", "n", "own", "least", F.posexplode(F.slice("order", F.lit(1), begin)).alias("at", "next"))
+    spots = stored(spots.select("node", "label", "n", "least", F.expr("own + at").alias("at"), "next.shingle"), "beginnings")
+
+    # The smaller set of a pair: needs so many in common with one of its own size, and more with a larger one.
+    low = spots.where(f"at + (2L * n * {percent} + {99 + percent}) div {100 + percent} <= n")
+    low = low.select("node", "label", "n", "at", "shingle", _size_class(F.col("n")).alias("class"))
+    counts = low.groupBy("shingle", "class", "label").agg(F.count("*").alias("rows"))
+    tops = counts.groupBy("shingle", "class").agg(F.max(F.struct("rows", "label")).alias("top"), F.count("*").alias("labels"))
+    tops = stored(tops.select("shingle", "class", F.col("top.label").alias("top"), (F.col("labels") > 1).alias("several")), "tops")
+    low = low.join(tops.where("several").select("shingle", "class", "top"), ["shingle", "class"], "left")
+    low = low.withColumn("in_top", F.coalesce(F.col("label") == F.col("top"), F.lit(True))).drop("top").alias("y")
+
+    most = F.expr(f"least(n, ({100 + percent}L * (n - at)) div {percent} - n)")
+    high = spots.withColumn("most", most).where("least <= most")
+    classes = F.sequence(_size_class(F.col("least")), _size_class(F.col("most")))
+    high = high.select("node", "label", "n", "at", "shingle", F.explode(classes).alias("class")).join(tops, ["shingle", "class"])
+    other = F.col("label") != F.col("top")
+    wanted = F.filter(F.array(F.when(other, True), F.when(F.col("several"), False)), lambda x: x.isNotNull())
+    high = high.select("node", "label", "n", "at", "shingle", "class", F.explode(wanted).alias("in_top")).alias("x")
+
+    need = f"((x.n + y.n) * {percent}L + {99 + percent}) div {100 + percent}"
+    fits = f"y.n <= x.n AND y.n * 100L >= x.n * {percent}L AND x.at + {need} <= x.n AND y.at + {need} <= y.n"
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("shingle", "class", "in_top")]
+    met = high.join(low, [*same, F.col("x.label") != F.col("y.label"), F.expr(fits)])
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, text_hash, kept.
 
@@ -209,19 +271,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     starts = shared.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
     starts = starts.distinct()
     tested = stored(_alike(starts, light, least), "tested")
-    links = _confirm(docs, signed, tested, percent)
+    sets = _full_sets(docs, signed, met.select("node").distinct())
+    links = _confirm(sets, tested, percent)
     label = components(links)
 
     # What the comparison with one node has not joined is compared with further nodes, one per bucket and round.
     tried = hubs.select("bucket", F.col("top.node").alias("hub"))
     compared = tested.select("a", "b")
+    open_ = _open(met, label)
     quiet, turn = 0, 0
     while quiet < QUIET:
         turn += 1
         named = label.select("node", "label")
-        placed = met.join(named, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-        mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        open_ = stored(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
         served = tried.join(named.withColumnRenamed("node", "hub"), "hub", "left")
         served = served.select("bucket", F.coalesce("label", "hub").alias("label")).distinct()
         draw = F.xxhash64(F.lit(turn), "bucket", "node")  # other nodes in other buckets, so that many get their turn
@@ -234,12 +295,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = met_hub.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
         late = stored(_alike(pairs.join(compared, ["a", "b"], "left_anti"), light, least), "late")
         tried, compared = tried.union(hub.select("bucket", "hub")), compared.union(late)
-        found = None if late.isEmpty() else _confirm(docs, signed, late, percent)
+        found = None if late.isEmpty() else _confirm(sets, late, percent)
         if found is None or found.isEmpty():
             quiet += 1
             continue
         quiet, links = 0, links.union(found)
         label = components(links)
+        open_ = _open(met, label)
+
+    # The exact way for what the rounds have not compared.
+    if not open_.isEmpty():
+        rest = _rest(open_.select("node", "label").distinct(), sets, percent).join(compared, ["a", "b"], "left_anti")
+        found = _confirm(sets, stored(rest, "rest"), percent)
+        if not found.isEmpty():
+            label = components(links.union(found))
 
     label = label.select("node", "label")
     grouped = signed.select("doc_id", "text_hash", "n_shingles", "node").join(label, "node", "left")

@@ -386,6 +386,49 @@ def test_near_duplicates_of_a_crowd_below_the_threshold(spark):
     assert all(want[key][1] == want[label][1] for key, (_, label) in got.items())  # no link too many
 
 
+@pytest.mark.parametrize("rounds, percent", [(0, 85), (0, 80), (2, 85)])
+def test_near_duplicates_lose_no_link_in_crowded_buckets(spark, monkeypatch, rounds, percent):
+    """Every link is found, also by the exact way alone, among texts of one origin that are cut, changed and chained."""
+    monkeypatch.setattr(near_dedup, "QUIET", rounds)
+    rnd = random.Random(31)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    base, rows, own = [word() for _ in range(150)], [], []
+    for i in range(300):
+        if i % 5 == 4:  # one word from the text before
+            own = list(own)
+            own[rnd.randrange(len(own))] = word()
+        else:
+            own = list(base)
+            for at in rnd.sample(range(150), rnd.choice([2, 3, 4, 5, 6])):
+                own[at] = word()
+            own = own[: 150 - rnd.choice([0, 0, 6, 15, 25])]
+        rows.append((i, " ".join(own), "s"))
+    want = brute.near_duplicates(pairs(rows), percent)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows), percent).collect()}
+    assert 20 < len({label for _, label in want.values()}) < 280
+    assert got == want
+
+
+def test_beginnings_of_sets_hold_every_link(spark):
+    """The join on rare shingles meets all similar sets of different labels, also where one label has most of the sets."""
+    rnd = random.Random(32)
+    rows = []
+    for node in range(160):
+        some = set(range(rnd.choice([1, 5, 40, 41, 60])))
+        some = {x for x in some if rnd.random() > 0.05} | {1000 * node + 500 + x for x in range(rnd.choice([0, 0, 1, 3, 5]))}
+        rows.append((node, rnd.choice([0, 0, 0, node]), sorted(some or {7})))
+    given = spark.createDataFrame(rows, "node long, label long, shingles array<long>")
+    for percent in (85, 80, 100):
+        found = near_dedup._rest(given.select("node", "label"), given.select("node", "shingles"), percent).collect()
+        found = {(r.a, r.b) for r in found}
+        want = set()
+        for a, p, x in rows:
+            for b, q, y in rows[:a]:
+                if p != q and 100 * len(set(x) & set(y)) >= percent * len(set(x) | set(y)):
+                    want.add((b, a))
+        assert len(want) > 20 and want <= found and len(found) < 4 * len(want)
+
+
 def test_toxicity_counts_cover_all_rows(spark, monkeypatch):
     """Counts per word and beginning equal plain ones, also when tasks hand them on early; the sample does not bound them."""
     monkeypatch.setattr(toxicity, "HELD", 20)
