@@ -1,10 +1,11 @@
 """License scan by conditional compression.
 
 Blocks are paragraphs (cut at blank lines) that mention a license. A block is looked at as its words, so line breaks and comment
-signs do not matter. A template is confirmed wherever all its words stand in a block in order with nothing else in between;
-every such place is a row. Around the mentions that are left, windows as long as the longest template are compressed with zstandard,
-once plainly and once with every template as raw dictionary: the bytes saved, against the template's own compressed size,
-rank the templates. The best ones are compared word by word, and the differences of the nearest one are reported.
+signs do not matter. Windows of a template's length are compressed with zstandard, once plainly and once with the template as raw
+dictionary: the bytes saved, against the template's own compressed size, rank it. A template that saves enough of a window is
+compared with it word by word and confirmed if nothing differs; every such place is a row. Around the mentions that are left,
+windows as long as the longest template are compressed with every template, the best ones are compared word by word, and the
+differences of the nearest one are reported.
 """
 
 from __future__ import annotations
@@ -75,7 +76,11 @@ class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.words = {name: _words(text.replace("©", " ")) for name, text in templates.items()}
         # The sign may be left out.
-        self.parts = [(name, p) for name, text in templates.items() for p in (_parts(_words(text)), _parts(self.words[name]))]
+        self.parts = []
+        for name, text in templates.items():
+            for parts in (_parts(_words(text)), _parts(self.words[name])):
+                if parts and (name, parts) not in self.parts:
+                    self.parts.append((name, parts))
         self.reach = max((len(words) for words in self.words.values()), default=1)
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
         self.with_template, self.size = {}, {}
@@ -99,13 +104,34 @@ class Scanner:
         size = len(self.plain.compress(data))
         return sorted(((self.saved(name, data, size), name) for name in self.words), key=lambda x: (-x[0], x[1]))
 
-    def notices(self, line: str, starts: list[int]) -> list[tuple[int, int, str]]:
-        """(first word, end, template) of every place where a template stands whole, without those inside a longer one."""
-        found = []
+    def reduction(self, name: str, own: list[str]) -> float:
+        """What the template saves of these words."""
+        data = " ".join(own).encode("utf-8", "surrogatepass")
+        return self.saved(name, data, len(self.plain.compress(data)))
+
+    def notices(self, own: list[str]) -> list[tuple[int, int, str]]:
+        """(first word, end, template) of every place where a template stands whole, without those inside a longer one.
+
+        Windows of a template's length begin wherever its first word stands. Those of which it saves enough are compared.
+        """
+        at: dict[str, list[int]] = {}
+        for i, word in enumerate(own):
+            at.setdefault(word, []).append(i)
+        ranked = []
         for name, parts in self.parts:
-            found += [(a, b, name) for a, b in _places(parts, line, starts)]
+            begin = 0
+            for starts in _aligned(parts, at):
+                end = starts[-1] + len(parts[-1])
+                if starts[0] < begin or end > len(own):
+                    continue
+                window = [own[c : c + len(part)] for c, part in zip(starts, parts)]
+                said = _joined(window)
+                reduction = self.remembered(f"window {name}", said, lambda said=said, name=name: self.reduction(name, said))
+                if reduction >= MIN_REDUCTION and window == parts:
+                    ranked.append((starts[0], end, reduction, name))
+                    begin = end
         out, high = [], 0
-        for a, b, name in sorted(found, key=lambda x: (x[0], -x[1], x[2])):
+        for a, b, _, name in sorted(ranked, key=lambda x: (x[0], -x[1], -x[2], x[3])):
             if b > high:
                 out.append((a, b, name))
                 high = b
@@ -144,16 +170,12 @@ class Scanner:
         for word in own:
             starts.append(at)
             at += len(word) + 1
-        whole = self.notices(line, starts)
+        whole = self.notices(own)
         out = []
         for a, b, name in whole:
             said = own[a:b]
-
-            def own_reduction(said=said, name=name):
-                data = " ".join(said).encode("utf-8", "surrogatepass")
-                return self.saved(name, data, len(self.plain.compress(data)))
-
-            out.append((a, (name, self.remembered(name, said, own_reduction), 0, 0, "", True)))
+            reduction = self.remembered(name, said, lambda said=said, name=name: self.reduction(name, said))
+            out.append((a, (name, reduction, 0, 0, "", True)))
         # Mentions outside of the notices: their surroundings, up to the notices before and after.
         taken, seen, turn = 0, 0, 0
         for mention in _MENTION.finditer(line):
@@ -181,34 +203,40 @@ def _words(text: str) -> list[str]:
     return _WORD.findall(text.replace("{}", " Δ ").lower())
 
 
-def _parts(template: list[str]) -> list[str]:
-    """The wording between the marks of parts that differ, with a blank before and after."""
-    parts = " ".join(template).split("δ")
-    return [f" {part.strip()} " for part in parts if part.strip()]
-
-
-def _places(parts: list[str], line: str, starts: list[int]) -> list[tuple[int, int]]:
-    """(first word, end) of the places where the parts follow each other, each as narrow as can be."""
-    out, begin = [], 0
-    while parts:
-        spans, at = [], begin
-        for part in parts:
-            at = line.find(part, at)
-            if at < 0:
-                return out
-            spans.append(at)
-            at += len(part) - 1  # the blank may begin the next part
-        for k in range(len(parts) - 2, -1, -1):
-            spans[k] = line.rfind(parts[k], spans[k], spans[k + 1] + 1)
-        words = [(bisect.bisect_left(starts, a), bisect.bisect_left(starts, a + len(p) - 1)) for a, p in zip(spans, parts)]
-        if all(after[0] - before[1] <= GAP_WORDS for before, after in zip(words, words[1:])):
-            out.append((words[0][0], words[-1][1]))
-            begin = spans[-1] + len(parts[-1]) - 1
+def _parts(template: list[str]) -> list[list[str]]:
+    """The wording between the marks of parts that differ."""
+    parts = [[]]
+    for word in template:
+        if word == "δ":
+            parts.append([])
         else:
-            begin = spans[0] + 1
+            parts[-1].append(word)
+    return [part for part in parts if part]
+
+
+def _joined(parts: list[list[str]]) -> list[str]:
+    """The words of the parts with the mark between them."""
+    out = list(parts[0])
+    for part in parts[1:]:
+        out += ["δ", *part]
     return out
 
 
+def _aligned(parts: list[list[str]], at: dict[str, list[int]], before: int | None = None):
+    """Where windows of the parts may begin: at their first words, one after the other. For each end the narrowest are first."""
+    *head, last = parts
+    spots = at.get(last[0], [])
+    if before is not None:
+        low = bisect.bisect_left(spots, before - len(last) - GAP_WORDS)
+        spots = spots[low : bisect.bisect_right(spots, before - len(last))][::-1]
+    for spot in spots:
+        if head:
+            for starts in _aligned(head, at, spot):
+                yield [*starts, spot]
+        else:
+            yield [spot]
+
+
 def _differences(template: list[str], own: list[str]) -> tuple[int, int, int, int, str]:
     """Span of the template in ``own``, words of the template that are missing, words within the span that are not in it, and
     what they are. Only the surroundings of the longest common part are looked at."""
