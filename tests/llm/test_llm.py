@@ -461,6 +461,25 @@ def test_beginnings_of_sets_hold_every_link(spark):
         assert len(want) > 20 and want <= found and len(found) < 4 * len(want)
 
 
+def test_near_duplicate_stage_reads_texts_once(spark, sf_dir, monkeypatch):
+    """The stage loses no link in crowded buckets, and the number of its rounds does not multiply the reading of texts."""
+    calls = []
+    monkeypatch.setattr(near_dedup, "QUIET", 1)
+    monkeypatch.setattr(near_dedup, "marked", lambda df, h, pages, own=near_dedup.marked: calls.append(1) or own(df, h, pages))
+    rnd = random.Random(33)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for at in rnd.sample(range(120), rnd.choice([1, 2, 3, 4, 5])):
+            own[at] = f"x{i % 40}" if i % 3 else f"y{i}"
+        rows.append((i, " ".join(own), "s"))
+    want = brute.near_duplicates(pairs(rows), corpus_pipeline.NEAR_PERCENT)
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k, (_, label) in want.items() if k == label)
+    assert len(calls) == 1
+
+
 def test_toxicity_counts_cover_all_rows(spark, monkeypatch):
     """Counts per word and beginning equal plain ones, also when tasks hand them on early; the sample does not bound them."""
     monkeypatch.setattr(toxicity, "HELD", 20)
