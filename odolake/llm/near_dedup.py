@@ -9,16 +9,17 @@ differing bits of two sketches estimates how many samples differ, precisely so f
 2. Components of the confirmed links are formed. Buckets that still hold several components are looked at again in
    rounds: in each, one node of a component that had no turn yet in the bucket is compared with the members of the
    others. A round is linear in the members of the buckets. The rounds end after ``QUIET`` ones without a link.
-3. The nodes of buckets that then still hold several components are joined on the rare shingles of their full sets
-   (``_rest``). That finds every pair of different components that is similar enough, so the rounds only make
-   components large early and decide nothing.
+3. Of all nodes, whether they share a bucket or not, those are taken of which enough of the smallest shingles are also
+   among the smallest ones of nodes of other components (``_strangers``); any other node has no link left to find. They
+   are joined on the rare shingles of their full sets (``_rest``). That finds every pair of different components that
+   is similar enough, so buckets, sketches and rounds only make components large early and decide nothing.
 4. Every pair is confirmed on full sets before it counts as a link.
 
-Two nodes that are similar enough and share a bucket end in one component. Nodes that share none are not compared.
+Two nodes that are similar enough end in one component.
 
 The least similarity is a parameter; the number of bands and the limit of the sketch test follow from it. A pair at the
 least similarity misses all bands with a probability of at most 1e-8 (32 bands and 7e-9 at 0.85, 47 bands and 8e-9 at
-0.8). The sketch test rejects such a pair only if it is five standard deviations off; step 3 does without it.
+0.8). The sketch test rejects such a pair only if it is five standard deviations off. Step 3 does without both.
 """
 
 from __future__ import annotations
@@ -32,13 +33,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from odolake.llm.common import chunks, lists, mix, shingle_sets, stored
 from odolake.llm.components import components
-from odolake.llm.marks import marked, marks
+from odolake.llm.marks import marked, marks, with_mark
 
 ROWS = 5  # samples of a band
 MISSED = 1e-8  # share of pairs at the least similarity that may miss all bands
 SAMPLES = 512  # of which the first ones form the bands
 SKETCH_BITS = 1024
 QUIET = 2  # rounds without a new link after which the rest is joined on shingles
+SPARE = 20  # one in so many shingles of a set is added to its beginning, so that a link shows in several of them
 STEP = 1.03  # sizes of sets that differ by less are of one class, or of two neighbours
 PERCENT = 85
 NODE = "n_shingles long, node long"
@@ -102,7 +104,17 @@ def _nodes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix((total[bounds[1:]] - total[bounds[:-1]]) * np.uint64(31) + sizes.astype(np.uint64))
 
 
-def _sign(bands: int):
+def _begin(values: np.ndarray, bounds: np.ndarray, percent: int) -> pa.Array:
+    """The smallest shingles of each set. See ``_strangers`` for their number."""
+    sizes = np.diff(bounds)
+    many = np.minimum(sizes - (sizes * percent + 99) // 100 + sizes // SPARE + 1, sizes)
+    ends = np.concatenate([[0], np.cumsum(many)])
+    return lists(values[np.arange(ends[-1]) + np.repeat(bounds[:-1] - ends[:-1], many)], ends)
+
+
+def _sign(least: Limits):
+    bands = least.bands
+
     def sign(batches):
         for part in chunks(batches):
             values, bounds = shingle_sets(part.column("text"))
@@ -123,8 +135,9 @@ def _sign(bands: int):
                     node,
                     lists(sketch.ravel(), steps * sketch.shape[1]),
                     lists(keys.ravel(), steps * bands),
+                    _begin(values, bounds, least.percent),
                 ],
-                ["doc_id", "text_hash", "n_shingles", "node", "sketch", "bands"],
+                ["doc_id", "text_hash", "n_shingles", "node", "sketch", "bands", "begin"],
             )
 
     return sign
@@ -156,12 +169,14 @@ def _alike(pairs: DataFrame, light: DataFrame, least: Limits) -> DataFrame:
 
 def _full_sets(docs: DataFrame, signed: DataFrame, named: DataFrame) -> DataFrame:
     """(node, shingles) of the nodes ``named``, read out of the texts once."""
-    # One document stands for each node.
-    speaker = signed.join(named, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    speaker = stored(speaker.select("doc_id").distinct(), "speakers")
+    # One text stands for each node, that of the smallest id if there is one.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("first")
+    speaker = signed.join(named, "node").groupBy("node").agg(first)
+    speaker = stored(speaker.select(F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")).distinct(), "speakers")
     # Only the texts of speakers, and a few more, are shuffled.
-    texts = marked(docs.select("doc_id", "text"), F.xxhash64("doc_id"), marks(speaker.select(F.xxhash64("doc_id").alias("h"))))
-    texts = texts.join(speaker, "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    texts = marked(texts, F.xxhash64("doc_id", "text_hash"), marks(speaker.select(F.xxhash64("id", "hash").alias("h"))))
+    texts = texts.join(speaker, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left_semi")
     sets = texts.select("text").mapInArrow(_sets, "node long, shingles array<long>")
     return stored(sets.join(named, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
@@ -183,6 +198,26 @@ def _open(met: DataFrame, label: DataFrame) -> DataFrame:
     return stored(placed.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
 
 
+def _strangers(signed: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """(node, label) of the nodes that may have a link with a node of another label, among them all that have one.
+
+    A set of ``n`` shingles is linked with sets that have ``l = ceil(n * percent / 100)`` of them at least. So of its
+    ``n - l + k`` smallest shingles ``k`` are in common with a partner and, if ``k`` is not more than the partner's,
+    among the partner's smallest ones too. ``k`` is ``n // SPARE + 1``; the smallest partner has ``l // SPARE + 1``, so
+    a node is taken if so many of its smallest shingles are among the smallest ones of another label.
+    """
+    placed = signed.where("n_shingles > 0").join(label.select("node", "label"), "node", "left")
+    placed = placed.select("node", F.coalesce("label", "node").alias("label"), "n_shingles", F.size("begin").alias("many"), "begin")
+    spots = placed.select("node", "label", "n_shingles", "many", F.explode("begin").alias("shingle"))
+    labels = spots.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    shared = marks(labels.where("low < high").select(F.col("shingle").alias("h")))
+    # Copies have one node and equal beginnings: their mean is the count of one of them.
+    seen = with_mark(spots, F.col("shingle"), shared, "seen").groupBy("node", "label", "n_shingles", "many")
+    seen = seen.agg(F.sum(F.col("seen").cast("long")).alias("seen"), F.count("*").alias("rows"))
+    needed = f"((n_shingles * {percent}L + 99) div 100) div {SPARE} + 1"
+    return stored(seen.where(f"seen * many >= ({needed}) * rows").select("node", "label"), "strangers")
+
+
 def _size_class(n: Column) -> Column:
     return F.floor(F.log(n) / math.log(STEP))
 
@@ -237,14 +272,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Documents whose five-word shingles have a Jaccard similarity of ``percent`` or more are linked (70 at least).
     Only ``doc_id`` and ``text`` are read; other columns are ignored whatever their names. Null, empty and
     word-less texts have no shingles and stay alone, with their own id. ``component_id`` is the smallest id of the
-    component. Rows that repeat an id each get a row; equal rows get equal results. Rows without id belong to the
-    component of their set, but a set that occurs only in such rows is not compared with others. Very long texts
+    component. Rows that repeat an id each get a row; equal rows get equal results. Rows without id are compared like
+    all others; a component of such rows only has no ``component_id``, and all of them are kept. Very long texts
     are cut nowhere; a task holds one text at a time.
     """
     least = limits(percent)
     signed = stored(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-            _sign(least.bands), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, {NODE}, sketch array<long>, bands array<long>"
+            _sign(least),
+            f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, {NODE}, sketch array<long>, bands array<long>, begin array<long>",
         ),
         "signed",
     )
@@ -304,8 +340,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         open_ = _open(met, label)
 
     # The exact way for what the rounds have not compared.
-    if not open_.isEmpty():
-        rest = _rest(open_.select("node", "label").distinct(), sets, percent).join(compared, ["a", "b"], "left_anti")
+    strangers = _strangers(signed, label, percent)
+    unread = stored(strangers.select("node").join(sets, "node", "left_anti"), "unread")
+    if not unread.isEmpty():
+        sets = sets.union(_full_sets(docs, signed, unread))
+    if not strangers.isEmpty():
+        rest = _rest(strangers, sets, percent).join(compared, ["a", "b"], "left_anti")
         found = _confirm(sets, stored(rest, "rest"), percent)
         if not found.isEmpty():
             label = components(links.union(found))

@@ -480,6 +480,35 @@ def test_near_duplicate_stage_reads_texts_once(spark, sf_dir, monkeypatch):
     assert len(calls) == 1
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_duplicates_without_a_common_bucket(spark, monkeypatch, percent):
+    """One band only: about half of the similar texts share no bucket. Their links are found all the same."""
+    monkeypatch.setattr(near_dedup, "limits", lambda percent, own=near_dedup.limits: own(percent)._replace(bands=1))
+    rnd = random.Random(34)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    common, rows = [word() for _ in range(30)], []
+    for i in range(200):
+        if i % 2 == 0:
+            own = [word() for _ in range(rnd.choice([3, 12, 60, 150]))] + common * (i % 3 == 0)
+        else:
+            own = own + [word() for _ in range(rnd.randint(0, len(own) // 3))]
+        rows.append((i, " ".join(own), "s"))
+    want = brute.near_duplicates(pairs(rows), percent)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows), percent).collect()}
+    assert 110 < len({label for _, label in want.values()}) < 190
+    assert got == want
+
+
+def test_near_duplicates_of_rows_without_id(spark):
+    """A set that only rows without id have is compared too, and the links of others go through it."""
+    words = [f"w{i}" for i in range(100)]
+    cut = lambda a, b: " ".join(words[a:b])
+    rows = [(7, cut(0, 90), "s"), (None, cut(0, 100), "s"), (9, cut(10, 100), "s"), (None, "nothing like the others at all", "s"), (3, None, "s")]
+    assert brute.near_duplicates([(7, rows[0][1]), (9, rows[2][1])])[9][1] == 9
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {(7, 86): (7, True), (None, 96): (7, False), (9, 86): (7, False), (None, 2): (None, True), (3, 0): (3, True)}
+
+
 def test_toxicity_counts_cover_all_rows(spark, monkeypatch):
     """Counts per word and beginning equal plain ones, also when tasks hand them on early; the sample does not bound them."""
     monkeypatch.setattr(toxicity, "HELD", 20)
