@@ -167,22 +167,28 @@ def _alike(pairs: DataFrame, light: DataFrame, least: Limits) -> DataFrame:
     return both.where(_may_link("x", "y", least)).select("a", "b")
 
 
+def _among(df: DataFrame, h: Column, hashes: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose hash may be among the column ``h`` of ``hashes``; others need not be shuffled."""
+    return with_mark(df, h, marks(hashes), "_among").where("_among").drop("_among")
+
+
 def _full_sets(docs: DataFrame, signed: DataFrame, named: DataFrame) -> DataFrame:
     """(node, shingles) of the nodes ``named``, read out of the texts once."""
     # One text stands for each node, that of the smallest id if there is one.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("first")
     speaker = signed.join(named, "node").groupBy("node").agg(first)
-    speaker = stored(speaker.select(F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")).distinct(), "speakers")
-    # Only the texts of speakers, and a few more, are shuffled.
+    speaker = stored(speaker.select(F.xxhash64("first.doc_id", "first.text_hash").alias("h")).distinct(), "speakers")
+    # Only the texts of speakers, and a few more, are shuffled. Rows that come twice go as texts, not as longer sets.
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    texts = marked(texts, F.xxhash64("doc_id", "text_hash"), marks(speaker.select(F.xxhash64("id", "hash").alias("h"))))
-    texts = texts.join(speaker, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left_semi")
-    sets = texts.select("text").mapInArrow(_sets, "node long, shingles array<long>")
-    return stored(sets.join(named, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    texts = texts.withColumn("h", F.xxhash64("doc_id", "text_hash"))
+    texts = marked(texts, F.col("h"), marks(speaker)).join(speaker, "h", "left_semi")
+    texts = texts.dropDuplicates(["h", "doc_id", "text_hash"])
+    return stored(texts.select("text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
 
 
 def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
+    sets = _among(sets, F.col("node"), pairs.select(F.explode(F.array("a", "b")).alias("h")))
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b").withColumn("same", F.size(F.array_intersect("left", "right")))
@@ -204,24 +210,42 @@ def _strangers(signed: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     A set of ``n`` shingles is linked with sets that have ``l = ceil(n * percent / 100)`` of them at least. So of its
     ``n - l + k`` smallest shingles ``k`` are in common with a partner and, if ``k`` is not more than the partner's,
     among the partner's smallest ones too. ``k`` is ``n // SPARE + 1``; the smallest partner has ``l // SPARE + 1``, so
-    a node is taken if so many of its smallest shingles are among the smallest ones of another label.
+    a node is taken if so many of its smallest shingles are among the smallest ones of another label. A bitmap leaves
+    few nodes to count them for, on very large tables more.
     """
     placed = signed.where("n_shingles > 0").join(label.select("node", "label"), "node", "left")
     placed = placed.select("node", F.coalesce("label", "node").alias("label"), "n_shingles", F.size("begin").alias("many"), "begin")
     spots = placed.select("node", "label", "n_shingles", "many", F.explode("begin").alias("shingle"))
     labels = spots.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    shared = marks(labels.where("low < high").select(F.col("shingle").alias("h")))
+    shared = stored(labels.where("low < high").select(F.col("shingle").alias("h")), "shared")
+    pages = marks(shared)
     # Copies have one node and equal beginnings: their mean is the count of one of them.
-    seen = with_mark(spots, F.col("shingle"), shared, "seen").groupBy("node", "label", "n_shingles", "many")
+    seen = with_mark(spots, F.col("shingle"), pages, "seen").groupBy("node", "label", "n_shingles", "many")
     seen = seen.agg(F.sum(F.col("seen").cast("long")).alias("seen"), F.count("*").alias("rows"))
     needed = f"((n_shingles * {percent}L + 99) div 100) div {SPARE} + 1"
-    return stored(seen.where(f"seen * many >= ({needed}) * rows").select("node", "label"), "strangers")
+    maybe = seen.where(f"seen * many >= ({needed}) * rows")
+    maybe = stored(maybe.select("node", "label", "n_shingles", F.expr("rows div many").alias("copies")), "maybe")
+
+    spots = signed.select("node", "begin").join(maybe.select("node"), "node", "left_semi").select("node", F.explode("begin").alias("h"))
+    spots = with_mark(spots, F.col("h"), pages, "seen").where("seen").select("node", "h")
+    sure = spots.join(shared, "h", "left_semi").groupBy("node").agg(F.count("*").alias("rows"))
+    return stored(maybe.join(sure, "node").where(f"rows >= ({needed}) * copies").select("node", "label"), "strangers")
 
 
 def _size_class(n: Column) -> Column:
     return F.floor(F.log(n) / math.log(STEP))
 
 
+def _kin(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The nodes of ``members`` (node, label) that have no more shingles of their own alone than a link leaves them."""
+    held = members.join(sets, "node").select("node", "label", F.size("shingles").alias("n"), "shingles")
+    holders = held.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    holders = holders.agg(F.count("*").alias("held"), F.min("node").alias("node"))
+    alone = holders.where("held = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    kin = held.select("node", "label", "n").join(alone, "node", "left")
+    return stored(kin.where(f"coalesce(alone, 0L) <= n - (n * {percent}L + 99) div 100").select("node", "label"), "kin")
+
+
 def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes of different labels, among them every one that is similar enough.
 
@@ -229,8 +253,9 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     that have ``c`` shingles in common have the first of these at places with ``c - 1`` or more shingles of each set
     behind them, so only the beginnings of sets are joined. The larger set of a pair looks for the smaller one in the classes
     of size that its place allows. Where a shingle and class has many rows of one label these are not joined with each other.
+    Sets with too many shingles that no other set has are left out first (``_kin``); most are.
     """
-    held = members.join(sets, "node").select("node", "label", F.size("shingles").alias("n"), "shingles")
+    held = _kin(members, sets, percent).join(sets, "node").select("node", "label", F.size("shingles").alias("n"), "shingles")
     spread = held.select("node", "label", "n", F.explode("shingles").alias("shingle"))
     labels = spread.groupBy("shingle").agg(F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = labels.where("low < high").select("shingle", "held")
@@ -284,20 +309,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         ),
         "signed",
     )
-    nodes = stored(
-        signed.where("n_shingles > 0")
-        .groupBy("node")
-        .agg(
-            F.any_value("n_shingles").alias("n"),
-            F.any_value("sketch").alias("sketch"),
-            F.any_value("bands").alias("bands"),
-        ),
-        "nodes",
-    )
-    light = nodes.select("node", "n", "sketch")
-    spots = nodes.select("node", F.explode("bands").alias("bucket"))
+    # Most buckets have one row; those never leave their task. What exact copies alone share is left out below.
+    filled = signed.where("n_shingles > 0")
+    spots = filled.select("node", F.explode("bands").alias("bucket"))
+    several = spots.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1")
+    spots = stored(_among(spots, F.col("bucket"), several.select(F.col("bucket").alias("h"))).distinct(), "spots")
     crowds = spots.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     met = stored(spots.join(crowds, "bucket"), "met")
+    light = filled.select("node", F.col("n_shingles").alias("n"), "sketch")
+    light = _among(light, F.col("node"), met.select(F.col("node").alias("h"))).groupBy("node")
+    light = stored(light.agg(F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch")), "light")
     # An original shares more buckets with its copies than they do with each other.
     rank = met.groupBy("node").agg(F.sum("members").alias("rank"))
     hubs = met.join(rank, "node").groupBy("bucket").agg(F.max(F.struct("rank", "node")).alias("top"))

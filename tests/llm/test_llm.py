@@ -4,13 +4,14 @@ import hashlib
 import random
 import re
 import textwrap
+from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from odolake.llm import decontaminate as dec, language, licenses, line_dedup, mixing, near_dedup, order_minhash, pii, repeats, toxicity
+from odolake.llm import decontaminate as dec, language, licenses, line_dedup, marks, mixing, near_dedup, order_minhash, pii, repeats, toxicity
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, h1 long, line_dedup string, pii int"
@@ -499,6 +500,47 @@ def test_near_duplicates_without_a_common_bucket(spark, monkeypatch, percent):
     assert got == want
 
 
+def test_near_duplicates_move_few_rows_of_texts_without_partner(spark, monkeypatch):
+    """Also where bitmaps are full, only texts that meet another component go on, and of their sets those a link leaves room for."""
+    rows_of = {}
+
+    def stored(df, purpose, own=near_dedup.stored):
+        made = own(df, purpose)
+        rows_of.setdefault(purpose, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(near_dedup, "stored", stored)
+    monkeypatch.setattr(marks, "SPOTS", 64)
+    rnd = random.Random(35)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    rows = [(i, " ".join(word() for _ in range(100)), "s") for i in range(150)]
+    for i in range(10):  # three quarters of a text: no link, but more in common than its beginning has to have
+        rows.append((200 + i, " ".join(rows[i][1].split()[:70] + [word() for _ in range(30)]), "s"))
+    rows += [(300 + i, rows[20 + i][1] + " end", "s") for i in range(5)] + [(400, rows[30][1], "s"), (20, rows[20][1], "s")]
+    want = brute.near_duplicates(pairs(rows))
+    got = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows) and {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert rows_of.pop("signed") == [len(rows)] and rows_of.pop("strangers")[0] <= 30
+    assert rows_of.pop("kin") == [0]
+    # A full bitmap lets all pass that it is a filter for; what is joined after it is exact.
+    assert max(rows_of["light"] + rows_of["sets"] + rows_of["met"]) <= 200 + 32 * 10
+
+
+@pytest.mark.parametrize("percent", [85, 80, 100])
+def test_kin_have_room_for_a_link(spark, percent):
+    rnd = random.Random(36)
+    rows = []
+    for node in range(120):
+        n = rnd.choice([1, 2, 10, 40])
+        rows.append((node, sorted({rnd.randrange(60) if rnd.random() > rnd.choice([0, 0.1, 0.2]) else 1000 * (node + 1) + x for x in range(n)})))
+    given = spark.createDataFrame([(node, node % 50, some) for node, some in rows], "node long, label long, shingles array<long>")
+    held = Counter(x for _, some in rows for x in some)
+    want = {node for node, some in rows if sum(held[x] == 1 for x in some) <= len(some) - -(-len(some) * percent // 100)}
+    got = near_dedup._kin(given.select("node", "label"), given.select("node", "shingles"), percent).collect()
+    assert 0 < len(want) < 120
+    assert sorted((r.node, r.label) for r in got) == sorted((node, node % 50) for node in want)
+
+
 def test_near_duplicates_of_rows_without_id(spark):
     """A set that only rows without id have is compared too, and the links of others go through it."""
     words = [f"w{i}" for i in range(100)]
