@@ -226,7 +226,8 @@ def _strangers(signed: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     maybe = seen.where(f"seen * many >= ({needed}) * rows")
     maybe = stored(maybe.select("node", "label", "n_shingles", F.expr("rows div many").alias("copies")), "maybe")
 
-    spots = signed.select("node", "begin").join(maybe.select("node"), "node", "left_semi").select("node", F.explode("begin").alias("h"))
+    begins = _among(signed.select("node", "begin"), F.col("node"), maybe.select(F.col("node").alias("h")))
+    spots = begins.join(maybe.select("node"), "node", "left_semi").select("node", F.explode("begin").alias("h"))
     spots = with_mark(spots, F.col("h"), pages, "seen").where("seen").select("node", "h")
     sure = spots.join(shared, "h", "left_semi").groupBy("node").agg(F.count("*").alias("rows"))
     return stored(maybe.join(sure, "node").where(f"rows >= ({needed}) * copies").select("node", "label"), "strangers")
@@ -238,11 +239,13 @@ def _size_class(n: Column) -> Column:
 
 def _kin(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The nodes of ``members`` (node, label) that have no more shingles of their own alone than a link leaves them."""
-    held = members.join(sets, "node").select("node", "label", F.size("shingles").alias("n"), "shingles")
+    # A few sets of other nodes may be among them: then less is alone, and more nodes stay. Sets are not shuffled for a join.
+    held = _among(sets, F.col("node"), members.select(F.col("node").alias("h")))
     holders = held.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
     holders = holders.agg(F.count("*").alias("held"), F.min("node").alias("node"))
     alone = holders.where("held = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    kin = held.select("node", "label", "n").join(alone, "node", "left")
+    sizes = held.select("node", F.size("shingles").alias("n"))
+    kin = members.join(sizes, "node").join(alone, "node", "left")
     return stored(kin.where(f"coalesce(alone, 0L) <= n - (n * {percent}L + 99) div 100").select("node", "label"), "kin")
 
 
