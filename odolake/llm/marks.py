@@ -15,11 +15,11 @@ SPOTS = 1 << 26
 _PAGE = 1 << 15  # bits of a page
 
 
-def marks(hashes: DataFrame) -> DataFrame:
-    """(_page, _marks) of the column ``h``; tasks make their own pages first."""
+def marks(hashes: DataFrame, store: bool = True) -> DataFrame:
+    """(_page, _marks) of the column ``h``; tasks make their own pages first. Pages for one use need no storing."""
     page = F.expr(f"pmod(h, {SPOTS}) div {_PAGE}").alias("_page")
     pages = hashes.groupBy(page).agg(F.bitmap_construct_agg(F.expr(f"pmod(h, {SPOTS}) % {_PAGE}")).alias("_marks"))
-    return stored(pages, "marks")
+    return stored(pages, "marks") if store else pages
 
 
 def with_mark(df: DataFrame, h: Column, pages: DataFrame, name: str) -> DataFrame:

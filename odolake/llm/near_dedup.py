@@ -7,8 +7,8 @@ differing bits of two sketches estimates how many samples differ, precisely so f
 1. In every bucket one node is compared with the others (one pair per member, never all pairs): the one that shares
    the most buckets, which in a group of copies is the original or close to it.
 2. Components of the confirmed links are formed. Buckets that still hold several components are looked at again in
-   rounds: in each, one node of a component that had no turn yet in the bucket is compared with the members of the
-   others. A round is linear in the members of the buckets. The rounds end after ``QUIET`` ones without a link.
+   rounds: in each, nodes of up to ``TURNS`` components that had no turn yet in the bucket are compared with the members
+   of the others. A round is linear in the members of the buckets. The rounds end after ``QUIET`` turns without a link.
 3. Of all nodes, whether they share a bucket or not, those are taken of which enough of the smallest shingles are also
    among the smallest ones of nodes of other components (``_strangers``); any other node has no link left to find. They
    are joined on the rare shingles of their full sets (``_rest``). That finds every pair of different components that
@@ -39,7 +39,8 @@ ROWS = 5  # samples of a band
 MISSED = 1e-8  # share of pairs at the least similarity that may miss all bands
 SAMPLES = 512  # of which the first ones form the bands
 SKETCH_BITS = 1024
-QUIET = 2  # rounds without a new link after which the rest is joined on shingles
+QUIET = 2  # turns without a new link after which the rest is joined on shingles
+TURNS = 2  # of a bucket in a round
 SPARE = 20  # one in so many shingles of a set is added to its beginning, so that a link shows in several of them
 STEP = 1.03  # sizes of sets that differ by less are of one class, or of two neighbours
 PERCENT = 85
@@ -161,15 +162,18 @@ def _may_link(a: str, b: str, least: Limits) -> Column:
     return sizes & (sum(bits[1:], bits[0]) <= least.sketch)
 
 
-def _alike(pairs: DataFrame, light: DataFrame, least: Limits) -> DataFrame:
-    """The pairs (a, b) that pass the size and the sketch test."""
-    both = pairs.join(light.alias("x"), F.col("a") == F.col("x.node")).join(light.alias("y"), F.col("b") == F.col("y.node"))
-    return both.where(_may_link("x", "y", least)).select("a", "b")
+def _alike(met: DataFrame, light: DataFrame, least: Limits) -> DataFrame:
+    """The pairs (a, b) of a hub and a node met (hub, node) that pass the size and the sketch test."""
+    # Dealt by node, which has few hubs: neither the distinct pairs nor the join with the node shuffle them again.
+    pairs = met.select("hub", F.col("node").alias("member")).repartition("member").distinct()
+    both = pairs.join(light.alias("y"), F.col("member") == F.col("y.node")).join(light.alias("x"), F.col("hub") == F.col("x.node"))
+    both = both.where(_may_link("x", "y", least))
+    return both.select(F.least("hub", "member").alias("a"), F.greatest("hub", "member").alias("b"))
 
 
 def _among(df: DataFrame, h: Column, hashes: DataFrame) -> DataFrame:
     """The rows of ``df`` whose hash may be among the column ``h`` of ``hashes``; others need not be shuffled."""
-    return with_mark(df, h, marks(hashes), "_among").where("_among").drop("_among")
+    return with_mark(df, h, marks(hashes, store=False), "_among").where("_among").drop("_among")
 
 
 def _full_sets(docs: DataFrame, signed: DataFrame, named: DataFrame) -> DataFrame:
@@ -177,11 +181,11 @@ def _full_sets(docs: DataFrame, signed: DataFrame, named: DataFrame) -> DataFram
     # One text stands for each node, that of the smallest id if there is one.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("first")
     speaker = signed.join(named, "node").groupBy("node").agg(first)
-    speaker = stored(speaker.select(F.xxhash64("first.doc_id", "first.text_hash").alias("h")).distinct(), "speakers")
+    speaker = stored(speaker.select(F.xxhash64("first.doc_id", "first.text_hash").alias("h")), "speakers")
     # Only the texts of speakers, and a few more, are shuffled. Rows that come twice go as texts, not as longer sets.
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     texts = texts.withColumn("h", F.xxhash64("doc_id", "text_hash"))
-    texts = marked(texts, F.col("h"), marks(speaker)).join(speaker, "h", "left_semi")
+    texts = marked(texts, F.col("h"), marks(speaker, store=False)).join(speaker, "h", "left_semi")
     texts = texts.dropDuplicates(["h", "doc_id", "text_hash"])
     return stored(texts.select("text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
 
@@ -312,12 +316,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         ),
         "signed",
     )
-    # Most buckets have one row; those never leave their task. What exact copies alone share is left out below.
+    # Most buckets have one row, or exact copies alone.
     filled = signed.where("n_shingles > 0")
     spots = filled.select("node", F.explode("bands").alias("bucket"))
-    several = spots.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1")
-    spots = stored(_among(spots, F.col("bucket"), several.select(F.col("bucket").alias("h"))).distinct(), "spots")
-    crowds = spots.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    crowds = spots.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("low"), F.max("node").alias("high"))
+    crowds = stored(crowds.where("low < high").select("bucket", "members"), "crowds")
+    spots = _among(spots, F.col("bucket"), crowds.select(F.col("bucket").alias("h"))).distinct()
     met = stored(spots.join(crowds, "bucket"), "met")
     light = filled.select("node", F.col("n_shingles").alias("n"), "sketch")
     light = _among(light, F.col("node"), met.select(F.col("node").alias("h"))).groupBy("node")
@@ -327,15 +331,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     hubs = met.join(rank, "node").groupBy("bucket").agg(F.max(F.struct("rank", "node")).alias("top"))
     hubs = stored(hubs, "hubs")
 
-    shared = met.join(hubs.select("bucket", F.col("top.node").alias("hub")), "bucket")
-    starts = shared.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-    starts = starts.distinct()
+    starts = met.join(hubs.select("bucket", F.col("top.node").alias("hub")), "bucket").where("node <> hub")
     tested = stored(_alike(starts, light, least), "tested")
     sets = _full_sets(docs, signed, met.select("node").distinct())
     links = _confirm(sets, tested, percent)
     label = components(links)
 
-    # What the comparison with one node has not joined is compared with further nodes, one per bucket and round.
+    # What the comparison with one node has not joined is compared with further nodes, ``TURNS`` per bucket and round.
     tried = hubs.select("bucket", F.col("top.node").alias("hub"))
     compared = tested.select("a", "b")
     open_ = _open(met, label)
@@ -344,20 +346,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         turn += 1
         named = label.select("node", "label")
         served = tried.join(named.withColumnRenamed("node", "hub"), "hub", "left")
-        served = served.select("bucket", F.coalesce("label", "hub").alias("label")).distinct()
+        served = served.select("bucket", F.coalesce("label", "hub").alias("label"))
         draw = F.xxhash64(F.lit(turn), "bucket", "node")  # other nodes in other buckets, so that many get their turn
+        drawn = F.struct(draw.alias("draw"), "node", "label")
         fresh = open_.join(served, ["bucket", "label"], "left_anti").groupBy("bucket")
-        fresh = stored(fresh.agg(F.min(F.struct(draw.alias("draw"), "node", "label")).alias("top")), "hubs")
+        fresh = fresh.agg(F.min(drawn).alias("low"), F.max(drawn).alias("high"))
+        tops = F.when(F.col("low.label") == F.col("high.label"), F.array("low")).otherwise(F.array("low", "high"))
+        fresh = stored(fresh.select("bucket", F.explode(tops).alias("top")), "hubs")
         if fresh.isEmpty():
             break
         hub = fresh.select("bucket", F.col("top.node").alias("hub"), F.col("top.label").alias("own"))
         met_hub = open_.join(hub, "bucket").where("label <> own")
-        pairs = met_hub.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-        late = stored(_alike(pairs.join(compared, ["a", "b"], "left_anti"), light, least), "late")
+        late = stored(_alike(met_hub, light, least).distinct().join(compared, ["a", "b"], "left_anti"), "late")
         tried, compared = tried.union(hub.select("bucket", "hub")), compared.union(late)
         found = None if late.isEmpty() else _confirm(sets, late, percent)
         if found is None or found.isEmpty():
-            quiet += 1
+            quiet += TURNS
             continue
         quiet, links = 0, links.union(found)
         label = components(links)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from odolake.llm import decontaminate as dec, language, licenses, line_dedup, marks, mixing, near_dedup, order_minhash, pii, repeats, toxicity
+from odolake.llm import components, decontaminate as dec, language, licenses, line_dedup, marks, mixing, near_dedup, order_minhash, pii, repeats, toxicity
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, h1 long, line_dedup string, pii int"
@@ -541,6 +541,42 @@ def test_kin_have_room_for_a_link(spark, percent):
     assert sorted((r.node, r.label) for r in got) == sorted((node, node % 50) for node in want)
 
 
+def test_near_duplicates_take_few_steps(spark, monkeypatch):
+    """Two nodes of a bucket have their turn in one round, bitmaps of one use are not written, and pairs need no round for labels."""
+    steps = []
+    own = near_dedup.stored
+    for module in (near_dedup, marks, components):
+        monkeypatch.setattr(module, "stored", lambda df, purpose: steps.append(purpose) or own(df, purpose))
+    rnd = random.Random(37)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    base, rows = [word() for _ in range(150)], []
+    for i in range(60):
+        mine = list(base)
+        for at in rnd.sample(range(150), rnd.choice([1, 3, 6, 7])):
+            mine[at] = word()
+        rows.append((i, " ".join(mine), "s"))
+    want = brute.near_duplicates(pairs(rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == want and 1 < len({label for _, label in want.values()}) < 60
+    turns = steps.count("hubs") - 1  # the first are those that all are compared with
+    assert turns >= 1 and steps.count("marks") == 1 and steps.count("spots") == steps.count("links") == 0
+    assert turns <= steps.count("open")  # only the last round is without a new link
+
+
+@pytest.mark.parametrize("links, rounds", [([(9, 2), (5, 4), (2, 9)], 0), ([(i, i + 1) for i in range(40)] + [(70, 60)], 6), ([(i, 50) for i in range(50)], 1), ([], 0)])
+def test_components_end_when_links_agree(spark, monkeypatch, links, rounds):
+    steps = []
+    own = components.stored
+    monkeypatch.setattr(components, "stored", lambda df, purpose: steps.append(purpose) or own(df, purpose))
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {x: x for link in links for x in link}
+    for _ in links:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    assert len(steps) <= 1 + rounds
+
+
 def test_near_duplicates_of_rows_without_id(spark):
     """A set that only rows without id have is compared too, and the links of others go through it."""
     words = [f"w{i}" for i in range(100)]
